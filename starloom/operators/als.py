@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.functions.vectors import dot
-from starloom.operators.factors import rmse, start_factors
+from starloom.operators.factors import rmse, start_factors, with_both
 from starloom.operators.split import seen_in
 from starloom.sources.workspace import Workspace
 
@@ -32,6 +32,7 @@ JOINED_RANK = 10
 # Fixed tables up to this size are broadcast by the joined route.
 JOINED_BYTES = 64 << 20
 CELL_ROWS = 1_000_000
+MAX_CELLS = 100_000
 
 
 def upper_pairs(rank: int) -> list[tuple[int, int]]:
@@ -98,20 +99,23 @@ class RoutedRatings:
         self.key, self.other, self.work = key, OTHER[key], work
         counts = ratings.groupBy(key).agg(F.count("*").alias("n"))
         total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
-        n_cells = max(-(-total // cell_rows), 1)
+        cores = work.spark.sparkContext.defaultParallelism
+        self.n_cells = min(max(-(-total // cell_rows), cores), MAX_CELLS)
+        cell_rows = max(cell_rows, -(-total // MAX_CELLS))
         # At most total / cell_rows ids are this busy, no more than there are cells.
         busy = counts.where(F.col("n") > cell_rows).select(key, F.ceil(F.col("n") / cell_rows).alias("parts"))
         part = F.when(F.col("parts").isNull(), F.lit(0)).otherwise(
             F.pmod(F.xxhash64(self.other), F.col("parts"))
         )
         placed = ratings.join(F.broadcast(busy), key, "left").select(
-            F.pmod(F.xxhash64(F.col(key), part), F.lit(n_cells)).alias("cell"),
+            F.pmod(F.xxhash64(F.col(key), part), F.lit(self.n_cells)).cast("int").alias("cell"),
             F.col("parts").isNotNull().alias("split"),
             key,
             self.other,
             "rating",
         )
-        self.cells = work.write(placed, f"cells-{key}")
+        # Bucketed, so that no half-step has to shuffle the ratings again.
+        self.cells = work.write_bucketed(placed, f"cells-{key}", "cell", self.n_cells)
         self.needed = work.write(self.cells.select("cell", self.other).distinct(), f"needed-{key}")
 
     def half_step(self, fixed: DataFrame, rank: int, lam: float, name: str) -> DataFrame:
@@ -133,7 +137,7 @@ class RoutedRatings:
                 {key: ids, "split": rows["split"].to_numpy()[first], "s": list(np.stack(sums, axis=1))}
             )
 
-        sent = self.needed.join(fixed, other).select("cell", other, "f")
+        sent = self.needed.join(fixed, other).select("cell", other, "f").repartition(self.n_cells, "cell")
         partial = (
             self.cells.groupBy("cell")
             .cogroup(sent.groupBy("cell"))
@@ -173,6 +177,7 @@ class AlsRun:
     ):
         self.rank, self.lam, self.work = rank, lam, work
         self.train = work.write(train.select("user", "item", "rating"), "train")
+        self.laid: dict[str, DataFrame] = {}
         known = self.train if everyone is None else everyone
         self.factors = {
             key: work.write(start_factors(known, key, rank), f"{key}-0") for key in ("user", "item")
@@ -187,11 +192,24 @@ class AlsRun:
         size = self.factors[fixed_side].count() * (8 * self.rank + 32)
         return "joined" if self.rank <= JOINED_RANK and size <= JOINED_BYTES else "routed"
 
+    def clustered(self, key: str) -> DataFrame:
+        """Train ratings sorted by one side over range partitions, stored once.
+
+        A task then sees few ids with many ratings each, and its partial sums
+        shrink to one row per id; the second sort column lets range partitions
+        cut through a very busy id.
+        """
+        if key not in self.laid:
+            order = [key, OTHER[key]]
+            laid = self.train.repartitionByRange(*order).sortWithinPartitions(*order)
+            self.laid[key] = self.work.write(laid, f"train-by-{key}")
+        return self.laid[key]
+
     def half_step(self, key: str) -> None:
         fixed, before = self.factors[OTHER[key]], self.factors[key]
         step = self.steps[key] + 1
         if self.route[key] == "joined":
-            updated = joined_half_step(self.train, fixed, key, self.rank, self.lam)
+            updated = joined_half_step(self.clustered(key), fixed, key, self.rank, self.lam)
         else:
             if key not in self.routed:
                 self.routed[key] = RoutedRatings(self.train, key, self.work)
@@ -263,8 +281,6 @@ def dense_rmse(ratings: DataFrame, users: DataFrame, items: DataFrame, rank: int
     gw, gh = gram(users), gram(items)
     weight = [1.0 if a == b else 2.0 for a, b in pairs]
     squares = sum(c * x * y for c, x, y in zip(weight, gw[:-1], gh[:-1]))
-    from starloom.operators.factors import with_both
-
     score = dot(F.col("w"), F.col("h"), rank)
     fix = F.pow(F.col("rating") - score, 2) - F.pow(score, 2)
     correction = with_both(ratings, users, items).agg(F.sum(fix).alias("x")).first()["x"] or 0.0

@@ -22,6 +22,8 @@ ROW_BLOCK = 1024
 COL_BLOCK = 2048
 # The column side is sent to every task while its vectors stay below this size.
 BROADCAST_BYTES = 64 << 20
+# Upper limit of tasks in one stage; beyond it a task takes several blocks.
+MAX_TASKS = 100_000
 # Rows per output batch of the full matrix.
 OUT_ROWS = 1 << 18
 
@@ -34,7 +36,7 @@ def numbered(vectors: DataFrame, key: str, work: Workspace, name: str) -> tuple[
 def packed(indexed: DataFrame, key: str, size: int, prefix: str) -> DataFrame:
     """One row per block: number, ids and the vectors end to end. Numbering is
     gap-free, so a block never holds more than ``size`` vectors."""
-    members = F.array_sort(F.collect_list(F.struct("idx", key, "f")))
+    members = F.sort_array(F.collect_list(F.struct("idx", key, "f")))
     block = F.floor(F.col("idx") / size).cast("bigint").alias(f"{prefix}_block")
     return (
         indexed.groupBy(block)
@@ -64,10 +66,15 @@ def block_pairs(
     return left.join(right.hint("merge"), ["r_block", "c_block"])
 
 
-def spread(df: DataFrame, key: str, pairs: int) -> DataFrame:
-    """Give every few block rows a task of their own."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(max(min(pairs, 4 * cores), 1), key)
+def row_block(n_rows: int, cores: int) -> int:
+    """Vectors per row block: ROW_BLOCK, or fewer where that would leave cores idle."""
+    return max(min(ROW_BLOCK, -(-n_rows // (2 * cores))), 1)
+
+
+def spread(df: DataFrame, n_blocks: int) -> DataFrame:
+    """One task per row block, placed by its number. Blocks are small in bytes
+    but long in work, so sizes alone would pack them into too few tasks."""
+    return df.repartitionById(min(max(n_blocks, 1), MAX_TASKS), F.col("r_block").cast("int"))
 
 
 def best_columns(scores: np.ndarray, ids: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -95,9 +102,10 @@ def all_predictions(users: DataFrame, items: DataFrame, rank: int, work: Workspa
     """The full prediction table (user, item, predict)."""
     u, n_u = numbered(users, "user", work, "rows")
     i, n_i = numbered(items, "item", work, "cols")
+    size = row_block(n_u, work.spark.sparkContext.defaultParallelism)
     pairs = block_pairs(
-        spread(packed(u, "user", ROW_BLOCK, "r"), "r_block", -(-n_u // ROW_BLOCK)),
-        n_u, packed(i, "item", COL_BLOCK, "c"), n_i, ROW_BLOCK, COL_BLOCK, rank,
+        spread(packed(u, "user", size, "r"), -(-n_u // size)),
+        n_u, packed(i, "item", COL_BLOCK, "c"), n_i, size, COL_BLOCK, rank,
     )
 
     def multiply(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -143,9 +151,10 @@ def top_n_per_user(
     """
     u, n_u = numbered(users, "user", work, "rows")
     i, n_i = numbered(items, "item", work, "cols")
+    size = row_block(n_u, work.spark.sparkContext.defaultParallelism)
     pairs = block_pairs(
-        spread(packed(u, "user", ROW_BLOCK, "r"), "r_block", -(-n_u // ROW_BLOCK)),
-        n_u, packed(i, "item", COL_BLOCK, "c"), n_i, ROW_BLOCK, COL_BLOCK, rank,
+        spread(packed(u, "user", size, "r"), -(-n_u // size)),
+        n_u, packed(i, "item", COL_BLOCK, "c"), n_i, size, COL_BLOCK, rank,
     )
     if rated is not None:
         place = (
@@ -153,9 +162,9 @@ def top_n_per_user(
             .join(u.select("user", F.col("idx").alias("ui")), "user")
             .join(i.select("item", F.col("idx").alias("ii")), "item")
         )
-        cell = (F.col("ui") % ROW_BLOCK) * COL_BLOCK + F.col("ii") % COL_BLOCK
+        cell = (F.col("ui") % size) * COL_BLOCK + F.col("ii") % COL_BLOCK
         done = place.groupBy(
-            F.floor(F.col("ui") / ROW_BLOCK).cast("bigint").alias("r_block"),
+            F.floor(F.col("ui") / size).cast("bigint").alias("r_block"),
             F.floor(F.col("ii") / COL_BLOCK).cast("bigint").alias("c_block"),
         ).agg(F.collect_list(cell.cast("int")).alias("done"))
         pairs = pairs.join(done, ["r_block", "c_block"], "left")
@@ -181,16 +190,15 @@ def top_n_per_user(
 def top_cosine(vectors: DataFrame, rank: int, n: int, work: Workspace, digits: int = 6, include_self: bool = False) -> DataFrame:
     """The n most similar vectors of every vector: (id, other, score, rank).
     Scores are rounded before ranking, so that equal vectors tie by id."""
-    v, size = numbered(vectors, "id", work, "vectors")
+    v, n_vectors = numbered(vectors, "id", work, "vectors")
+    size = row_block(n_vectors, work.spark.sparkContext.defaultParallelism)
     norm = F.sqrt(F.aggregate(F.transform("f", lambda x: x * x), F.lit(0.0), lambda s, x: s + x))
     unit = v.withColumn("f", F.transform("f", lambda x: x / F.when(norm > 0, norm).otherwise(1.0)))
-    stored = work.write(packed(unit, "id", ROW_BLOCK, "r"), "blocks")
+    stored = work.write(packed(unit, "id", size, "r"), "blocks")
     cols = stored.select(
         F.col("r_block").alias("c_block"), F.col("r_ids").alias("c_ids"), F.col("r_f").alias("c_f")
     )
-    pairs = block_pairs(
-        spread(stored, "r_block", -(-size // ROW_BLOCK)), size, cols, size, ROW_BLOCK, ROW_BLOCK, rank
-    )
+    pairs = block_pairs(spread(stored, -(-n_vectors // size)), n_vectors, cols, n_vectors, size, size, rank)
 
     def best(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

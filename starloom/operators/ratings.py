@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starloom.functions.scores import shown_average, star_band
@@ -15,12 +15,11 @@ def latest_per_pair(events: DataFrame, *newest: str) -> DataFrame:
     """The newest rating of every (user, item); ``newest`` are the ordering
     columns, most significant first.
 
-    An aggregate, not a window: a pair rated a billion times shrinks to one
-    row per map task before anything is shuffled.
+    The planner sees the limit of one row per pair and applies it before the
+    shuffle: a pair rated a billion times leaves each map task as one row.
     """
-    others = [c for c in events.columns if c not in PAIR]
-    best = F.max_by(F.struct(*others), F.struct(*newest)).alias("best")
-    return events.groupBy(*PAIR).agg(best).select(*PAIR, "best.*")
+    w = Window.partitionBy(*PAIR).orderBy(*[F.desc(c) for c in newest])
+    return events.withColumn("_place", F.row_number().over(w)).where("_place = 1").drop("_place")
 
 
 def upsert(stored: DataFrame, incoming: DataFrame, *newest: str) -> DataFrame:

@@ -350,7 +350,7 @@ SELECT id, other, score, row_number() OVER (PARTITION BY id ORDER BY score DESC,
 JOIN (SELECT p_name AS title, min(p_partkey) AS id FROM part GROUP BY 1) USING (title) JOIN best b USING (id) WHERE m.rank = 1""",
     "partitioned_by_date": """SELECT strftime(ts, '%Y-%m-%d') AS day, count(*) AS n, min(event_id) AS first_id,
   round(sum(value), 2) AS sum_value FROM events GROUP BY 1""",
-    "trips_by_type": "SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS day FROM orders",
+    "trips_by_type": "SELECT event_id, strftime(ts, '%Y-%m-%d') AS day FROM events",
     "monthly_source_name": """SELECT DISTINCT strftime(o_orderdate, '%Y-%m-%d') AS day,
   strftime(make_date(year(o_orderdate), month(o_orderdate), 28) - INTERVAL 90 DAY, '%Y-%m') AS dashed,
   strftime(make_date(year(o_orderdate), month(o_orderdate), 28) - INTERVAL 90 DAY, '%Y_%m') AS underscored FROM orders""",

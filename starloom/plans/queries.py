@@ -630,10 +630,10 @@ def partitioned_by_date(t: Shapes, work: Workspace) -> DataFrame:
 
 @query
 def trips_by_type(t: Shapes, work: Workspace) -> DataFrame:
-    """Orders as trips, partitioned by the time column of their type."""
-    trips = t.table("orders").select("o_orderkey", F.col("o_orderdate").alias(tables.TIME_COLUMN["green"]))
+    """Events as trips, partitioned by the time column of their type."""
+    trips = t.table("events").select("event_id", F.col("ts").alias(tables.TIME_COLUMN["green"]))
     stored = tables.partition_trips(trips, "green", work.path("green"))
-    return stored.select("o_orderkey", F.date_format("day", "yyyy-MM-dd").alias("day"))
+    return stored.select("event_id", F.date_format("day", "yyyy-MM-dd").alias("day"))
 
 
 @query

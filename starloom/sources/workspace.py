@@ -48,6 +48,20 @@ class Workspace:
     def read(self, like: DataFrame, name: str) -> DataFrame:
         return self.spark.read.schema(like.schema).parquet(self.path(name))
 
+    def write_bucketed(self, df: DataFrame, name: str, column: str, buckets: int) -> DataFrame:
+        """Write ``df`` as a table bucketed by ``column``, one file per bucket:
+        later joins and groupings by that column need no shuffle."""
+        table = f"starloom_{uuid.uuid4().hex}"
+        (
+            df.repartition(buckets, column)
+            .write.mode("overwrite")
+            .bucketBy(buckets, column)
+            .option("path", self.path(name))
+            .format("parquet")
+            .saveAsTable(table)
+        )
+        return self.spark.table(table)
+
     def discard(self, name: str) -> None:
         """Delete a table that nothing refers to any more."""
         jvm = self.spark.sparkContext._jvm
