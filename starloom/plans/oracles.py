@@ -64,20 +64,97 @@ def solve2(key: str, fixed: str, source: str, lam: float) -> str:
 USER = '"user"'
 
 
-def als(source: str, iterations: int, lam: float = 0.1) -> str:
-    """Tables w1, h1, w2, h2, … of a rank-2 run that starts from item vectors."""
-    out = [start_table("h0", "i", "item", source)]
+def solve(key: str, fixed: str, source: str, lam: float, rank: int) -> str:
+    """Half-step of any rank: Gaussian elimination, one nested query per pivot."""
+    other = "item" if key == '"user"' else '"user"'
+    cells = [(i, j) for i in range(rank) for j in range(i, rank)]
+    ridge = {True: f" + {lam}", False: ""}
+    sums = [f"sum(f{i} * f{j}){ridge[i == j]} AS a{i}_{j}" for i, j in cells]
+    sums += [f"sum(rating * f{i}) AS b{i}" for i in range(rank)]
+    q = f"SELECT {key}, {', '.join(sums)} FROM {source} JOIN {fixed} USING ({other}) GROUP BY {key}"
+    for p in range(rank - 1):
+        done = [f"a{i}_{j}" for i, j in cells if i <= p] + [f"b{i}" for i in range(p + 1)]
+        rest = [f"a{i}_{j} - a{p}_{i} * a{p}_{j} / a{p}_{p} AS a{i}_{j}" for i, j in cells if i > p]
+        rest += [f"b{i} - a{p}_{i} * b{p} / a{p}_{p} AS b{i}" for i in range(p + 1, rank)]
+        q = f"SELECT {key}, {', '.join(done + rest)} FROM ({q})"
+    for i in reversed(range(rank)):
+        known = "".join(f" - a{i}_{j} * f{j}" for j in range(i + 1, rank))
+        q = f"SELECT *, (b{i}{known}) / a{i}_{i} AS f{i} FROM ({q})"
+    return f"SELECT {key}, {', '.join(f'f{i}' for i in range(rank))} FROM ({q})"
+
+
+def als(source: str, iterations: int, lam: float = 0.1, rank: int = 2) -> str:
+    """Tables w1, h1, w2, h2, … of a run that starts from item vectors."""
+    step = solve2 if rank == 2 else lambda *given: solve(*given, rank)
+    out = [start_table("h0", "i", "item", source, rank)]
     for n in range(1, iterations + 1):
-        out.append(f"w{n} AS MATERIALIZED ({solve2(USER, f'h{n - 1}', source, lam)})")
-        out.append(f"h{n} AS MATERIALIZED ({solve2('item', f'w{n}', source, lam)})")
+        out.append(f"w{n} AS MATERIALIZED ({step(USER, f'h{n - 1}', source, lam)})")
+        out.append(f"h{n} AS MATERIALIZED ({step('item', f'w{n}', source, lam)})")
     return ",\n".join(out)
 
 
-def error(source: str, n: int) -> str:
-    return f"""(SELECT sqrt(avg(pow(rating - (w.f0 * h.f0 + w.f1 * h.f1), 2)))
+def error(source: str, n: int, rank: int = 2) -> str:
+    score = " + ".join(f"w.f{k} * h.f{k}" for k in range(rank))
+    return f"""(SELECT sqrt(avg(pow(rating - ({score}), 2)))
     FROM {source} JOIN w{n} w USING ("user") JOIN h{n} h USING (item))"""
 
 
+def curve(iterations: range, rank: int = 2, test: bool = True) -> str:
+    tested = f", round({{test}}, 6) AS test_rmse" if test else ""
+    return " UNION ALL ".join(
+        f"SELECT CAST({n} AS BIGINT) AS iteration, round({error('train', n, rank)}, 6) AS train_rmse"
+        + tested.format(test=error("test", n, rank))
+        for n in iterations
+    )
+
+
+def sgd_queue(source: str, epochs: int, blocks: int = 4, target: str = "rating", ts: str = "ts") -> str:
+    """Every update of a run, with its place among the updates of its user
+    (uo) and of its item (io): the order is epoch, stratum, ts, ids."""
+    order = f"epoch, (cb - rb + {blocks}) % {blocks}, ts, du, di"
+    return f"""placed AS (
+  SELECT "user", item, CAST({target} AS DOUBLE) AS rating, {ts} AS ts, du, di,
+         floor((du - 1) / ceil((SELECT count(*) FROM user_ids) / {blocks}.0)) AS rb,
+         floor((di - 1) / ceil((SELECT count(*) FROM item_ids) / {blocks}.0)) AS cb
+  FROM {source} JOIN user_ids USING ("user") JOIN item_ids USING (item)),
+queue AS MATERIALIZED (
+  SELECT epoch, "user", item, rating, row_number() OVER (PARTITION BY "user" ORDER BY {order}) - 1 AS uo,
+         row_number() OVER (PARTITION BY item ORDER BY {order}) - 1 AS io
+  FROM placed CROSS JOIN (SELECT unnest(range(1, {epochs + 1})) AS epoch))"""
+
+
+def sgd(last: int, step: str = "0.005", lam: float = 0.01, rank: int = 4, variant: str = "plain") -> str:
+    """Tables w{last}, h{last}: the state after epoch ``last``. A keyed recursion
+    holds one vector per id; each round makes the updates whose user and item
+    have had all their earlier updates."""
+    ks = range(rank)
+    low = "0.000610352 + 9 * 0.000610352 * " if variant == "implicit" else ""
+    names = ", ".join(f"f{k}" for k in ks)
+    by_n = {"weighted": ("/ wn", "/ hn")}.get(variant, ("", ""))
+    new_h = [f"hf{k} - s * (2.0 * {lam} {by_n[1]} * hf{k} - 2.0 * e * wf{k})" for k in ks]
+    against = [f"({x})" for x in new_h] if variant == "implicit" else [f"hf{k}" for k in ks]
+    new_w = [f"wf{k} - s * (2.0 * {lam} {by_n[0]} * wf{k} - 2.0 * e * {against[k]})" for k in ks]
+    both = ", ".join(f"w.f{k} AS wf{k}, h.f{k} AS hf{k}" for k in ks)
+    product = " + ".join(f"w.f{k} * h.f{k}" for k in ks)
+
+    def first(prefix: str, key: str) -> str:
+        return ", ".join(f"{low}{start(prefix, key, k)} AS f{k}" for k in ks)
+
+    return f"""state{last}(side, id, c, n, {names}) USING KEY (side, id) AS (
+  SELECT 'u' AS side, "user" AS id, CAST(0 AS BIGINT) AS c, count(*) AS n, {first("u", USER)} FROM ratings GROUP BY "user"
+  UNION ALL SELECT 'i', item, 0, count(*), {first("i", "item")} FROM ratings GROUP BY item
+  UNION (
+    WITH ready AS (
+      SELECT "user", item, uo, io, w.n AS wn, h.n AS hn, {both}, rating - ({product}) AS e, {step} AS s
+      FROM queue JOIN recurring.state{last} w ON w.side = 'u' AND w.id = "user" AND w.c = uo
+                 JOIN recurring.state{last} h ON h.side = 'i' AND h.id = item AND h.c = io
+      WHERE epoch <= {last})
+    SELECT 'u', "user", uo + 1, wn, {", ".join(new_w)} FROM ready
+    UNION ALL SELECT 'i', item, io + 1, hn, {", ".join(new_h)} FROM ready)),
+w{last} AS MATERIALIZED (SELECT id AS "user", {names} FROM state{last} WHERE side = 'u'),
+h{last} AS MATERIALIZED (SELECT id AS item, {names} FROM state{last} WHERE side = 'i')"""
+
+
 def best(n: int, unrated: bool = False) -> str:
     """All predictions of w{n} x h{n} ranked per user."""
     skip = 'ANTI JOIN ratings r ON r."user" = w."user" AND r.item = h.item' if unrated else ""
@@ -94,29 +171,35 @@ CENTRED = """bias AS MATERIALIZED (SELECT "user", avg(rating) AS bias FROM ratin
 centred AS MATERIALIZED (SELECT "user", item, rating - bias AS rating FROM ratings JOIN bias USING ("user"))"""
 
 
-def gd(rate: float = 0.5, lam: float = 0.05) -> str:
-    """One descent step for items (x1), then for users (y1)."""
+def gd(iterations: int = 1, rate: float = 0.5, lam: float = 0.05) -> str:
+    """Descent steps for items (x1, x2, …) and users (y1, y2, …) in turn."""
 
-    def step(name: str, key: str, mine: str, other: str) -> str:
+    def step(name: str, key: str, mine: str, users: str, items: str) -> str:
+        other = "y" if key == "item" else "x"
         move = ", ".join(
             f"m.f{k} - {rate} * ({lam} * m.f{k} - coalesce(g{k}, 0) / (SELECT count(*) FROM centred)) AS f{k}" for k in (0, 1)
         )
         sums = ", ".join(f"sum((rating - (y.f0 * x.f0 + y.f1 * x.f1)) * {other}.f{k}) AS g{k}" for k in (0, 1))
-        users, items = ("y0", "x0") if key == "item" else ("y0", "x1")
         return f"""{name} AS MATERIALIZED (
   SELECT m.{key}, {move} FROM {mine} m LEFT JOIN (
     SELECT {key}, {sums} FROM centred JOIN {users} y USING ("user") JOIN {items} x USING (item) GROUP BY {key}
   ) g ON g.{key} = m.{key})"""
 
-    return ",\n".join(
-        [
-            CENTRED,
-            start_table("x0", "i", "item", "ratings"),
-            start_table("y0", "u", USER, "ratings"),
-            step("x1", "item", "x0", "y"),
-            step("y1", USER, "y0", "x"),
-        ]
-    )
+    out = [CENTRED, start_table("x0", "i", "item", "ratings"), start_table("y0", "u", USER, "ratings")]
+    for n in range(iterations):
+        out.append(step(f"x{n + 1}", "item", f"x{n}", f"y{n}", f"x{n}"))
+        out.append(step(f"y{n + 1}", USER, f"y{n}", f"y{n}", f"x{n + 1}"))
+    return ",\n".join(out)
+
+
+def gd_mean_error(n: int) -> str:
+    return f"""(SELECT avg(pow(rating - (y.f0 * x.f0 + y.f1 * x.f1), 2))
+    FROM centred JOIN y{n} y USING ("user") JOIN x{n} x USING (item))"""
+
+
+def gd_loss(n: int) -> str:
+    return f"""round(0.5 * {gd_mean_error(n)}
+  + 0.5 * 0.05 * ((SELECT sqrt(sum(f0 * f0 + f1 * f1)) FROM y{n}) + (SELECT sqrt(sum(f0 * f0 + f1 * f1)) FROM x{n})), 6)"""
 
 
 DENSE = """user_ids AS (SELECT "user", row_number() OVER (ORDER BY "user") AS du FROM (SELECT DISTINCT "user" FROM ratings)),
@@ -180,8 +263,13 @@ def _with(*parts: str) -> str:
     return "WITH " + ",\n".join(parts) + "\n"
 
 
-def _spelled(table: str, key: str, digits: int = 4, name: str | None = None) -> str:
-    return f"SELECT {key} {f'AS {name}' if name else ''}, round(f0, {digits}) AS f0, round(f1, {digits}) AS f1 FROM {table}"
+def _recursive(*parts: str) -> str:
+    return "WITH RECURSIVE " + ",\n".join(parts) + "\n"
+
+
+def _spelled(table: str, key: str, digits: int = 4, name: str | None = None, rank: int = 2) -> str:
+    cells = ", ".join(f"round(f{k}, {digits}) AS f{k}" for k in range(rank))
+    return f"SELECT {key} {f'AS {name}' if name else ''}, {cells} FROM {table}"
 
 
 ORACLES: dict[str, str] = {
@@ -293,11 +381,9 @@ WHERE (rb, cb) IN ((0, 2), (1, 0), (2, 3), (3, 1)) GROUP BY rb, cb""",
     "als_routed_step": _with(RATINGS, als("ratings", 1)) + _spelled("w1", USER),
     "als_rank2_3iter": _with(RATINGS, als("ratings", 3))
     + f"SELECT *, 'user' AS side FROM ({_spelled('w3', USER, name='id')}) UNION ALL SELECT *, 'item' FROM ({_spelled('h3', 'item', name='id')})",
-    "als_curve": _with(RATINGS, SPLIT, als("train", 3))
-    + " UNION ALL ".join(
-        f"SELECT CAST({n} AS BIGINT) AS iteration, round({error('train', n)}, 6) AS train_rmse, round({error('test', n)}, 6) AS test_rmse"
-        for n in (1, 2, 3)
-    ),
+    "als_curve": _with(RATINGS, SPLIT, als("train", 3)) + curve(range(1, 4)),
+    "als_rank10_rmse": _with(RATINGS.replace("ratings AS", "train AS"), als("train", 2, rank=10))
+    + curve(range(1, 3), rank=10, test=False),
     "dense_als_step": _with(RATINGS, start_table("h0", "i", "item", "ratings"))
     + """, g AS (SELECT sum(f0 * f0) + 0.1 * count(*) AS a, sum(f0 * f1) AS b, sum(f1 * f1) + 0.1 * count(*) AS d FROM h0),
 s AS (SELECT "user", sum(rating * f0) AS p, sum(rating * f1) AS q FROM ratings JOIN h0 USING (item) GROUP BY 1)
@@ -315,13 +401,34 @@ FROM w CROSS JOIN h0 h LEFT JOIN ratings r ON r."user" = w."user" AND r.item = h
     "centred_ratings": _with(RATINGS, CENTRED) + 'SELECT "user", item, round(rating, 6) AS rating FROM centred',
     "gd_item_step": _with(RATINGS, gd()) + _spelled("x1", "item", 6),
     "gd_user_step": _with(RATINGS, gd()) + _spelled("y1", USER, 6),
-    "gd_loss": _with(RATINGS, gd())
-    + """SELECT round((SELECT 0.5 * avg(pow(rating - (y.f0 * x.f0 + y.f1 * x.f1), 2))
-    FROM centred JOIN y1 y USING ("user") JOIN x1 x USING (item))
-  + 0.5 * 0.05 * ((SELECT sqrt(sum(f0 * f0 + f1 * f1)) FROM y1) + (SELECT sqrt(sum(f0 * f0 + f1 * f1)) FROM x1)), 6) AS loss""",
+    "gd_loss": _with(RATINGS, gd()) + f"SELECT {gd_loss(1)} AS loss",
+    "gd_training": _with(RATINGS, gd(2))
+    + " UNION ALL ".join(
+        f"SELECT CAST({n} AS BIGINT) AS iteration, {gd_loss(n)} AS loss, round(sqrt({gd_mean_error(n)}), 6) AS rmse" for n in (1, 2)
+    ),
     "gd_predict": _with(RATINGS, gd())
     + """SELECT "user", item, round(least(greatest(y.f0 * x.f0 + y.f1 * x.f1 + bias, 0.0), 5.0), 4) AS score
 FROM ratings JOIN y1 y USING ("user") JOIN x1 x USING (item) JOIN bias USING ("user")""",
+    "dsgd_epoch": _recursive(RATINGS, DENSE, sgd_queue("ratings", 1), sgd(1)) + _spelled("w1", USER, 6, rank=4),
+    "dsgd_weighted": _recursive(RATINGS, DENSE, sgd_queue("ratings", 1), sgd(1, variant="weighted"))
+    + _spelled("w1", USER, 6, rank=4),
+    "dsgd_implicit": _recursive(RATINGS, DENSE, sgd_queue("ratings", 1, target="5", ts="0"), sgd(1, variant="implicit"))
+    + _spelled("w1", USER, 6, rank=4),
+    "dsgd_curve": _recursive(
+        RATINGS, SPLIT, DENSE, sgd_queue("train", 2, ts="0"),
+        *[sgd(n, step="0.005 * pow(0.9, epoch)") for n in (0, 1, 2)],
+    )
+    + curve(range(0, 3), rank=4),
+    "grid_metrics": " UNION ALL ".join(
+        f"""SELECT * FROM ({_with(RATINGS, SPLIT, als("train", 2, lam, rank))}
+SELECT 'als' AS model, CAST({rank} AS BIGINT) AS rank, CAST({lam} AS DOUBLE) AS lam, CAST(0.005 AS DOUBLE) AS step,
+  CAST(2 AS BIGINT) AS iterations, round({error("train", 2, rank)}, 6) AS train_rmse, round({error("test", 2, rank)}, 6) AS test_rmse)"""
+        for lam in (0.1, 0.5)
+        for rank in (2, 4)
+    )
+    + f""" UNION ALL SELECT * FROM (
+{_recursive(RATINGS, SPLIT, DENSE, sgd_queue("train", 1, ts="0"), sgd(1, step="0.005 * 0.9"))}
+SELECT 'sgd', 4, 0.01, 0.005, 1, round({error("train", 1, 4)}, 6), round({error("test", 1, 4)}, 6))""",
     "predict_matrix": _with(VECTOR_PRODUCT) + 'SELECT "user", item, round(predict, 5) AS predict FROM products',
     "predict_point": _with(RATINGS, als("ratings", 1), TAGS)
     + """SELECT p."user", p.item, round(coalesce(w.f0 * h.f0 + w.f1 * h.f1, 0), 4) AS score,
