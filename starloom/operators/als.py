@@ -69,6 +69,11 @@ def solved(sums: DataFrame, rank: int, lam: float) -> DataFrame:
     return sums.withColumn("f", solve("s")).drop("s")
 
 
+def fits(rows: int, rank: int) -> bool:
+    """Whether a factor table is small enough to broadcast."""
+    return rows * (8 * rank + 32) <= JOINED_BYTES
+
+
 def normal_sums(ratings: DataFrame, fixed: DataFrame, key: str, rank: int, gram: bool = True) -> DataFrame:
     """Per id the packed sums of the normal equations, as built-in aggregates."""
     f, r = F.col("f"), F.col("rating")
@@ -183,14 +188,14 @@ class AlsRun:
             key: work.write(start_factors(known, key, rank), f"{key}-0") for key in ("user", "item")
         }
         self.steps = {"user": 0, "item": 0}
+        self.small = {key: fits(table.count(), rank) for key, table in self.factors.items()}
         self.routed: dict[str, RoutedRatings] = {}
         self.route = {key: self._route(OTHER[key], route) for key in ("user", "item")}
 
     def _route(self, fixed_side: str, route: str) -> str:
         if route != "auto":
             return route
-        size = self.factors[fixed_side].count() * (8 * self.rank + 32)
-        return "joined" if self.rank <= JOINED_RANK and size <= JOINED_BYTES else "routed"
+        return "joined" if self.rank <= JOINED_RANK and self.small[fixed_side] else "routed"
 
     def clustered(self, key: str) -> DataFrame:
         """Train ratings sorted by one side over range partitions, stored once.
@@ -209,6 +214,7 @@ class AlsRun:
         fixed, before = self.factors[OTHER[key]], self.factors[key]
         step = self.steps[key] + 1
         if self.route[key] == "joined":
+            fixed = F.broadcast(fixed) if self.small[OTHER[key]] else fixed
             updated = joined_half_step(self.clustered(key), fixed, key, self.rank, self.lam)
         else:
             if key not in self.routed:
@@ -243,7 +249,7 @@ def train_als(
         raise ValueError("iterations must be at least 1")
     everyone = None if test is None else train.select("user", "item").union(test.select("user", "item"))
     run = AlsRun(train, rank, lam, work, everyone, route)
-    checked = None if test is None else work.write(seen_in(test, run.train), "test")
+    checked = None if test is None else work.write(seen_in(test, run.train, work), "test")
     curve = []
     for iteration in range(1, iterations + 1):
         run.iterate()
@@ -264,6 +270,7 @@ def dense_half_step(ratings: DataFrame, fixed: DataFrame, key: str, rank: int, l
     f = F.col("f")
     gram = fixed.agg(*[F.sum(f[a] * f[b]) for a, b in upper_pairs(rank)], F.count("*")).first()
     shared = F.array(*[F.lit(float(x or 0.0)) for x in gram[:-1]])
+    fixed = F.broadcast(fixed) if fits(gram[-1], rank) else fixed
     sums = normal_sums(ratings, fixed, key, rank, gram=False).withColumn("s", F.concat(shared, "s"))
     return solved(sums, rank, lam * gram[-1])
 

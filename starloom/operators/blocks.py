@@ -134,6 +134,23 @@ def rank_within(rows: DataFrame, key: str, score: str, tie: str, n: int) -> Data
     return rows.withColumn("rank", F.row_number().over(w).cast("bigint")).where(F.col("rank") <= n)
 
 
+def rated_cells(
+    rated: DataFrame, rows: DataFrame, cols: DataFrame, size: int
+) -> DataFrame:
+    """Per row block a map from column block to the positions of rated cells."""
+    place = (
+        rated.select("user", "item").distinct()
+        .join(rows.select("user", F.col("idx").alias("ui")), "user")
+        .join(cols.select("item", F.col("idx").alias("ii")), "item")
+    )
+    cell = (F.col("ui") % size) * COL_BLOCK + F.col("ii") % COL_BLOCK
+    per_pair = place.groupBy(
+        F.floor(F.col("ui") / size).cast("bigint").alias("r_block"),
+        F.floor(F.col("ii") / COL_BLOCK).cast("bigint").alias("c_block"),
+    ).agg(F.collect_list(cell.cast("int")).alias("cells"))
+    return per_pair.groupBy("r_block").agg(F.map_from_entries(F.collect_list(F.struct("c_block", "cells"))).alias("rated"))
+
+
 def top_n_per_user(
     users: DataFrame,
     items: DataFrame,
@@ -146,30 +163,21 @@ def top_n_per_user(
     ``rated`` if given: (user, item, predict, rank).
 
     Already rated cells are blanked inside the block, so the cut to n per
-    block stays exact. A block's list of rated cells is no longer than the
-    block has cells.
+    block stays exact. A list of rated cells is no longer than its block pair
+    has cells, and it joins the row block before that is repeated.
     """
     u, n_u = numbered(users, "user", work, "rows")
     i, n_i = numbered(items, "item", work, "cols")
     size = row_block(n_u, work.spark.sparkContext.defaultParallelism)
-    pairs = block_pairs(
-        spread(packed(u, "user", size, "r"), -(-n_u // size)),
-        n_u, packed(i, "item", COL_BLOCK, "c"), n_i, size, COL_BLOCK, rank,
-    )
+    rows = packed(u, "user", size, "r")
     if rated is not None:
-        place = (
-            rated.select("user", "item").distinct()
-            .join(u.select("user", F.col("idx").alias("ui")), "user")
-            .join(i.select("item", F.col("idx").alias("ii")), "item")
-        )
-        cell = (F.col("ui") % size) * COL_BLOCK + F.col("ii") % COL_BLOCK
-        done = place.groupBy(
-            F.floor(F.col("ui") / size).cast("bigint").alias("r_block"),
-            F.floor(F.col("ii") / COL_BLOCK).cast("bigint").alias("c_block"),
-        ).agg(F.collect_list(cell.cast("int")).alias("done"))
-        pairs = pairs.join(done, ["r_block", "c_block"], "left")
+        rows = rows.join(rated_cells(rated, u, i, size), "r_block", "left")
+        done = F.col("rated")[F.col("c_block")]
     else:
-        pairs = pairs.withColumn("done", F.lit(None).cast("array<int>"))
+        done = F.lit(None).cast("array<int>")
+    pairs = block_pairs(
+        spread(rows, -(-n_u // size)), n_u, packed(i, "item", COL_BLOCK, "c"), n_i, size, COL_BLOCK, rank
+    ).select("r_ids", "r_f", "c_ids", "c_f", done.alias("done"))
 
     def best(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

@@ -41,15 +41,19 @@ def with_missing(factors: DataFrame, ids: DataFrame, key: str, rank: int) -> Dat
     return ids.select(key).distinct().join(factors, key, "left").withColumn("f", F.coalesce("f", fresh))
 
 
-def with_both(ratings: DataFrame, users: DataFrame, items: DataFrame) -> DataFrame:
+def with_both(ratings: DataFrame, users: DataFrame, items: DataFrame, last: str = "item") -> DataFrame:
     """Ratings with the user vector ``w`` and the item vector ``h``.
 
     No hints: factor tables are stored tables, so the planner knows their size
-    and broadcasts them only while they are small.
+    and broadcasts them only while they are small. ``last`` names the key of
+    the second join: an aggregate by the other key then starts with a shuffle
+    of partial sums, and a very busy id is never bound to one task.
     """
     w = users.select("user", F.col("f").alias("w"))
     h = items.select("item", F.col("f").alias("h"))
-    return ratings.join(w, "user").join(h, "item")
+    if last == "item":
+        return ratings.join(w, "user").join(h, "item")
+    return ratings.join(h, "item").join(w, "user")
 
 
 def rmse(ratings: DataFrame, users: DataFrame, items: DataFrame, rank: int, name: str = "rmse") -> DataFrame:

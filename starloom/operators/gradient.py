@@ -16,9 +16,10 @@ def biases(ratings: DataFrame, by: str = "user") -> DataFrame:
     return ratings.groupBy(by).agg(F.avg("rating").alias("bias"))
 
 
-def centred(ratings: DataFrame, by: str = "user") -> DataFrame:
-    """Ratings minus the mean of their user (or item)."""
-    with_bias = ratings.join(biases(ratings, by), by)
+def centred(ratings: DataFrame, work: Workspace, by: str = "user") -> DataFrame:
+    """Ratings minus the mean of their user (or item). The means are stored
+    first: a join of two plain shuffles can split a very busy user."""
+    with_bias = ratings.join(work.write(biases(ratings, by), "biases"), by)
     return with_bias.withColumn("rating", F.col("rating") - F.col("bias")).select(*ratings.columns)
 
 
@@ -38,7 +39,7 @@ def gradient_step(
     current = users if key == "user" else items
     error = F.col("rating") - dot(F.col("w"), F.col("h"), rank)
     pull = [F.sum(error * F.col(theirs)[a]).alias(f"g{a}") for a in range(rank)]
-    sums = with_both(ratings, users, items).groupBy(key).agg(*pull)
+    sums = with_both(ratings, users, items, last=OTHER[key]).groupBy(key).agg(*pull)
     moved = F.array(
         *[
             F.col("f")[a]
@@ -91,7 +92,7 @@ def train_gradient(
     ``print_every`` iterations."""
     if iterations < 1:
         raise ValueError("iterations must be at least 1")
-    data = work.write(centred(ratings.select("user", "item", "rating"), by), "centred")
+    data = work.write(centred(ratings.select("user", "item", "rating"), work, by), "centred")
     n = data.count()
     factors = {key: work.write(start_factors(data, key, rank), f"{key}-0") for key in OTHER}
     log = []

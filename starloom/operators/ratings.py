@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starloom.functions.scores import shown_average, star_band
+from starloom.sources.workspace import Workspace
 
 PAIR = ["user", "item"]
 STARS = (1, 2, 3, 4, 5)
@@ -148,6 +149,7 @@ def degrees(ratings: DataFrame, key: str) -> DataFrame:
     return ratings.groupBy(key).agg(F.count("*").alias("n"))
 
 
-def rated_by(ratings: DataFrame, key: str, keys: DataFrame) -> DataFrame:
+def rated_by(ratings: DataFrame, key: str, keys: DataFrame, work: Workspace) -> DataFrame:
     """Ratings of the users (or items) in a key table, one row per rating."""
-    return ratings.join(keys.select(key).distinct(), key, "left_semi")
+    wanted = work.write(keys.select(key).distinct(), f"wanted-{key}")
+    return ratings.join(wanted, key, "left_semi")

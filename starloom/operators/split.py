@@ -24,10 +24,11 @@ def hash_split(ratings: DataFrame, train_percent: int = 80) -> DataFrame:
     return ratings.withColumn("in_train", percent_bucket(F.col("user"), F.col("item")) < train_percent)
 
 
-def seen_in(test: DataFrame, train: DataFrame) -> DataFrame:
-    """Test rows whose user and item both occur in train."""
-    users = train.select("user").distinct()
-    items = train.select("item").distinct()
+def seen_in(test: DataFrame, train: DataFrame, work: Workspace) -> DataFrame:
+    """Test rows whose user and item both occur in train. The id lists are
+    stored first, so that their size is known and busy ids can be split."""
+    users = work.write(train.select("user").distinct(), "train-users")
+    items = work.write(train.select("item").distinct(), "train-items")
     return test.join(users, "user", "left_semi").join(items, "item", "left_semi").select(*test.columns)
 
 
@@ -50,7 +51,7 @@ def ordinal_in_user(rows: DataFrame, order_by: Sequence[str], work: Workspace) -
     several tasks, which a window over the user could not.
     """
     indexed, _ = with_index(rows, ["user", *order_by], work, "ordinals")
-    first = indexed.groupBy("user").agg(F.min("idx").alias("first"))
+    first = work.write(indexed.groupBy("user").agg(F.min("idx").alias("first")), "first")
     return indexed.join(first, "user").withColumn("k", F.col("idx") - F.col("first") + 1).drop("idx", "first")
 
 

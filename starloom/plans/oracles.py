@@ -302,7 +302,7 @@ FROM dated d LEFT JOIN (SELECT item, count(*) AS votes, avg(rating) AS average,
     "genre_bridge": _with(MOVIES) + "SELECT item, unnest(string_split(genres, '|')) AS genre FROM movies",
     "attribute_bridges": _with(MOVIES)
     + """SELECT item, 'genre' AS attribute, unnest(string_split(genres, '|')) AS value FROM movies
-UNION ALL SELECT DISTINCT l_partkey, 'director', CAST(l_suppkey AS VARCHAR) FROM lineitem""",
+UNION ALL SELECT p_partkey, 'director', unnest([p_type, p_brand]) FROM part""",
     "struct_names": "SELECT p_partkey AS item, p_name || '|' || CASE WHEN p_size > 25 THEN p_type ELSE '' END AS names FROM part",
     "home_bundle": _with(RATINGS, DATED)
     + """SELECT 'first' AS list, item, title FROM (SELECT * FROM dated ORDER BY item LIMIT 12)

@@ -86,7 +86,7 @@ def rating_lookup(t: Shapes, work: Workspace) -> DataFrame:
 @query
 def user_items(t: Shapes, work: Workspace) -> DataFrame:
     """Every rating of the users seen in the event log."""
-    return ratings.rated_by(t.ratings, "user", t.tags).select("user", "item", "rating")
+    return ratings.rated_by(t.ratings, "user", t.tags, work).select("user", "item", "rating")
 
 
 @query
@@ -119,10 +119,9 @@ def genre_bridge(t: Shapes, work: Workspace) -> DataFrame:
 
 @query
 def attribute_bridges(t: Shapes, work: Workspace) -> DataFrame:
-    """Genre and director bridges in one table; directors stand in as the
-    parts' suppliers."""
-    pairs = t.table("lineitem").select(F.col("l_partkey").alias("item"), F.col("l_suppkey").cast("string").alias("s")).distinct()
-    directors = pairs.groupBy("item").agg(text.join_list(F.array_sort(F.collect_list("s"))).alias("directors"))
+    """Genre and director bridges in one table; type and brand stand in for
+    the directors."""
+    directors = t.table("part").select(F.col("p_partkey").alias("item"), F.concat_ws("|", "p_type", "p_brand").alias("directors"))
     parts = [
         catalogue.bridge(t.movies, "genres", "value").withColumn("attribute", F.lit("genre")),
         catalogue.bridge(directors, "directors", "value").withColumn("attribute", F.lit("director")),
@@ -281,7 +280,7 @@ def semi_filtered_test(t: Shapes, work: Workspace) -> DataFrame:
     """Test rows whose user and item both have train rows; the test set is
     the event log, the train set the ratings."""
     events = t.rating_stream_rows.select("event_id", "user", "item")
-    return split.seen_in(events, _train_test(t, work)[0])
+    return split.seen_in(events, _train_test(t, work)[0], work)
 
 
 @query
@@ -408,12 +407,12 @@ def pair_errors(t: Shapes, work: Workspace) -> DataFrame:
 
 @query
 def centred_ratings(t: Shapes, work: Workspace) -> DataFrame:
-    by_user = gradient.centred(t.ratings.select("user", "item", "rating"))
+    by_user = gradient.centred(t.ratings.select("user", "item", "rating"), work)
     return rounded(by_user, 6, "rating")
 
 
 def _gd(t: Shapes, work: Workspace, steps: tuple[str, ...]):
-    data = work.write(gradient.centred(t.ratings.select("user", "item", "rating")), "centred")
+    data = work.write(gradient.centred(t.ratings.select("user", "item", "rating"), work), "centred")
     n = data.count()
     current = {k: work.write(factors.start_factors(data, k, 2), f"{k}-0") for k in ("user", "item")}
     for key in steps:
@@ -757,7 +756,8 @@ def run_snapshot(t: Shapes, work: Workspace) -> DataFrame:
     """A table written under its run and published as the latest."""
     run = tables.RunFolder(t.spark, work.path("runs"), "2024-01-28")
     run.write(t.ratings.select("user", "item", "rating"), "processed", "ratings")
-    return run.publish("processed", "ratings")
+    run.publish("processed", "ratings")
+    return run.latest("ratings")
 
 
 @query
@@ -808,8 +808,7 @@ def end_to_end_run(t: Shapes, work: Workspace) -> DataFrame:
     the published predictions summed up per user."""
     settings = training.Settings("als", 2, 3, LAM)
     run = training.run_all(t.spark, t.ratings, settings, work.path("runs"), "2024-01-28")
-    predictions = t.spark.read.parquet(run.latest_path("predictions"))
-    return predictions.groupBy("user").agg(
+    return run.latest("predictions").groupBy("user").agg(
         F.count("*").alias("n"), F.round(F.avg("predict"), 4).alias("mean"), F.round(F.max("predict"), 4).alias("best")
     )
 
