@@ -52,10 +52,13 @@ def packed(indexed: DataFrame, key: str, size: int, prefix: str) -> DataFrame:
 def block_pairs(
     rows: DataFrame, n_rows: int, cols: DataFrame, n_cols: int, row_size: int, col_size: int, rank: int
 ) -> DataFrame:
-    """Every row block next to every column block."""
+    """Every row block next to every column block. A map ``rated`` by column
+    block is cut to the pair's own entry, ``done``."""
     row_blocks, col_blocks = -(-n_rows // row_size), -(-n_cols // col_size)
     left = rows.select("*", F.explode(F.sequence(F.lit(0), F.lit(max(col_blocks - 1, 0)))).alias("c_block"))
     left = left.withColumn("c_block", F.col("c_block").cast("bigint"))
+    if "rated" in rows.columns:
+        left = left.withColumn("done", F.col("rated")[F.col("c_block")]).drop("rated")
     if n_cols * (8 * rank + 8) <= BROADCAST_BYTES:
         return left.join(F.broadcast(cols), "c_block")
     # Both sides repeated over the grid: one join key per block pair spreads
@@ -172,12 +175,11 @@ def top_n_per_user(
     rows = packed(u, "user", size, "r")
     if rated is not None:
         rows = rows.join(rated_cells(rated, u, i, size), "r_block", "left")
-        done = F.col("rated")[F.col("c_block")]
     else:
-        done = F.lit(None).cast("array<int>")
+        rows = rows.withColumn("rated", F.lit(None).cast("map<bigint, array<int>>"))
     pairs = block_pairs(
         spread(rows, -(-n_u // size)), n_u, packed(i, "item", COL_BLOCK, "c"), n_i, size, COL_BLOCK, rank
-    ).select("r_ids", "r_f", "c_ids", "c_f", done.alias("done"))
+    ).select("r_ids", "r_f", "c_ids", "c_f", "done")
 
     def best(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
