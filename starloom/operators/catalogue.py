@@ -40,6 +40,12 @@ def movies_with_links(movies: DataFrame, links: DataFrame) -> DataFrame:
     return movies.join(links.withColumnsRenamed({c: f"{c}_2" for c in clashing}), "item")
 
 
+def without_genres(movies: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Movies with links but without the genre list, and the genre bridge."""
+    linked = movies_with_links(movies, links)
+    return linked.drop("genres"), bridge(linked, "genres", "genre")
+
+
 def _record(table: DataFrame, name: str) -> DataFrame:
     fields = [c for c in table.columns if c != "item"]
     return table.select("item", F.struct(*fields).alias(name))

@@ -145,6 +145,12 @@ def rating_stats(ratings: DataFrame) -> DataFrame:
     return by_user.withColumn("one", F.lit(1)).join(by_item.withColumn("one", F.lit(1)), "one").drop("one")
 
 
+def distinct_counts(ratings: DataFrame, approximate: bool = False) -> DataFrame:
+    """Distinct users and items, exact or by a sketch of fixed size."""
+    count = F.approx_count_distinct if approximate else F.count_distinct
+    return ratings.agg(count("user").alias("n_users"), count("item").alias("n_items"))
+
+
 def degrees(ratings: DataFrame, key: str) -> DataFrame:
     return ratings.groupBy(key).agg(F.count("*").alias("n"))
 

@@ -299,6 +299,12 @@ FROM dated d LEFT JOIN (SELECT item, count(*) AS votes, avg(rating) AS average,
     "newest_items": _with(DATED)
     + "SELECT * FROM dated WHERE release_date NOT IN ('None', '') ORDER BY release_date DESC, item LIMIT 12",
     "genre_filter": _with(MOVIES) + "SELECT * FROM movies WHERE contains(genres, 'widget')",
+    "genre_members": _with(MOVIES) + "SELECT * FROM movies WHERE list_contains(string_split(genres, '|'), 'widget')",
+    "items_without_genres": _with(MOVIES)
+    + """SELECT m.item, title, mpaa, tmdb_id, len(string_split(genres, '|')) AS n_genres FROM movies m
+JOIN (SELECT l_partkey AS item, min(l_suppkey) AS tmdb_id FROM lineitem GROUP BY 1) USING (item)""",
+    "title_lookup": _with(MOVIES) + "SELECT * FROM movies WHERE title = 'red widget'",
+    "items_by_key": _with(MOVIES, TAGS) + "SELECT * FROM movies SEMI JOIN tags USING (item)",
     "genre_bridge": _with(MOVIES) + "SELECT item, unnest(string_split(genres, '|')) AS genre FROM movies",
     "attribute_bridges": _with(MOVIES)
     + """SELECT item, 'genre' AS attribute, unnest(string_split(genres, '|')) AS value FROM movies

@@ -112,6 +112,31 @@ def genre_filter(t: Shapes, work: Workspace) -> DataFrame:
     return catalogue.items_of_genre(t.movies, GENRE, n=None)
 
 
+@query
+def genre_members(t: Shapes, work: Workspace) -> DataFrame:
+    return catalogue.items_of_genre(t.movies, GENRE, n=None, exact=True)
+
+
+@query
+def items_without_genres(t: Shapes, work: Workspace) -> DataFrame:
+    """Movies joined to their links, the genres moved out to the bridge."""
+    links = t.table("lineitem").groupBy(F.col("l_partkey").alias("item")).agg(F.min("l_suppkey").alias("tmdb_id"))
+    items, genres = catalogue.without_genres(t.movies, links)
+    counts = genres.groupBy("item").agg(F.count("*").alias("n_genres"))
+    return items.join(counts, "item", "left")
+
+
+@query
+def title_lookup(t: Shapes, work: Workspace) -> DataFrame:
+    return ratings.by_id(t.movies, "title", "red widget")
+
+
+@query
+def items_by_key(t: Shapes, work: Workspace) -> DataFrame:
+    """Item rows for a key table: the items of the event log."""
+    return ratings.rated_by(t.movies, "item", t.tags, work)
+
+
 @query
 def genre_bridge(t: Shapes, work: Workspace) -> DataFrame:
     return catalogue.bridge(t.movies, "genres", "genre")
@@ -605,14 +630,14 @@ def _misspelled(t: Shapes) -> DataFrame:
 
 @query
 def fuzzy_titles(t: Shapes, work: Workspace) -> DataFrame:
-    return fuzzy.close_titles(_misspelled(t), t.movies)
+    return fuzzy.close_titles(_misspelled(t), t.movies, work)
 
 
 @query
 def similar_to_title(t: Shapes, work: Workspace) -> DataFrame:
     """Items similar to the item a misspelled title stands for."""
     similar = content.similar_items(content.item_text(t.movies), 12, work)
-    return fuzzy.similar_to_titles(_misspelled(t), t.movies, similar)
+    return fuzzy.similar_to_titles(_misspelled(t), t.movies, similar, work)
 
 
 # --- sources, sinks, layouts ---------------------------------------------------------

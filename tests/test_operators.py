@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from starloom.functions import scores, text
+from starloom.functions.vectors import dot
 from starloom.operators import blocks, catalogue, content, fuzzy, index, ratings, split
 from starloom.sources.workspace import Workspace
 
@@ -254,12 +255,21 @@ def levenshtein(a, b):
     return row[-1]
 
 
-def test_close_titles_miss_nothing(spark):
+def test_close_titles_miss_nothing(spark, work):
     rng = np.random.default_rng(9)
-    titles = sorted({"".join(rng.choice(list("abc "), size=rng.integers(1, 12))) for _ in range(120)} - {""})
+    titles = {"".join(rng.choice(list("abc "), size=rng.integers(1, 12))) for _ in range(100)}
+    for _ in range(25):  # long titles, some with a good share of letters changed
+        base = rng.choice(list("abcd "), size=rng.integers(15, 45))
+        for _ in range(4):
+            changed = base.copy()
+            at = rng.random(len(base)) < rng.random() * 0.5
+            changed[at] = rng.choice(list("abcd "), size=at.sum())
+            titles.add("".join(changed[: rng.integers(len(base) // 2, len(base) + 1)]))
+    titles = sorted(titles)
     wanted = titles[::2] + ["a", "ab", "star wars", "star wers"]
     got = fuzzy.close_titles(
-        spark.createDataFrame([(t,) for t in wanted], "title string"), spark.createDataFrame([(t,) for t in titles], "title string"), n=5
+        spark.createDataFrame([(t,) for t in wanted], "title string"),
+        spark.createDataFrame([(t,) for t in titles], "title string"), work, n=5,
     ).collect()
     for a in set(wanted):
         found = sorted((-round(1 - levenshtein(a, b) / max(len(a), len(b)), 6), b) for b in titles)
@@ -267,10 +277,24 @@ def test_close_titles_miss_nothing(spark):
         assert [r["title"] for r in sorted(got, key=lambda r: r["rank"]) if r["wanted"] == a] == want
 
 
-def test_titles_one_letter_apart(spark):
+def test_titles_one_letter_apart(spark, work):
     one = spark.createDataFrame([("Heat",)], "title string")
     many = spark.createDataFrame([("Meat",), ("Heat",), ("Alien",)], "title string")
-    assert [r["title"] for r in fuzzy.close_titles(one, many).orderBy("rank").collect()] == ["Heat", "Meat"]
+    assert [r["title"] for r in fuzzy.close_titles(one, many, work).orderBy("rank").collect()] == ["Heat", "Meat"]
+    with pytest.raises(ValueError):
+        fuzzy.close_titles(one, many, work, cutoff=0.3)
+
+
+def test_distinct_counts(rating_table):
+    table = rating_table([(u % 50, u % 7, 3) for u in range(700)])
+    assert tuple(ratings.distinct_counts(table).first()) == (50, 7)
+    assert abs(ratings.distinct_counts(table, approximate=True).first()["n_users"] - 50) <= 5
+
+
+def test_dot_with_and_without_a_known_rank(spark):
+    v = F.array(F.lit(1.0), F.lit(-2.0), F.lit(0.5))
+    row = spark.range(1).select(dot(v, v).alias("a"), dot(v, v, 3).alias("b")).first()
+    assert row["a"] == row["b"] == 5.25
 
 
 def test_feature_text_of_nulls(spark):
