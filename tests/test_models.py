@@ -177,7 +177,7 @@ def test_every_rating_is_in_one_stratum(spark, work, rating_table):
     run = dsgd.DsgdRun(rating_table(rows), 2, 0.01, work, 4)
     per = {r["stratum"]: r["count"] for r in run.laid.groupBy("stratum").count().collect()}
     assert sum(per.values()) == len(rows) and set(per) <= set(range(4))
-    assert [run.stratum_step(s, 0.01)[1] for s in range(4)] == [per.get(s, 0) for s in range(4)]
+    assert [run.epoch(0.01, [s])[1] for s in range(4)] == [per.get(s, 0) for s in range(4)]
 
 
 def test_more_blocks_than_users(spark, work, rating_table):
@@ -185,6 +185,11 @@ def test_more_blocks_than_users(spark, work, rating_table):
     assert run.epoch(0.01)[1] == 3
 
 
+def test_sgd_needs_ratings(spark, work, rating_table):
+    with pytest.raises(ValueError):
+        dsgd.DsgdRun(rating_table([]), 2, 0.01, work, 2)
+
+
 def test_blocks_grow_until_each_fits(spark, work, rating_table):
     rows = [(u, i, 3) for u in range(64) for i in range(64)]
     run = dsgd.DsgdRun(rating_table(rows), 2, 0.01, work, block_rows=10)
