@@ -31,6 +31,7 @@ class Workspace:
     def __init__(self, spark: SparkSession, label: str):
         self.spark = spark
         self.root = f"{shared_folder(spark)}/starloom/{label}-{uuid.uuid4().hex}"
+        self.tables: list[str] = []
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -60,10 +61,21 @@ class Workspace:
             .format("parquet")
             .saveAsTable(table)
         )
+        self.tables.append(table)
         return self.spark.table(table)
 
     def discard(self, name: str) -> None:
         """Delete a table that nothing refers to any more."""
+        self._delete(self.path(name))
+
+    def remove(self) -> None:
+        """Delete everything, once the run's results are stored elsewhere."""
+        for table in self.tables:
+            self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+        self.tables.clear()
+        self._delete(self.root)
+
+    def _delete(self, place: str) -> None:
         jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.path(name))
+        path = jvm.org.apache.hadoop.fs.Path(place)
         path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

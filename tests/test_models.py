@@ -82,6 +82,19 @@ def test_als_objective_never_rises(spark, work, rating_table):
     assert all(b <= a + 1e-9 for a, b in zip(values, values[1:]))
 
 
+def test_routes_agree_on_any_number_of_partitions(spark, rating_table):
+    table = rating_table(triples(seed=8))
+    seen = []
+    for partitions in (1, 4, 16):
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        try:
+            for route in ("joined", "routed"):
+                seen.append(als.train_als(table, 2, 2, 0.1, Workspace(spark, "n"), route=route)[1][-1][1])
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", 4)
+    assert seen == pytest.approx([seen[0]] * 6)
+
+
 def test_unrated_ids_keep_their_vector(spark, work, rating_table):
     train = rating_table([(1, 1, 4), (2, 1, 3)])
     test = rating_table([(3, 9, 5), (1, 1, 2)])
@@ -213,6 +226,12 @@ def test_partial_epochs_continue(spark, work, rating_table):
         np.testing.assert_allclose(a[k], b[k])
 
 
+def test_shuffled_strata_still_cover_all(spark, work, rating_table):
+    rows = triples()
+    run, curve = dsgd.train_dsgd(rating_table(rows), 2, 1, 0.01, dsgd.constant(0.01), work, blocks=3, seed=1)
+    assert run.losses(1, 3)[1] == len(rows) and curve[1][1] < curve[0][1]
+
+
 def test_step_schedules():
     assert dsgd.decaying(0.1)(1) == pytest.approx(0.09)
     assert dsgd.power_law(5500, 0.8)(0) == pytest.approx(5500**-0.8)

@@ -79,6 +79,24 @@ def test_bucketed_table_groups_without_a_shuffle(spark, work):
     assert "Exchange" not in plan and table.count() == 100
 
 
+def test_removed_workspace(spark):
+    work = workspace.Workspace(spark, "gone")
+    work.write_bucketed(spark.range(10), "b", "id", 2)
+    (table,) = work.tables
+    work.remove()
+    assert not spark.catalog.tableExists(table)
+    with pytest.raises(Exception):
+        spark.read.parquet(work.path("b")).count()
+
+
+def test_training_takes_the_newest_rating(spark, work):
+    rows = [(1, 1, 1.0, 1), (1, 1, 5.0, 2), (2, 1, 3.0, 1)]
+    ratings = spark.createDataFrame(rows, "user long, item long, rating double, ts long")
+    run = run_all(spark, ratings, Settings("als", 1, 3, 0.001), work.path("runs"), "r1")
+    best = {r["user"]: r["predict"] for r in run.latest("predictions").collect()}
+    assert best[1] == pytest.approx(5, abs=0.1) and best[2] == pytest.approx(3, abs=0.1)
+
+
 def test_full_run_publishes_raw_ids(spark, work, rating_table):
     ratings = rating_table([(10, 100, 4), (10, 300, 2), (20, 100, 5), (35, 300, 1)])
     run = run_all(spark, ratings, Settings("als", 2, 2, 0.1), work.path("runs"), "r1")
