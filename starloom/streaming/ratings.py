@@ -35,7 +35,7 @@ class RatingLog:
         latest_per_pair(batch, *NEWEST).write.mode("overwrite").parquet(f"{self.root}/batch={batch_id}")
 
     def current(self) -> DataFrame:
-        stored = self.spark.read.parquet(f"{self.root}/batch=*")
+        stored = self.spark.read.parquet(self.root).drop("batch")
         return latest_per_pair(stored, *NEWEST)
 
     def compact(self, target: str) -> "RatingLog":
@@ -63,7 +63,7 @@ def item_stats_stream(events: DataFrame, root: str, checkpoint: str) -> Streamin
     """Write the items each micro-batch changed to the batch's own folder."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("version", F.lit(batch_id)).write.mode("overwrite").parquet(f"{root}/batch={batch_id}")
+        batch.write.mode("overwrite").parquet(f"{root}/batch={batch_id}")
 
     return (
         item_stats(events)
@@ -77,8 +77,8 @@ def item_stats_stream(events: DataFrame, root: str, checkpoint: str) -> Streamin
 
 def current_item_stats(spark: SparkSession, root: str) -> DataFrame:
     """The newest version of every item's figures."""
-    newest = F.max_by(F.struct("n_ratings", "sum_rating"), "version").alias("s")
-    return spark.read.parquet(f"{root}/batch=*").groupBy("item").agg(newest).select("item", "s.*")
+    newest = F.max_by(F.struct("n_ratings", "sum_rating"), "batch").alias("s")
+    return spark.read.parquet(root).groupBy("item").agg(newest).select("item", "s.*")
 
 
 __all__ = ["PAIR", "RatingLog", "current_item_stats", "item_stats", "item_stats_stream", "read_event_stream", "upsert_stream"]
