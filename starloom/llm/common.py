@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import unicodedata
 from collections.abc import Callable, Iterable, Iterator
+from itertools import compress, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +20,7 @@ GAP = r"[\x20\x09-\x0D]+"
 
 def let(value: Column, use: Callable[[Column], Column]) -> Column:
     """``use(value)`` with ``value`` computed once per row, however often it is used."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
+    return F.get(F.transform(F.array(value), lambda x: use(x)), F.lit(0))
 
 
 def words(text: Column) -> Column:
@@ -63,7 +63,7 @@ def word_codes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
     """
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
-    split = pc.ascii_split_whitespace(pc.fill_null(texts.cast(pa.large_string()), ""))
+    split = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
     bounds = split.offsets.to_numpy().astype(np.int64)
     values = split.values.slice(bounds[0], bounds[-1] - bounds[0])
     coded = values.dictionary_encode()
@@ -128,7 +128,7 @@ class WordEncoder:
     """Token ids of whole texts for a tokenizer that encodes each word by itself.
 
     Holds for a vocabulary whose normaliser and splitter never join characters
-    across ASCII white space. Every distinct word is encoded by the library
+    across ASCII white space, and lowers letters. Every distinct word is encoded by the library
     once and remembered; the tests compare the ids with those of whole texts.
     """
 
@@ -160,38 +160,30 @@ class WordEncoder:
         return [np.array(x.ids, "<u4").tobytes() for x in found]
 
     def _make(self, new: list[str]) -> list[bytes]:
-        """Runs of plain letters are encoded many at a time: each of them is one
-        word of the vocabulary's splitter and ends in one word-end token."""
-        cores, plain, rest = {}, [], []
-        for i, word in enumerate(new):
-            core = word.rstrip(".,;:!?")
-            key = core.lower() if core.isascii() else core
-            if key.isalpha() and (key.isascii() or unicodedata.normalize("NFC", key).lower().isalpha()):
-                cores.setdefault(key, len(cores))
-                plain.append((i, key, word[len(core) :]))
-            else:
-                rest.append(i)
-        names, values = list(cores), []
+        """Runs of letters are encoded many at a time: each is one word of the
+        vocabulary's splitter and ends in one word-end token, which the count
+        of these tokens confirms."""
+        letters = list(map(str.isalpha, new))
+        names, values = list(compress(new, letters)), []
         for at in range(0, len(names), self.RUN):
             run = names[at : at + self.RUN]
             ids = np.array(self.tokenizer.encode(" ".join(run), add_special_tokens=False).ids, "<u4")
-            cuts = np.flatnonzero(self.ends[ids]) + 1
-            if len(cuts) == len(run) and cuts[-1] == len(ids):
-                raw, b = ids.tobytes(), [0, *(cuts * 4).tolist()]
-                values += [raw[b[k] : b[k + 1]] for k in range(len(run))]
+            cuts = (np.flatnonzero(self.ends[ids]) + 1) * 4
+            if len(cuts) == len(run):
+                raw, b = ids.tobytes(), [0, *cuts.tolist()]
+                values += [raw[i:j] for i, j in pairwise(b)]
             else:
                 values += self._one_by_one(run)
-        out: list[bytes] = [b""] * len(new)
-        tails = sorted({t for _, _, t in plain if t})
-        tail = {"": b"", **dict(zip(tails, self._one_by_one(tails)))}
-        for i, key, end in plain:
-            out[i] = values[cores[key]] + tail[end]
-        for i, v in zip(rest, self._one_by_one([new[i] for i in rest])):
-            out[i] = v
-        return out
+        others = iter(self._one_by_one([w for w, plain in zip(new, letters) if not plain]))
+        plain = iter(values)
+        return [next(plain) if x else next(others) for x in letters]
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a batch of texts, and the bounds of each text among them."""
+        texts = pc.ascii_lower(pc.fill_null(texts, ""))
+        # Marks between a letter and white space are words of their own to the
+        # splitter: apart from the letters there are fewer distinct words.
+        texts = pc.replace_substring_regex(texts, r"(\pL)([.,;:!?]+)([\t\n\r ]|$)", r"\1 \2\3")
         bounds, codes, distinct = word_codes(texts)
         parts = self.known.look_up(distinct, self._make)
         return joined(parts, codes, bounds, 4)

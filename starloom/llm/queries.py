@@ -6,16 +6,46 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import packing, tokens
+from starloom.llm import credentials, hamming, language, lines, neighbours, packing, pieces, quality, shards, tokens
 from starloom.sources.workspace import Workspace
 
 VOCABULARY = "word_bpe_49k.json"
+PIECES = "piece_bpe_32k.model"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), Workspace(spark, "quality"))
+    base = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    return judged.select("doc_id", *base, "base_failed", "kept", "rule")
+
+
+def op2_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = shards.place(table(spark, sf_dir, "documents"), Workspace(spark, "shards"))
+    none = F.lit(None).cast("int")
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", none.alias("grown_shard"), "curve"
+    )
+
+
+def op3_line_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = lines.remove_repeats(table(spark, sf_dir, "documents"), Workspace(spark, "lines"))
+    return cleaned.select("doc_id", "text", "n_lines", "n_removed")
+
+
+def op4_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found = language.identify(docs, Workspace(spark, "language"))
+    return found.select("doc_id", "held_out", F.col("pred").alias("lang_pred"), "score", "rejected")
+
+
+def op5_flat_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.groups(table(spark, sf_dir, "embeddings"), Workspace(spark, "neighbours"))
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.pack(
         table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY), Workspace(spark, "packing")
@@ -23,6 +53,17 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op7_owned_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return credentials.report(table(spark, sf_dir, "documents"), Workspace(spark, "secrets"))
+
+
+def op8_piece_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = public_tokenizers.path(PIECES)
+    texts = pieces.decoded(pieces.encoded(table(spark, sf_dir, "documents"), model), model)
+    crc = F.crc32(F.col("text").cast("binary"))
+    return texts.select("doc_id", "n_pieces", F.crc32("ids").alias("ids_crc32"), crc.alias("decoded_crc32"))
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     work = Workspace(spark, "tokens")
     files, ranks = tokens.write_files(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY), work)
@@ -30,9 +71,24 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op10_hamming_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = hamming.groups(docs, Workspace(spark, "hamming"), width=4)
+    kept = F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")
+    return found.select("doc_id", "n_shingles", "component_id", kept)
+
+
 QUERIES = {
+    "op1_decision_list": op1_decision_list,
+    "op2_hilbert_shards": op2_hilbert_shards,
+    "op3_line_windows": op3_line_windows,
+    "op4_kneser_ney": op4_kneser_ney,
+    "op5_flat_graph": op5_flat_graph,
     "op6_best_fit_packing": op6_best_fit_packing,
+    "op7_owned_secrets": op7_owned_secrets,
+    "op8_piece_transducer": op8_piece_transducer,
     "op9_token_files": op9_token_files,
+    "op10_hamming_groups": op10_hamming_groups,
 }
 
 ORACLES: dict[str, str] = {}
