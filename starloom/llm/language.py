@@ -10,8 +10,8 @@ context, one column per language, found by binary search.
 
 A text belongs to the language with the lowest cross-entropy per letter. It is
 rejected if that exceeds a limit calibrated per language on the labelled texts:
-their median plus six robust standard deviations, plus a share that shrinks
-with the root of the text's length.
+their median plus six robust standard deviations, one and a quarter bits at
+least, plus a share that shrinks with the root of the text's length.
 
 Counts come from all labelled texts. A letter group rarer than ``RAREST`` of a
 language's letters is left to the shorter context, so a model has at most
@@ -41,6 +41,7 @@ ORDER = 4
 RAREST = 2.0**-20
 UNKNOWN = "und"
 ROBUST_DEVIATIONS = 6
+LEAST_MARGIN = 1.25
 SHORT_TEXT_BITS = 12.0
 START, END = 2, 3
 RUN = re.compile(r"[^\W\d_]+")
@@ -217,9 +218,9 @@ def _table(key: np.ndarray, lang: np.ndarray, part: np.ndarray, width: int, empt
     return hashes, values.astype(np.float32)
 
 
-def scored(docs: DataFrame, models: Models | None) -> DataFrame:
-    """``docs`` without its text, with pred, score, entropy (bits per letter) and n_letters."""
-    others = [c for c in docs.columns if c != "text"]
+def scored(docs: DataFrame, models: Models | None, text: str = "text") -> DataFrame:
+    """``docs`` without the column ``text``, with pred, score, entropy (bits per letter) and n_letters."""
+    others = [c for c in docs.columns if c != text]
     schema = docs.select(*others).schema
     for name, kind in (("pred", "string"), ("score", "double"), ("entropy", "double"), ("n_letters", "long")):
         schema = schema.add(name, kind)
@@ -240,8 +241,8 @@ def scored(docs: DataFrame, models: Models | None) -> DataFrame:
             size = 4 * (width + 1)
             return [both[i : i + size] for i in range(0, len(both), size)]
 
-        for batch in small_batches(batches, "text"):
-            bounds, codes, distinct = word_codes(_lowered(batch.column("text")))
+        for batch in small_batches(batches, text):
+            bounds, codes, distinct = word_codes(_lowered(batch.column(text)))
             table = np.frombuffer(b"".join(known.look_up(distinct, make)), "<f4").reshape(len(distinct), width + 1)
             doc = np.repeat(np.arange(batch.num_rows), np.diff(bounds))
             sums = [np.bincount(doc, table[codes, k].astype(np.float64), minlength=batch.num_rows) for k in range(width + 1)]
@@ -262,7 +263,7 @@ def scored(docs: DataFrame, models: Models | None) -> DataFrame:
                 names=[*others, "pred", "score", "entropy", "n_letters"],
             )
 
-    return docs.select(*others, "text").mapInArrow(work, schema)
+    return docs.select(*others, text).mapInArrow(work, schema)
 
 
 def limits(found: DataFrame, lang: str) -> dict[str, float]:
@@ -273,7 +274,7 @@ def limits(found: DataFrame, lang: str) -> dict[str, float]:
     for name, m in middle.items():
         away = F.when(F.col(lang) == name, F.abs(F.col("entropy") - m)).otherwise(away)
     spread = own.groupBy(lang).agg(F.percentile_approx(away, 0.5, 1000).alias("s")).collect()
-    return {r[lang]: middle[r[lang]] + ROBUST_DEVIATIONS * 1.4826 * r["s"] for r in spread}
+    return {r[lang]: middle[r[lang]] + max(ROBUST_DEVIATIONS * 1.4826 * r["s"], LEAST_MARGIN) for r in spread}
 
 
 def accepted(limit: dict[str, float]):
@@ -301,3 +302,15 @@ def identify(docs: DataFrame, work: Workspace, lang: str = "lang") -> DataFrame:
     found = work.write(scored(docs.withColumn("held_out", held_out()), models), "scored")
     limit = limits(found.filter("not held_out"), lang)
     return found.withColumn("rejected", ~accepted(limit))
+
+
+def filtered(docs: DataFrame, work: Workspace, lang: str = "lang") -> DataFrame:
+    """``docs`` without the rows that are rejected."""
+    learned = docs.filter(~held_out() & F.col(lang).isNotNull()).select("text", F.col(lang).alias("lang"))
+    names = [f"column_{k}" for k in range(len(docs.columns))]
+    plain = docs.withColumn("held_out", held_out()).withColumn("read", F.col("text"))
+    plain = plain.select(*[F.col(c).alias(n) for c, n in zip(docs.columns, names)], "held_out", "read")
+    found = work.write(scored(plain, train(learned, work), "read"), "scored")
+    label = names[docs.columns.index(lang)]
+    limit = limits(found.filter("not held_out"), label)
+    return found.filter(accepted(limit)).select(*[F.col(n).alias(c) for c, n in zip(docs.columns, names)])
