@@ -10,11 +10,13 @@ distance meets under some key.
 
 Under a key only a shortest spanning forest of the members within the distance
 is proposed, not all pairs, and each proposal is confirmed on the full shingle
-sets. Where a proposal fails, the components it would have joined are searched
-again for further pairs, with more partners per member every time, until no
-unseen pair is left: links that decide the components are all tried. Equal sets
-are one node from the start. A key with very many members is split into blocks
-that meet pairwise.
+sets. Proposals join the nodes into families; every pair within the distance
+lies in one. In a family whose confirmed links leave several components, pairs
+across components are compared on full sets inside the tasks, in pieces of
+bounded size that meet pairwise, and only spanning links leave a task. So no
+link that decides a component is missed, and no group's pairs are written out.
+Equal sets are one node from the start. A key with very many members is split
+into blocks that meet pairwise.
 
 Defined results: a text without words, or null, has no set and is alone; fewer
 words than a shingle count as one shingle; repeated rows are copies; null ids
@@ -44,6 +46,9 @@ DISTANCE = 2 * CHUNKS - 1
 HOT = 8192
 FILTER_BITS = 23
 
+# A family's pieces: few nodes while that makes few pieces, then more up to a bound.
+PIECE, MANY_PIECES, LARGE_PIECE, PIECE_VALUES = 128, 32, 1024, 1_000_000
+
 _RANDOM = np.random.default_rng(20240229)
 FACTORS = _RANDOM.integers(1 << 62, 1 << 63, SYMBOLS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 SHIFTS = _RANDOM.integers(0, 1 << 63, SYMBOLS, dtype=np.uint64)
@@ -108,7 +113,7 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
 
 
 def filed(nodes: DataFrame) -> DataFrame:
-    """(key, v, label, sig): every node under all versions of its chunks with one symbol left out."""
+    """(key, v, sig): every node under all versions of its chunks with one symbol left out."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -130,11 +135,11 @@ def filed(nodes: DataFrame) -> DataFrame:
             raw = short.tobytes()
             sigs = pa.array([raw[i : i + SYMBOLS] for i in range(0, len(raw), SYMBOLS)], pa.binary())
             yield pa.record_batch(
-                [pa.array(keys.view(np.int64)), *(batch.column(c).take(pa.array(each)) for c in ("v", "label")), sigs.take(pa.array(each))],
-                names=["key", "v", "label", "sig"],
+                [pa.array(keys.view(np.int64)), batch.column("v").take(pa.array(each)), sigs.take(pa.array(each))],
+                names=["key", "v", "sig"],
             )
 
-    return nodes.select("v", "label", "sig").mapInArrow(work, "key bigint, v bigint, label bigint, sig binary")
+    return nodes.select("v", "sig").mapInArrow(work, "key bigint, v bigint, sig binary")
 
 
 def forest(v: np.ndarray, sig: np.ndarray) -> tuple[list[int], list[int]]:
@@ -155,24 +160,10 @@ def forest(v: np.ndarray, sig: np.ndarray) -> tuple[list[int], list[int]]:
     return a, b
 
 
-def partners(v: np.ndarray, label: np.ndarray, sig: np.ndarray, most: int) -> tuple[list[int], list[int], bool]:
-    """Each member's nearest ``most`` members of other components within DISTANCE; whether there are more."""
-    a, b, more = [], [], False
-    for i in range(len(v)):
-        apart = (sig != sig[i]).sum(axis=1)
-        near = np.flatnonzero((apart <= DISTANCE) & (label != label[i]))
-        if len(near) > most:
-            more = True
-            near = near[np.lexsort((v[near], apart[near]))[:most]]
-        a += [int(v[i])] * len(near)
-        b += v[near].tolist()
-    return a, b, more
-
-
-def proposals(nodes: DataFrame, work: Workspace, name: str, most: int) -> DataFrame:
-    """(a, b, more) with a < b, stored: pairs to confirm. ``most`` 0 proposes forests."""
+def proposals(nodes: DataFrame, work: Workspace) -> DataFrame:
+    """(a, b) with a < b, stored: pairs to confirm."""
     keyed = filed(nodes)
-    hot = work.write(filed(nodes).groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > HOT), f"{name}-hot")
+    hot = work.write(filed(nodes).groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > HOT), "hot")
     if hot.isEmpty():
         keyed = keyed.withColumn("pair", F.lit(0).cast("bigint"))
     else:
@@ -184,28 +175,24 @@ def proposals(nodes: DataFrame, work: Workspace, name: str, most: int) -> DataFr
             lambda other: F.least(other, F.col("mine")) * F.col("blocks") + F.greatest(other, F.col("mine")),
         )
         keyed = keyed.join(hot, "key", "left").withColumn("blocks", blocks).withColumn("mine", mine)
-        keyed = keyed.select("key", F.explode(cells).alias("pair"), "v", "label", "sig")
+        keyed = keyed.select("key", F.explode(cells).alias("pair"), "v", "sig")
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def found(a: list, b: list, more: bool) -> pa.RecordBatch:
+        def found(a: list, b: list) -> pa.RecordBatch:
             a, b = np.array(a, np.int64), np.array(b, np.int64)
-            low, high = np.minimum(a, b), np.maximum(a, b)
-            return pa.record_batch([pa.array(low), pa.array(high), pa.array([more] * len(a), pa.bool_())], names=["a", "b", "more"])
+            return pa.record_batch([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
         def buckets(rows: pa.Table) -> Iterator[pa.RecordBatch]:
             n = rows.num_rows
-            key, pair, v, label = (rows.column(c).to_numpy() for c in ("key", "pair", "v", "label"))
+            key, pair, v = (rows.column(c).to_numpy() for c in ("key", "pair", "v"))
             starts = np.flatnonzero(np.concatenate(([True], (key[1:] != key[:-1]) | (pair[1:] != pair[:-1]))))
             sizes = np.diff(np.concatenate((starts, [n])))
             sig = np.frombuffer(b"".join(rows.column("sig").to_pylist()), np.uint8).reshape(n, SYMBOLS)
             twos = starts[sizes == 2]
-            close = ((sig[twos] != sig[twos + 1]).sum(axis=1) <= DISTANCE) & (label[twos] != label[twos + 1])
-            yield found(v[twos[close]], v[twos[close] + 1], False)
+            close = (sig[twos] != sig[twos + 1]).sum(axis=1) <= DISTANCE
+            yield found(v[twos[close]], v[twos[close] + 1])
             for s, k in zip(starts[sizes > 2].tolist(), sizes[sizes > 2].tolist()):
-                if most:
-                    yield found(*partners(v[s : s + k], label[s : s + k], sig[s : s + k], most))
-                else:
-                    yield found(*forest(v[s : s + k], sig[s : s + k]), False)
+                yield found(*forest(v[s : s + k], sig[s : s + k]))
 
         held: list[pa.RecordBatch] = []
         for batch in batches:
@@ -223,8 +210,7 @@ def proposals(nodes: DataFrame, work: Workspace, name: str, most: int) -> DataFr
             yield from buckets(pa.Table.from_batches(held))
 
     dealt = keyed.repartition("key", "pair").sortWithinPartitions("key", "pair", "v")
-    pairs = dealt.mapInArrow(meet, "a bigint, b bigint, more boolean")
-    return work.write(pairs.groupBy("a", "b").agg(F.max("more").alias("more")), name)
+    return work.write(dealt.mapInArrow(meet, "a bigint, b bigint").distinct(), "pairs")
 
 
 def sets_of(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, width: int, work: Workspace) -> DataFrame:
@@ -275,6 +261,59 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.filter(F.col("common") * 100 >= (F.col("na") + F.col("nb") - F.col("common")) * percent).select("a", "b")
 
 
+def across(pairs: DataFrame, roots: DataFrame, sets: DataFrame, percent: int, work: Workspace) -> DataFrame:
+    """(a, b), stored: spanning links between the components of each family.
+
+    ``pairs`` joined into components are the families. Only those whose members
+    have several roots are looked at.
+    """
+    families = components(pairs, work, "families").withColumnRenamed("root", "family")
+    members = families.join(roots, "node", "left").select(
+        "family", F.col("node").alias("v"), F.coalesce("root", "node").alias("label")
+    )
+    sizes = members.join(sets.select("v", "n"), "v").groupBy("family").agg(
+        F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("size"), F.sum("n").alias("total")
+    )
+    few = F.least(F.ceil(F.col("size") / PIECE), F.lit(MANY_PIECES))
+    pieces = F.greatest(few, F.ceil(F.col("size") / LARGE_PIECE), F.ceil(F.col("total") / PIECE_VALUES)).cast("bigint")
+    undecided = work.write(sizes.filter("low <> high").select("family", pieces.alias("pieces")), "undecided")
+    piece = F.pmod(F.xxhash64("v"), F.col("pieces"))
+    cells = F.transform(
+        F.sequence(F.lit(0).cast("bigint"), F.col("pieces") - 1),
+        lambda other: F.least(other, piece) * F.col("pieces") + F.greatest(other, piece),
+    )
+    placed = members.join(undecided, "family").select("family", "v", "label", F.explode(cells).alias("cell"))
+
+    def compare(rows: pd.DataFrame) -> pd.DataFrame:
+        """Links between different labels, shingle by shingle through the list of its holders."""
+        values = rows["values"].tolist()
+        v, label, n = rows["v"].to_numpy(), rows["label"].to_numpy(), np.array([len(x) for x in values])
+        flat = np.concatenate(values)
+        holder = np.repeat(np.arange(len(v)), n)
+        order = np.argsort(flat, kind="stable")
+        ends = np.searchsorted(flat[order], flat, "right")
+        starts = np.searchsorted(flat[order], flat, "left")
+        holders, first = holder[order], np.cumsum(n) - n
+        group, a, b = np.unique(label, return_inverse=True)[1], [], []
+        for i in range(len(v)):
+            if (group == group[i]).all():
+                break
+            own = slice(first[i], first[i] + n[i])
+            size = ends[own] - starts[own]
+            at = np.repeat(starts[own] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+            common = np.bincount(holders[at], minlength=len(v))
+            linked = np.flatnonzero((common * 100 >= (n + n[i] - common) * percent) & (group != group[i]))
+            for j in linked.tolist():
+                if group[j] != group[i]:
+                    a.append(v[i])
+                    b.append(v[j])
+                    group[group == group[j]] = group[i]
+        return pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
+
+    full = placed.join(sets.select("v", "values"), "v")
+    return work.write(full.groupBy("family", "cell").applyInPandas(compare, "a bigint, b bigint"), "across")
+
+
 def groups(docs: DataFrame, work: Workspace, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """``docs`` without text, with n_shingles and component_id, stored.
 
@@ -283,35 +322,14 @@ def groups(docs: DataFrame, work: Workspace, width: int = WIDTH, percent: int =
     sketched = work.write(sketches(docs.withColumn("doc_id", F.col("doc_id").cast("bigint")), width), "sketches")
     nodes = sketched.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("sig").alias("sig"))
     nodes = work.write(nodes.withColumn("v", F.monotonically_increasing_id()), "nodes")
-    found = proposals(nodes.withColumn("label", F.col("v")), work, "pairs-0", 0)
-    sets = sets_of(docs, nodes, found, width, work)
-    tried = found.select("a", "b")
-    links = work.write(confirmed(tried, sets, percent), "links-0")
-    roots = components(links, work, "roots-0")
-    most = 4
-    for step in range(1, 40):
-        # Components that a failed pair would have joined, and all their nodes.
-        left, right = (roots.select(F.col("node").alias(c), F.col("root").alias(f"l{c}")) for c in ("a", "b"))
-        apart = tried.join(left, "a", "left").join(right, "b", "left")
-        apart = apart.select(F.coalesce("la", "a").alias("la"), F.coalesce("lb", "b").alias("lb")).filter("la <> lb")
-        open_labels = work.write(apart.select(F.explode(F.array("la", "lb")).alias("label")).distinct(), f"open-{step}")
-        if open_labels.isEmpty():
-            break
-        labelled = nodes.join(roots.withColumnRenamed("node", "v"), "v", "left").withColumn("label", F.coalesce("root", "v"))
-        again = work.write(labelled.join(open_labels, "label").select("v", "label", "sig"), f"again-{step}")
-        found = proposals(again, work, f"pairs-{step}", most)
-        unseen = work.write(found.join(tried, ["a", "b"], "left_anti"), f"unseen-{step}")
-        if unseen.isEmpty() and found.filter("more").isEmpty():
-            break
-        new = work.write(confirmed(unseen, sets, percent), f"links-{step}")
-        tried = work.write(tried.unionByName(unseen.select("a", "b")), f"tried-{step}")
-        if not new.isEmpty():
-            # Stars of the old components and the new links.
-            links = work.write(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(new), f"all-{step}")
-            roots = components(links, work, f"roots-{step}")
-        elif found.filter("more").isEmpty():
-            break
-        most *= 8
+    pairs = proposals(nodes, work)
+    sets = sets_of(docs, nodes, pairs, width, work)
+    links = work.write(confirmed(pairs, sets, percent), "links")
+    roots = components(links, work, "roots")
+    more = across(pairs, roots, sets, percent, work)
+    if not more.isEmpty():
+        stars = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+        roots = components(stars.unionByName(more), work, "all-roots")
     rooted = nodes.select("v", "node", "doc_id").join(roots.withColumnRenamed("node", "v"), "v", "left")
     rooted = rooted.withColumn("root", F.coalesce("root", "v"))
     names = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
