@@ -11,8 +11,9 @@ pair is the model's own segmentation, so the shortest path of the input through
 the composition (tropical semiring: weights add up, the least wins) gives the
 library's ids.
 
-No piece holds a space mark behind another character, nor a line break or tab,
-so texts are cut there and every distinct part is composed once per worker.
+Two neighbouring characters that stand together in no piece are never joined,
+so texts fall into independent parts there, and every distinct part is composed
+once per worker: first the words, then the parts of new words.
 
 Defined results: a null text is empty and has no ids; the space mark itself
 reads as a space; decoding returns the text with such marks as spaces; repeated
@@ -24,6 +25,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from math import inf
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +41,7 @@ _MODELS: dict[str, "Transducer"] = {}
 class Transducer:
     """Normaliser, lexicon and pair machine of one model file."""
 
-    PARTS = re.compile(f"{MARK}+[^{MARK}\n\t]*|[^{MARK}\n\t]+|[\n\t]")
+    WORDS = re.compile(f"{MARK}+[^{MARK}\n\t]*|[^{MARK}\n\t]+|[\n\t]")
 
     def __init__(self, path: str):
         import sentencepiece
@@ -60,8 +62,9 @@ class Transducer:
         if any(MARK in p.lstrip(MARK) or "\n" in p or "\t" in p for p in self.pieces):
             raise ValueError("a piece spans a cut between parts")
         self.states = {p[:n] for p in self.pieces for n in range(1, len(p) + 1)}
+        self.together = {p[n : n + 2] for p in self.pieces for n in range(len(p) - 1)}
         self.follows: dict[tuple[str, str], bool] = {}
-        self.known = Recent(250_000)
+        self.words, self.parts = Recent(150_000), Recent(150_000)
 
     @classmethod
     def at(cls, path: str) -> "Transducer":
@@ -120,17 +123,36 @@ class Transducer:
             n = j
         return ids[::-1]
 
+    def _of_parts(self, new: list[str]) -> list[bytes]:
+        return [np.array(self.shortest(x), "<u4").tobytes() for x in new]
+
+    def _of_words(self, new: list[str]) -> list[bytes]:
+        """Ids of words through those of their independent parts."""
+        together = self.together
+        cut: list[list[str]] = []
+        distinct: dict[str, int] = {}
+        for word in new:
+            own, start = [], 0
+            for at, pair in enumerate(map(add, word, word[1:]), 1):
+                if pair not in together:
+                    own.append(word[start:at])
+                    start = at
+            own.append(word[start:])
+            cut.append(own)
+            for part in own:
+                distinct.setdefault(part, len(distinct))
+        ids = dict(zip(distinct, self.parts.look_up(list(distinct), self._of_parts)))
+        return [ids[own[0]] if len(own) == 1 else b"".join([ids[x] for x in own]) for own in cut]
+
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a batch of texts, and the bounds of each text among them."""
-        parts: list[str] = []
+        words: list[str] = []
         bounds = [0]
         for text in texts:
-            parts += self.PARTS.findall(self.normalised(text))
-            bounds.append(len(parts))
-        coded = pa.array(parts, pa.string()).dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
-        make = lambda new: [np.array(self.shortest(x), "<u4").tobytes() for x in new]
-        found = self.known.look_up(distinct, make)
+            words += self.WORDS.findall(self.normalised(text))
+            bounds.append(len(words))
+        coded = pa.array(words, pa.string()).dictionary_encode()
+        found = self.words.look_up(coded.dictionary.to_pylist(), self._of_words)
         return joined(found, coded.indices.to_numpy().astype(np.int64), np.array(bounds), 4)
 
     def decode(self, ids: np.ndarray) -> str:
