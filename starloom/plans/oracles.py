@@ -214,17 +214,20 @@ def tfidf(texts: str) -> str:
     return f"""t AS (SELECT id, unnest(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}_]{{2,}}')) AS token FROM ({texts})),
 tf AS MATERIALIZED (SELECT id, token, count(*) AS c FROM t GROUP BY ALL),
 df AS (SELECT token, count(*) AS df FROM tf GROUP BY token),
-n AS (SELECT count(DISTINCT id) AS n FROM tf),
+n AS (SELECT count(*) AS n FROM ({texts})),
 raw_w AS MATERIALIZED (SELECT id, token, c * (ln((1.0 + n) / (1.0 + df)) + 1) AS w FROM tf JOIN df USING (token) CROSS JOIN n),
 len AS (SELECT id, sqrt(sum(w * w)) AS length FROM raw_w GROUP BY id),
 weights AS MATERIALIZED (SELECT id, token, w / length AS weight FROM raw_w JOIN len USING (id))"""
 
 
-def cosine(n: int, self_too: bool = False) -> str:
+def cosine(texts: str, n: int, self_too: bool = False) -> str:
     skip = "" if self_too else "WHERE a.id <> b.id"
-    return f"""scores AS (
+    return f"""products AS (
   SELECT a.id AS id, b.id AS other, round(sum(a.weight * b.weight), 6) AS score
-  FROM weights a JOIN weights b USING (token) {skip} GROUP BY 1, 2 HAVING round(sum(a.weight * b.weight), 6) > 0),
+  FROM weights a JOIN weights b USING (token) GROUP BY 1, 2),
+scores AS (
+  SELECT a.id AS id, b.id AS other, coalesce(score, 0.0) AS score
+  FROM ({texts}) a CROSS JOIN ({texts}) b LEFT JOIN products p ON p.id = a.id AND p.other = b.id {skip}),
 best AS (SELECT id, other, score, row_number() OVER (PARTITION BY id ORDER BY score DESC, other) AS rank FROM scores
          QUALIFY rank <= {n})"""
 
@@ -450,15 +453,15 @@ LEFT JOIN ratings r ON r."user" = p."user" AND r.item = p.item""",
     + 'SELECT "user", rank, item, title, genres FROM ranked LEFT JOIN movies USING (item)',
     "tfidf_weights": _with(tfidf(DOC_TEXT)) + "SELECT id, token, round(weight, 6) AS weight FROM weights",
     "item_tfidf": _with(tfidf(ITEM_TEXT)) + "SELECT id, token, round(weight, 6) AS weight FROM weights",
-    "similar_items": _with(tfidf(ITEM_TEXT), cosine(59, self_too=True)) + "SELECT * FROM best",
-    "similar_documents": _with(tfidf(DOC_TEXT), cosine(10)) + "SELECT * FROM best",
+    "similar_items": _with(tfidf(ITEM_TEXT), cosine(ITEM_TEXT, 59, self_too=True)) + "SELECT * FROM best",
+    "similar_documents": _with(tfidf(DOC_TEXT), cosine(DOC_TEXT, 10)) + "SELECT * FROM best",
     "similar_vectors": """WITH s AS (
   SELECT a.vec_id AS id, b.vec_id AS other,
          round(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 6) AS score
   FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id)
 SELECT id, other, score, row_number() OVER (PARTITION BY id ORDER BY score DESC, other) AS rank FROM s QUALIFY rank <= 10""",
     "fuzzy_titles": _with(FUZZY) + "SELECT wanted, title, score, rank FROM matches WHERE rank <= 3",
-    "similar_to_title": _with(tfidf(ITEM_TEXT), cosine(12), FUZZY)
+    "similar_to_title": _with(tfidf(ITEM_TEXT), cosine(ITEM_TEXT, 12), FUZZY)
     + """SELECT wanted, title, b.id, other, b.score, b.rank FROM matches m
 JOIN (SELECT p_name AS title, min(p_partkey) AS id FROM part GROUP BY 1) USING (title) JOIN best b USING (id) WHERE m.rank = 1""",
     "partitioned_by_date": """SELECT strftime(ts, '%Y-%m-%d') AS day, count(*) AS n, min(event_id) AS first_id,
@@ -502,7 +505,7 @@ FROM w3 w JOIN user_ids u ON u.du = w."user" CROSS JOIN h3 h GROUP BY 1""",
     + """SELECT "user", item, rating, event_id FROM incoming
 QUALIFY row_number() OVER (PARTITION BY "user", item ORDER BY ts DESC, event_id DESC) = 1""",
     "stream_item_stats": _with(STREAM)
-    + "SELECT item, count(rating) AS n_ratings, round(sum(rating), 2) AS sum_rating FROM incoming GROUP BY item",
+    + f"SELECT item, count(rating) AS n_ratings, round(sum(rating), 2) AS sum_rating, {STAR_COUNTS} FROM incoming GROUP BY item",
     "rating_upsert": _with(RATINGS, STREAM)
     + """SELECT "user", item, rating, event_id FROM (
   SELECT "user", item, rating, ts, CAST(-1 AS BIGINT) AS event_id FROM ratings UNION ALL SELECT * FROM incoming)

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from starloom.operators.ratings import PAIR, latest_per_pair
+from starloom.operators.ratings import PAIR, STARS, latest_per_pair
 
 NEWEST = ("ts", "event_id")
+# The run number of a compacted base; those of streams are the times they started.
+BASE = -1
 
 
 def read_event_stream(spark: SparkSession, glob: str, schema, files_per_trigger: int | None = None) -> DataFrame:
@@ -22,32 +26,39 @@ class RatingLog:
     """A rating table kept as a base plus one folder of changes per micro-batch.
 
     A micro-batch is reduced to its newest row per pair and written to its own
-    folder; nothing already stored is rewritten. Replaying a batch overwrites
-    the same folder, so every event counts once. Readers merge by newest row,
-    hence the order in which batches arrive does not matter, and a late event
-    loses against a newer one. ``compact`` folds the changes into a new base.
+    folder below its run's: each start of a stream is a run of its own, whether
+    its checkpoint is old or new, so nothing already stored is rewritten. A
+    batch that is replayed in a later run is stored again; readers merge by
+    newest row, so every event counts once, the order in which batches arrive
+    does not matter, and a late event loses against a newer one. ``compact``
+    folds the changes into a new base, which lies apart from all runs.
     """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
 
-    def write_batch(self, batch: DataFrame, batch_id: int) -> None:
-        latest_per_pair(batch, *NEWEST).write.mode("overwrite").parquet(f"{self.root}/batch={batch_id}")
+    def write_batch(self, batch: DataFrame, batch_id: int, run: int = 0) -> None:
+        latest_per_pair(batch, *NEWEST).write.mode("overwrite").parquet(batch_folder(self.root, run, batch_id))
 
     def current(self) -> DataFrame:
-        stored = self.spark.read.parquet(self.root).drop("batch")
+        stored = self.spark.read.parquet(self.root).drop("run", "batch")
         return latest_per_pair(stored, *NEWEST)
 
     def compact(self, target: str) -> "RatingLog":
-        """Write the merged table as batch 0 of a new log."""
-        self.current().write.mode("overwrite").parquet(f"{target}/batch=0")
+        """Write the merged table as the base of a new log."""
+        self.current().write.mode("overwrite").parquet(batch_folder(target, BASE, 0))
         return RatingLog(self.spark, target)
 
 
+def batch_folder(root: str, run: int, batch_id: int) -> str:
+    return f"{root}/run={run}/batch={batch_id}"
+
+
 def upsert_stream(events: DataFrame, log: RatingLog, checkpoint: str) -> StreamingQuery:
     """Drain the rating events into the log; rerunning continues where it stopped."""
+    run = time.time_ns()
     return (
-        events.writeStream.foreachBatch(lambda batch, batch_id: log.write_batch(batch, batch_id))
+        events.writeStream.foreachBatch(lambda batch, batch_id: log.write_batch(batch, batch_id, run))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -55,15 +66,18 @@ def upsert_stream(events: DataFrame, log: RatingLog, checkpoint: str) -> Streami
 
 
 def item_stats(events: DataFrame) -> DataFrame:
-    """Running count and sum per item. State is one row per item."""
-    return events.groupBy("item").agg(F.count("rating").alias("n_ratings"), F.sum("rating").alias("sum_rating"))
+    """Running count, sum and star counts per item. State is one row per item."""
+    rating = F.col("rating")
+    stars = [F.count_if(rating.isin(s - 0.5, float(s))).alias(f"stars_{s}") for s in STARS]
+    return events.groupBy("item").agg(F.count("rating").alias("n_ratings"), F.sum("rating").alias("sum_rating"), *stars)
 
 
 def item_stats_stream(events: DataFrame, root: str, checkpoint: str) -> StreamingQuery:
-    """Write the items each micro-batch changed to the batch's own folder."""
+    """Write the items each micro-batch changed to a folder of this run and batch."""
+    run = time.time_ns()
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{root}/batch={batch_id}")
+        batch.write.mode("overwrite").parquet(batch_folder(root, run, batch_id))
 
     return (
         item_stats(events)
@@ -76,8 +90,9 @@ def item_stats_stream(events: DataFrame, root: str, checkpoint: str) -> Streamin
 
 
 def current_item_stats(spark: SparkSession, root: str) -> DataFrame:
-    """The newest version of every item's figures."""
-    newest = F.max_by(F.struct("n_ratings", "sum_rating"), "batch").alias("s")
+    """The newest version of every item's figures: of the latest run, and there of the latest batch."""
+    figures = F.struct("n_ratings", "sum_rating", *[f"stars_{s}" for s in STARS])
+    newest = F.max_by(figures, F.struct("run", "batch")).alias("s")
     return spark.read.parquet(root).groupBy("item").agg(newest).select("item", "s.*")
 
 

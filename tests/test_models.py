@@ -203,10 +203,11 @@ def test_sgd_needs_ratings(spark, work, rating_table):
         dsgd.DsgdRun(rating_table([]), 2, 0.01, work, 2)
 
 
-def test_blocks_grow_until_each_fits(spark, work, rating_table):
+def test_too_full_blocks_are_refused(spark, work, rating_table):
     rows = [(u, i, 3) for u in range(64) for i in range(64)]
-    run = dsgd.DsgdRun(rating_table(rows), 2, 0.01, work, block_rows=10)
-    assert run.p >= 16
+    with pytest.raises(ValueError, match="set blocks above 8"):
+        dsgd.DsgdRun(rating_table(rows), 2, 0.01, work, block_rows=10)
+    assert dsgd.DsgdRun(rating_table(rows), 2, 0.01, work, blocks=32, block_rows=10).p == 32
 
 
 def test_dsgd_curve_falls(spark, work, rating_table):

@@ -2,6 +2,8 @@
 
 import itertools
 
+import math
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -221,15 +223,23 @@ def test_similar_texts_over_many_blocks(spark, work, monkeypatch, small):
     got = {}
     for r in content.similar_items(texts, 4, work).collect():
         got.setdefault(r["id"], []).append((r["rank"], r["other"], r["score"]))
-    for a in weights:
+    ids = [n for n, _ in data]
+    for a in ids:
         found = []
-        for b in weights:
-            score = round(sum(x * weights[b].get(t, 0) for t, x in weights[a].items()), 6)
-            if a != b and score > 0:
+        for b in ids:
+            score = round(sum(x * weights.get(b, {}).get(t, 0) for t, x in weights.get(a, {}).items()), 6)
+            if a != b:
                 found.append((-score, b))
         want = [(b, -s) for s, b in sorted(found)[:4]]
         assert [(b, s) for _, b, s in sorted(got.get(a, []))] == want
-    assert 99 not in got and 101 not in got
+    assert [b for _, b, _ in sorted(got[99])] == ids[:4]
+    # idf counts the texts without tokens: n is 27, not 25.
+    holders = [n for n, text in data if "red" in text.split()]
+    one = next((n for n, text in data if set(text.split()) == {"red", "ring"}), None)
+    if one is not None:
+        df = {t: sum(t in text.split() for _, text in data) for t in ("red", "ring")}
+        raw = {t: dict(data)[one].split().count(t) * (math.log(28 / (1 + df[t])) + 1) for t in df}
+        assert weights[one]["red"] == pytest.approx(raw["red"] / math.hypot(*raw.values())) and holders
 
 
 def test_common_text_is_compared_once(spark, work):

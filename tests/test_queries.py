@@ -4,6 +4,7 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from check_queries import connect, difference
+from starloom.plans.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -21,7 +22,7 @@ def test_query_equals_sql(spark, duck, name):
 
 def test_registry():
     assert set(oracle_sql()) <= set(queries())
-    assert set(queries()) - set(oracle_sql()) == {"mllib_als"}
+    assert set(QUERIES) - set(oracle_sql()) == {"mllib_als"}
 
 
 def test_library_als_learns(spark):

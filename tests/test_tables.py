@@ -144,6 +144,18 @@ def test_stream_upsert_late_event_and_restart(spark, work):
     assert log.current().count() == 2
     compacted = log.compact(work.path("compact"))
     assert sorted(tuple(r) for r in compacted.current().select("user", "item", "rating").collect()) == want
+    # A stream with a new checkpoint starts at batch 0 again and must not touch the base.
+    spark.createDataFrame([event(5, 50, 3, 3, 3.0)], EVENT).coalesce(1).write.parquet(work.path("later"))
+    events = stream.read_event_stream(spark, work.path("later"), spark.createDataFrame([], EVENT).schema, 1)
+    stream.upsert_stream(events, compacted, work.path("check-new")).awaitTermination()
+    assert sorted(tuple(r) for r in compacted.current().select("user", "item", "rating").collect()) == [*want, (3, 3, 3.0)]
+
+
+def test_landing_keeps_columns_of_all_files(spark, work):
+    spark.createDataFrame([(1, 2)], "a int, b int").write.parquet(work.path("raw/green_1"))
+    spark.createDataFrame([(3, 4, "x")], "a int, b int, extra string").write.parquet(work.path("raw/green_2"))
+    landed = tables.land_by_type(spark, work.path("raw"), "green", work.path("landed"))
+    assert sorted(tuple(r) for r in landed.select("a", "b", "extra").collect()) == [(1, 2, None), (3, 4, "x")]
 
 
 def test_stream_equals_batch(spark, work):
