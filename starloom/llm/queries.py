@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import credentials, hamming, language, lines, neighbours, packing, pieces, quality, shards, tokens
+from starloom.llm import credentials, hamming, language, lines, neighbours, oracles, packing, pieces, quality, shards, tokens
 from starloom.sources.workspace import Workspace
 
 VOCABULARY = "word_bpe_49k.json"
@@ -91,4 +91,4 @@ QUERIES = {
     "op10_hamming_groups": op10_hamming_groups,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES = {"op3_line_windows": oracles.LINES, "op10_hamming_groups": oracles.GROUPS}
