@@ -189,7 +189,7 @@ class WordEncoder:
         return joined(parts, codes, bounds, 4)
 
 
-def small_batches(batches: Iterable[pa.RecordBatch], column: str, most: int = 1 << 24) -> Iterator[pa.RecordBatch]:
+def small_batches(batches: Iterable[pa.RecordBatch], column: str, most: int = 1 << 23) -> Iterator[pa.RecordBatch]:
     """Cut batches so that ``column`` holds about ``most`` bytes (one text at least)."""
     for batch in batches:
         sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False), np.int64)
