@@ -44,6 +44,10 @@ ROBUST_DEVIATIONS = 6
 LEAST_MARGIN = 1.25
 SHORT_TEXT_BITS = 12.0
 START, END = 2, 3
+# What a task holds at once: text bytes, letters of new words, counted groups.
+BATCH_BYTES = 1 << 22
+LETTERS = 1 << 17
+HELD_ROWS = 1_000_000
 RUN = re.compile(r"[^\W\d_]+")
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -83,6 +87,13 @@ def letters(words: list[str]) -> tuple[list[np.ndarray], np.ndarray]:
     return [numbers[at - k] for k in range(ORDER - 1, -1, -1)], np.repeat(np.arange(len(words)), sizes)
 
 
+def slices(words: list[str]) -> Iterator[tuple[int, int]]:
+    """Bounds that cut ``words`` into runs of about LETTERS letters, one word at least."""
+    run = (np.cumsum(np.fromiter(map(len, words), np.int64, len(words))) - 1) // LETTERS
+    cuts = [0, *(np.flatnonzero(np.diff(run)) + 1).tolist(), len(words)]
+    return ((a, b) for a, b in zip(cuts, cuts[1:]) if b > a)
+
+
 def _lowered(texts: pa.Array) -> pa.Array:
     return pc.utf8_lower(pc.fill_null(texts, ""))
 
@@ -92,33 +103,39 @@ def gram_counts(docs: DataFrame) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, list[tuple[np.ndarray, ...]]] = {}
-        waiting = 0
+        merged_rows = new_rows = 0
 
-        def merged(lang: str) -> tuple[np.ndarray, ...]:
-            hi, lo, n = (np.concatenate(x) for x in zip(*held[lang]))
-            key = _hash([hi, lo])
-            _, first, inverse = np.unique(key, return_index=True, return_inverse=True)
+        def merged(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+            hi, lo, n = (np.concatenate(x) for x in zip(*parts))
+            _, first, inverse = np.unique(_hash([hi, lo]), return_index=True, return_inverse=True)
             return hi[first], lo[first], np.bincount(inverse, n).astype(np.int64)
 
-        for batch in small_batches(batches, "text"):
+        for batch in small_batches(batches, "text", BATCH_BYTES):
             langs = batch.column("lang").to_pylist()
             bounds, codes, distinct = word_codes(_lowered(batch.column("text")))
-            parts, word = letters(distinct)
-            hi = parts[0].astype(np.int64) << 21 | parts[1]
-            lo = parts[2].astype(np.int64) << 21 | parts[3]
+            weights = {}
             for lang in sorted(set(langs)):
                 mine = np.repeat([x == lang for x in langs], np.diff(bounds))
-                weight = np.bincount(codes[mine], minlength=len(distinct))[word]
-                some = weight > 0
-                held.setdefault(lang, []).append((hi[some], lo[some], weight[some]))
-                held[lang] = [merged(lang)]
-            waiting = sum(len(x[0][0]) for x in held.values())
-            if waiting > 2_000_000:
-                for lang in held:
-                    yield rows(lang, *held[lang][0])
-                held = {}
-        for lang in held:
-            yield rows(lang, *held[lang][0])
+                weights[lang] = np.bincount(codes[mine], minlength=len(distinct))
+            for at, end in slices(distinct):
+                parts, word = letters(distinct[at:end])
+                hi = parts[0].astype(np.int64) << 21 | parts[1]
+                lo = parts[2].astype(np.int64) << 21 | parts[3]
+                for lang, of_words in weights.items():
+                    weight = of_words[at:end][word]
+                    some = weight > 0
+                    found = merged([(hi[some], lo[some], weight[some])])
+                    held.setdefault(lang, []).append(found)
+                    new_rows += len(found[0])
+                if new_rows > max(HELD_ROWS // 4, merged_rows):
+                    held = {lang: [merged(x)] for lang, x in held.items()}
+                    merged_rows, new_rows = sum(len(x[0][0]) for x in held.values()), 0
+                if merged_rows > HELD_ROWS:
+                    for lang, x in held.items():
+                        yield rows(lang, *x[0])
+                    held, merged_rows = {}, 0
+        for lang, x in held.items():
+            yield rows(lang, *merged(x))
 
     def rows(lang: str, hi: np.ndarray, lo: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
         return pa.record_batch(
@@ -236,12 +253,14 @@ def scored(docs: DataFrame, models: Models | None, text: str = "text") -> DataFr
         known = Recent(100_000)
 
         def make(new: list[str]) -> list[bytes]:
-            bits, n = own.logs(new)
-            both = np.concatenate((bits, n[:, None]), axis=1).astype("<f4").tobytes()
-            size = 4 * (width + 1)
-            return [both[i : i + size] for i in range(0, len(both), size)]
-
-        for batch in small_batches(batches, text):
+            size, out = 4 * (width + 1), []
+            for at, end in slices(new):
+                bits, n = own.logs(new[at:end])
+                both = np.concatenate((bits, n[:, None]), axis=1).astype("<f4").tobytes()
+                out += [both[i : i + size] for i in range(0, len(both), size)]
+            return out
+
+        for batch in small_batches(batches, text, BATCH_BYTES):
             bounds, codes, distinct = word_codes(_lowered(batch.column(text)))
             table = np.frombuffer(b"".join(known.look_up(distinct, make)), "<f4").reshape(len(distinct), width + 1)
             doc = np.repeat(np.arange(batch.num_rows), np.diff(bounds))
