@@ -61,9 +61,17 @@ class Transducer:
                 self.output.append(piece.replace(MARK, " ").encode())
         if any(MARK in p.lstrip(MARK) or "\n" in p or "\t" in p for p in self.pieces):
             raise ValueError("a piece spans a cut between parts")
-        self.states = {p[:n] for p in self.pieces for n in range(1, len(p) + 1)}
+        # A state: its arcs by character, and the cost and id of the piece it emits (id -1: none).
+        self.start: dict[str, list] = {}
+        for piece, (i, score) in self.pieces.items():
+            arcs = self.start
+            for char in piece:
+                state = arcs.setdefault(char, [{}, inf, -1])
+                arcs = state[0]
+            state[1:] = -score, i
+        self.names = {i: p for p, (i, _) in self.pieces.items()}
         self.together = {p[n : n + 2] for p in self.pieces for n in range(len(p) - 1)}
-        self.follows: dict[tuple[str, str], bool] = {}
+        self.follows: dict[int, bool] = {}
         self.words, self.parts = Recent(150_000), Recent(150_000)
 
     @classmethod
@@ -86,38 +94,46 @@ class Transducer:
             parts[k : k + 2] = [parts[k] + parts[k + 1]]
         return parts
 
-    def may_follow(self, first: str, second: str) -> bool:
-        pair = (first, second)
+    def may_follow(self, first: int, second: int) -> bool:
+        pair = first << 32 | second
         known = self.follows.get(pair)
         if known is None:
             if len(self.follows) > 500_000:
                 self.follows.clear()
-            known = self.follows[pair] = self.merged(first + second) == [first, second]
+            texts = [self.names[first], self.names[second]]
+            known = self.follows[pair] = self.merged("".join(texts)) == texts
         return known
 
     def shortest(self, part: str) -> list[int]:
         """Ids of the shortest path that reads ``part``."""
         n = len(part)
-        cost, last, back = [inf] * (n + 1), [""] * (n + 1), [0] * (n + 1)
+        cost, last, back = [inf] * (n + 1), [-1] * (n + 1), [0] * (n + 1)
         cost[0] = 0.0
-        pieces, states, may_follow = self.pieces, self.states, self.may_follow
+        start, follows, may_follow = self.start, self.follows, self.may_follow
         for j in range(n):
-            if cost[j] == inf:
+            here = cost[j]
+            if here == inf:
                 continue
-            before = last[j]
-            i = j + 1
-            while i <= n and (piece := part[j:i]) in states:
-                found = pieces.get(piece)
-                if found and cost[j] - found[1] < cost[i] and (not before or may_follow(before, piece)):
-                    cost[i], last[i], back[i] = cost[j] - found[1], piece, j
+            before, arcs, i = last[j], start, j
+            for char in part[j:]:
+                state = arcs.get(char)
+                if state is None:
+                    break
+                arcs, weight, piece = state
                 i += 1
-            if part[j] not in pieces and cost[j] < cost[j + 1]:  # byte fallback: nothing merges with it
-                cost[j + 1], last[j + 1], back[j + 1] = cost[j], "", j
+                if here + weight < cost[i]:
+                    may = before < 0 or follows.get(before << 32 | piece)
+                    if may is None:
+                        may = may_follow(before, piece)
+                    if may:
+                        cost[i], last[i], back[i] = here + weight, piece, j
+            if here < cost[j + 1] and part[j] not in self.pieces:  # byte fallback: nothing merges with it
+                cost[j + 1], last[j + 1], back[j + 1] = here, -1, j
         ids: list[int] = []
         while n:
             j = back[n]
-            if last[n]:
-                ids.append(pieces[last[n]][0])
+            if last[n] >= 0:
+                ids.append(last[n])
             else:
                 ids += [self.bytes_ids[b] for b in reversed(part[j:n].encode())]
             n = j
