@@ -189,8 +189,11 @@ class WordEncoder:
         return joined(parts, codes, bounds, 4)
 
 
-def small_batches(batches: Iterable[pa.RecordBatch], column: str, most: int = 1 << 23) -> Iterator[pa.RecordBatch]:
-    """Cut batches so that ``column`` holds about ``most`` bytes (one text at least)."""
+def small_batches(batches: Iterable[pa.RecordBatch], column: str, most: int = 1 << 21) -> Iterator[pa.RecordBatch]:
+    """Cut batches so that ``column`` holds about ``most`` bytes (one text at least).
+
+    Memory that Arrow keeps for later goes back at the end, as idle workers stay.
+    """
     for batch in batches:
         sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False), np.int64)
         piece = (np.cumsum(sizes) - sizes) // most
@@ -198,6 +201,7 @@ def small_batches(batches: Iterable[pa.RecordBatch], column: str, most: int = 1
         for a, b in zip(cuts, cuts[1:]):
             if b > a:
                 yield batch.slice(a, b - a)
+    pa.default_memory_pool().release_unused()
 
 
 def components(edges: DataFrame, work: Workspace, name: str) -> DataFrame:

@@ -235,9 +235,9 @@ def _table(key: np.ndarray, lang: np.ndarray, part: np.ndarray, width: int, empt
     return hashes, values.astype(np.float32)
 
 
-def scored(docs: DataFrame, models: Models | None, text: str = "text") -> DataFrame:
-    """``docs`` without the column ``text``, with pred, score, entropy (bits per letter) and n_letters."""
-    others = [c for c in docs.columns if c != text]
+def scored(docs: DataFrame, models: Models | None, text: str = "text", keep: bool = False) -> DataFrame:
+    """``docs`` with pred, score, entropy (bits per letter) and n_letters, without the column ``text`` unless ``keep``."""
+    others = [c for c in docs.columns if keep or c != text]
     schema = docs.select(*others).schema
     for name, kind in (("pred", "string"), ("score", "double"), ("entropy", "double"), ("n_letters", "long")):
         schema = schema.add(name, kind)
@@ -282,7 +282,7 @@ def scored(docs: DataFrame, models: Models | None, text: str = "text") -> DataFr
                 names=[*others, "pred", "score", "entropy", "n_letters"],
             )
 
-    return docs.select(*others, text).mapInArrow(work, schema)
+    return docs.select(*(others if keep else [*others, text])).mapInArrow(work, schema)
 
 
 def limits(found: DataFrame, lang: str) -> dict[str, float]:
@@ -327,9 +327,9 @@ def filtered(docs: DataFrame, work: Workspace, lang: str = "lang") -> DataFrame:
     """``docs`` without the rows that are rejected."""
     learned = docs.filter(~held_out() & F.col(lang).isNotNull()).select("text", F.col(lang).alias("lang"))
     names = [f"column_{k}" for k in range(len(docs.columns))]
-    plain = docs.withColumn("held_out", held_out()).withColumn("read", F.col("text"))
-    plain = plain.select(*[F.col(c).alias(n) for c, n in zip(docs.columns, names)], "held_out", "read")
-    found = work.write(scored(plain, train(learned, work), "read"), "scored")
+    plain = docs.select(*[F.col(c).alias(n) for c, n in zip(docs.columns, names)], held_out().alias("held_out"))
+    text = names[docs.columns.index("text")]
+    found = work.write(scored(plain, train(learned, work), text, keep=True), "scored")
     label = names[docs.columns.index(lang)]
     limit = limits(found.filter("not held_out"), label)
     return found.filter(accepted(limit)).select(*[F.col(n).alias(c) for c, n in zip(docs.columns, names)])

@@ -82,7 +82,7 @@ def encode(docs: DataFrame, vocabulary: str, work: Workspace, end_id: int = END_
         # Two bytes an id where the vocabulary allows it.
         kind = "<u2" if max(len(encoder.ends) - 1, end_id) < 1 << 16 else "<u4"
         end = np.array([end_id], kind).tobytes()
-        for batch in small_batches(batches, "text"):
+        for batch in small_batches(batches, "text", 1 << 23):
             flat, bounds = encoder.encode(batch.column("text"))
             raw, width = flat.astype(kind).tobytes(), np.dtype(kind).itemsize
             cuts = (bounds * width).tolist()
