@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterable, Iterator
+from functools import wraps
 from itertools import compress, pairwise
 
 import numpy as np
@@ -63,7 +65,11 @@ def word_codes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
     """
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
-    split = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+    return list_codes(pc.ascii_split_whitespace(pc.fill_null(texts, "")))
+
+
+def list_codes(split: pa.ListArray) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    """As ``word_codes``, for texts that are lists of words already; empty words go."""
     bounds = split.offsets.to_numpy().astype(np.int64)
     values = split.values.slice(bounds[0], bounds[-1] - bounds[0])
     coded = values.dictionary_encode()
@@ -190,10 +196,7 @@ class WordEncoder:
 
 
 def small_batches(batches: Iterable[pa.RecordBatch], column: str, most: int = 1 << 21) -> Iterator[pa.RecordBatch]:
-    """Cut batches so that ``column`` holds about ``most`` bytes (one text at least).
-
-    Memory that Arrow keeps for later goes back at the end, as idle workers stay.
-    """
+    """Cut batches so that ``column`` holds about ``most`` bytes (one text at least)."""
     for batch in batches:
         sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False), np.int64)
         piece = (np.cumsum(sizes) - sizes) // most
@@ -201,7 +204,24 @@ def small_batches(batches: Iterable[pa.RecordBatch], column: str, most: int = 1
         for a, b in zip(cuts, cuts[1:]):
             if b > a:
                 yield batch.slice(a, b - a)
-    pa.default_memory_pool().release_unused()
+
+
+def frugal(work: Callable[..., Iterator]) -> Callable[..., Iterator]:
+    """``work`` over batches; what it held goes back to the system when its task ends.
+
+    Workers stay for later stages, and both Arrow and the C library would keep
+    freed memory for them.
+    """
+
+    @wraps(work)
+    def run(batches: Iterator) -> Iterator:
+        yield from work(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
+
+    return run
 
 
 def components(edges: DataFrame, work: Workspace, name: str) -> DataFrame:

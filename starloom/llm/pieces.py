@@ -12,8 +12,9 @@ the composition (tropical semiring: weights add up, the least wins) gives the
 library's ids.
 
 Two neighbouring characters that stand together in no piece are never joined,
-so texts fall into independent parts there, and every distinct part is composed
-once per worker: first the words, then the parts of new words.
+so texts fall into independent parts there. Every distinct word is composed once
+per worker, and a batch's new words together: the paths of all of them advance
+position by position in arrays.
 
 Defined results: a null text is empty and has no ids; the space mark itself
 reads as a space; decoding returns the text with such marks as spaces; repeated
@@ -29,10 +30,11 @@ from operator import add
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import Recent, joined, small_batches
+from starloom.llm.common import Recent, frugal, joined, list_codes, small_batches
 
 MARK = "▁"
 _MODELS: dict[str, "Transducer"] = {}
@@ -41,7 +43,10 @@ _MODELS: dict[str, "Transducer"] = {}
 class Transducer:
     """Normaliser, lexicon and pair machine of one model file."""
 
-    WORDS = re.compile(f"{MARK}+[^{MARK}\n\t]*|[^{MARK}\n\t]+|[\n\t]")
+    # Longer words are cut into parts and composed one by one.
+    SHORT = 64
+    BLOCK = 20_000
+    PADDING = 0x1FFFFF
 
     def __init__(self, path: str):
         import sentencepiece
@@ -69,10 +74,33 @@ class Transducer:
                 state = arcs.setdefault(char, [{}, inf, -1])
                 arcs = state[0]
             state[1:] = -score, i
+        self._arrays()
+        self.output = pa.array(self.output, pa.binary())
         self.names = {i: p for p, (i, _) in self.pieces.items()}
         self.together = {p[n : n + 2] for p in self.pieces for n in range(len(p) - 1)}
+        # Marks that no piece joins to a letter in front: words end there.
+        after = {p[1] for p in self.together if p[0].isalpha()}
+        marks = "".join(re.escape(p) for p in sorted(self.pieces) if len(p) == 1 and not p.isalnum() and p not in after | {MARK})
+        self.word_starts = rf"(\pL)([{marks}])" if marks else None
+        self.splits: dict[str, list[str]] = {}
         self.follows: dict[int, bool] = {}
-        self.words, self.parts = Recent(150_000), Recent(150_000)
+        self.words = Recent(150_000)
+
+    def _arrays(self) -> None:
+        """The lexicon as arrays: arcs sorted by state and character, and what each state emits."""
+        keys, targets, weights, ids = [], [], [inf], [-1]
+        waiting = [(0, self.start)]
+        for state, arcs in waiting:
+            for char, (further, weight, piece) in arcs.items():
+                keys.append(state << 21 | ord(char))
+                targets.append(len(ids))
+                waiting.append((len(ids), further))
+                weights.append(weight)
+                ids.append(piece)
+        order = np.argsort(keys)
+        self.arc_keys, self.arc_to = np.array(keys, np.int64)[order], np.array(targets, np.int64)[order]
+        self.weights, self.emits = np.array(weights), np.array(ids, np.int64)
+        self.chars = np.array(sorted(ord(p) for p in self.pieces if len(p) == 1), np.int64)
 
     @classmethod
     def at(cls, path: str) -> "Transducer":
@@ -80,13 +108,26 @@ class Transducer:
             _MODELS[path] = cls(path)
         return _MODELS[path]
 
-    def normalised(self, text: str) -> str:
-        return MARK + text.replace(" ", MARK) if text else ""
+    def words_of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
+        """The normalised texts as words: bounds of each text, every word's place among the distinct ones, and these.
+
+        Cuts stand in front of space marks, around line ends and tabs, and
+        between a letter and a mark that never join.
+        """
+        texts = pc.fill_null(texts.combine_chunks() if isinstance(texts, pa.ChunkedArray) else texts, "")
+        cut = next(c for c in map(chr, range(0xE000, 0x110000)) if not pc.any(pc.match_substring(texts, c)).as_py())
+        marked = pc.replace_substring(texts, " ", MARK)
+        marked = pc.if_else(pc.equal(marked, ""), "", pc.binary_join_element_wise(MARK, marked, ""))
+        marked = pc.replace_substring_regex(marked, f"({MARK}+)", rf"{cut}\1")
+        marked = pc.replace_substring_regex(marked, "([\n\t])", rf"{cut}\1{cut}")
+        if self.word_starts:
+            marked = pc.replace_substring_regex(marked, self.word_starts, rf"\1{cut}\2")
+        return list_codes(pc.split_pattern(marked, cut))
 
-    def merged(self, text: str) -> list[str]:
-        """The model's merges on a short text: the best scored pair first, then the leftmost."""
+    def merged(self, text: str, least: int = 1) -> list[str]:
+        """The model's merges on a short text down to ``least`` parts: the best scored pair first, then the leftmost."""
         parts = list(text)
-        while len(parts) > 1:
+        while len(parts) > least:
             scored = [(-self.pieces[a + b][1], k) for k, (a, b) in enumerate(zip(parts, parts[1:])) if a + b in self.pieces]
             if not scored:
                 break
@@ -94,22 +135,100 @@ class Transducer:
             parts[k : k + 2] = [parts[k] + parts[k + 1]]
         return parts
 
-    def may_follow(self, first: int, second: int) -> bool:
-        pair = first << 32 | second
-        known = self.follows.get(pair)
+    def halves(self, piece: str) -> list[str]:
+        """The two parts that the piece's last merge joins; more where merges never build it."""
+        known = self.splits.get(piece)
         if known is None:
-            if len(self.follows) > 500_000:
-                self.follows.clear()
-            texts = [self.names[first], self.names[second]]
-            known = self.follows[pair] = self.merged("".join(texts)) == texts
+            known = self.splits[piece] = self.merged(piece, 2)
         return known
 
+    def may_follow(self, first: int, second: int) -> bool:
+        """Whether merging leaves the two pieces apart.
+
+        The later of the two last merges is taken back, again and again: the
+        neighbours across the cut must never have had a merge that came first.
+        """
+        a, b = self.names[first], self.names[second]
+        pieces, limit, right = self.pieces, inf, False
+        if (len(a) > 1 and len(self.halves(a)) != 2) or (len(b) > 1 and len(self.halves(b)) != 2):
+            return False
+        while True:
+            both = pieces.get(a + b)
+            if both and (-both[1] < limit or (right and -both[1] == limit)):
+                return False
+            rank_a = -pieces[a][1] if len(a) > 1 else -inf
+            rank_b = -pieces[b][1] if len(b) > 1 else -inf
+            if rank_a == rank_b == -inf:
+                return True
+            right = rank_b >= rank_a
+            if right:
+                limit, b = rank_b, self.halves(b)[0]
+            else:
+                limit, a = rank_a, self.halves(a)[1]
+
+    def _allowed(self, before: np.ndarray, piece: np.ndarray) -> np.ndarray:
+        """For pairs of pieces, ``may_follow``; a part's first piece has -1 before it."""
+        if len(self.follows) > 500_000:
+            self.follows.clear()
+        keys = (before << 32 | piece).tolist()
+        known = list(map(self.follows.get, keys))
+        for k, value in enumerate(known):
+            if value is None:
+                key = keys[k]
+                value = self.follows.get(key)
+                if value is None:
+                    value = self.follows[key] = key < 0 or self.may_follow(key >> 32, key & 0xFFFFFFFF)
+                known[k] = value
+        return np.array(known, bool)
+
+    def shortest_of(self, parts: list[str]) -> list[bytes]:
+        """Ids of the shortest paths of many short parts (none empty), one position of all parts at a time.
+
+        Every character must be a piece of its own. Positions and piece ends are
+        tried in the order of ``shortest``, so the paths are the same.
+        """
+        count, width = len(parts), max(map(len, parts))
+        sizes = np.fromiter(map(len, parts), np.int64, count)
+        flat = np.frombuffer("".join(parts).encode("utf-32-le"), "<u4")
+        chars = np.full((width, count), self.PADDING, np.int64)
+        chars[np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes), np.repeat(np.arange(count), sizes)] = flat
+        cost = np.full((width + 1, count), inf)
+        cost[0] = 0.0
+        last, back = np.full((width + 1, count), -1, np.int64), np.zeros((width + 1, count), np.int64)
+        for j in range(width):
+            rows = np.flatnonzero((sizes > j) & (cost[j] < inf))
+            here, before, state = cost[j, rows], last[j, rows], np.zeros(len(rows), np.int64)
+            for i in range(j, width):
+                key = state << 21 | chars[i, rows]
+                at = np.minimum(np.searchsorted(self.arc_keys, key), len(self.arc_keys) - 1)
+                go = self.arc_keys[at] == key
+                rows, here, before, state = rows[go], here[go], before[go], self.arc_to[at[go]]
+                if not len(rows):
+                    break
+                reached = here + self.weights[state]
+                better = np.flatnonzero(reached < cost[i + 1, rows])
+                if len(better):
+                    piece = self.emits[state[better]]
+                    may = self._allowed(before[better], piece)
+                    better, piece = better[may], piece[may]
+                    to = rows[better]
+                    cost[i + 1, to], last[i + 1, to], back[i + 1, to] = reached[better], piece, j
+        rows, at, found = np.arange(count), sizes, []
+        while len(rows):
+            found.append((rows, at, last[at, rows]))
+            at = back[at, rows]
+            rows, at = rows[at > 0], at[at > 0]
+        rows, at, ids = (np.concatenate(x) for x in zip(*found))
+        raw = ids[np.lexsort((at, rows))].astype("<u4").tobytes()
+        cuts = [0, *(np.cumsum(np.bincount(rows, minlength=count)) * 4).tolist()]
+        return [raw[a:b] for a, b in zip(cuts, cuts[1:])]
+
     def shortest(self, part: str) -> list[int]:
         """Ids of the shortest path that reads ``part``."""
         n = len(part)
         cost, last, back = [inf] * (n + 1), [-1] * (n + 1), [0] * (n + 1)
         cost[0] = 0.0
-        start, follows, may_follow = self.start, self.follows, self.may_follow
+        start = self.start
         for j in range(n):
             here = cost[j]
             if here == inf:
@@ -122,10 +241,7 @@ class Transducer:
                 arcs, weight, piece = state
                 i += 1
                 if here + weight < cost[i]:
-                    may = before < 0 or follows.get(before << 32 | piece)
-                    if may is None:
-                        may = may_follow(before, piece)
-                    if may:
+                    if before < 0 or self.may_follow(before, piece):
                         cost[i], last[i], back[i] = here + weight, piece, j
             if here < cost[j + 1] and part[j] not in self.pieces:  # byte fallback: nothing merges with it
                 cost[j + 1], last[j + 1], back[j + 1] = here, -1, j
@@ -139,41 +255,47 @@ class Transducer:
             n = j
         return ids[::-1]
 
-    def _of_parts(self, new: list[str]) -> list[bytes]:
-        return [np.array(self.shortest(x), "<u4").tobytes() for x in new]
+    def _cut(self, word: str) -> Iterator[str]:
+        """A word's independent parts."""
+        start = 0
+        for at, pair in enumerate(map(add, word, word[1:]), 1):
+            if pair not in self.together:
+                yield word[start:at]
+                start = at
+        yield word[start:]
 
     def _of_words(self, new: list[str]) -> list[bytes]:
-        """Ids of words through those of their independent parts."""
-        together = self.together
-        cut: list[list[str]] = []
-        distinct: dict[str, int] = {}
-        for word in new:
-            own, start = [], 0
-            for at, pair in enumerate(map(add, word, word[1:]), 1):
-                if pair not in together:
-                    own.append(word[start:at])
-                    start = at
-            own.append(word[start:])
-            cut.append(own)
-            for part in own:
-                distinct.setdefault(part, len(distinct))
-        ids = dict(zip(distinct, self.parts.look_up(list(distinct), self._of_parts)))
-        return [ids[own[0]] if len(own) == 1 else b"".join([ids[x] for x in own]) for own in cut]
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words: short ones of known characters together, others part by part."""
+        sizes = np.fromiter(map(len, new), np.int64, len(new))
+        flat = np.frombuffer("".join(new).encode("utf-32-le"), "<u4")
+        strange = ~np.isin(flat, self.chars)
+        plain = (sizes > 0) & (sizes <= self.SHORT) & (np.bincount(np.repeat(np.arange(len(new)), sizes), strange, len(new)) == 0)
+        out: list[bytes] = [b""] * len(new)
+        # Words of like length meet in a block.
+        picked = np.flatnonzero(plain)
+        picked = picked[np.argsort(sizes[picked], kind="stable")].tolist()
+        for at in range(0, len(picked), self.BLOCK):
+            block = picked[at : at + self.BLOCK]
+            for k, ids in zip(block, self.shortest_of([new[k] for k in block])):
+                out[k] = ids
+        for k in np.flatnonzero(~plain).tolist():
+            out[k] = np.array([i for part in self._cut(new[k]) for i in self.shortest(part)], "<u4").tobytes()
+        return out
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a batch of texts, and the bounds of each text among them."""
-        words: list[str] = []
-        bounds = [0]
-        for text in texts:
-            words += self.WORDS.findall(self.normalised(text))
-            bounds.append(len(words))
-        coded = pa.array(words, pa.string()).dictionary_encode()
-        found = self.words.look_up(coded.dictionary.to_pylist(), self._of_words)
-        return joined(found, coded.indices.to_numpy().astype(np.int64), np.array(bounds), 4)
+        bounds, codes, distinct = self.words_of(texts)
+        return joined(self.words.look_up(distinct, self._of_words), codes, bounds, 4)
 
-    def decode(self, ids: np.ndarray) -> str:
-        text = b"".join([self.output[i] for i in ids.tolist()]).decode(errors="replace")
-        return text.removeprefix(" ")
+    def decode(self, ids: np.ndarray, bounds: np.ndarray) -> pa.Array:
+        """The texts of a batch of ids: the pieces' bytes joined, without the space in front."""
+        pieces = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), self.output.take(pa.array(ids)))
+        raw = pc.binary_join(pieces, b"")
+        try:
+            texts = raw.cast(pa.string())
+        except pa.ArrowInvalid:  # ids that no text has
+            texts = pa.array([x.decode(errors="replace") for x in raw.to_pylist()], pa.string())
+        return pc.replace_substring_regex(texts, r"\A ", "")
 
 
 def encoded(docs: DataFrame, model: str) -> DataFrame:
@@ -182,13 +304,13 @@ def encoded(docs: DataFrame, model: str) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = Transducer.at(model)
         for batch in small_batches(batches, "text", 1 << 22):
-            flat, bounds = machine.encode([x or "" for x in batch.column("text").to_pylist()])
+            flat, bounds = machine.encode(batch.column("text"))
             raw, cuts = flat.tobytes(), (bounds * 4).tolist()
             ids = pa.array([raw[a:b] for a, b in zip(cuts, cuts[1:])], pa.binary())
             yield pa.record_batch([batch.column("doc_id"), pa.array(np.diff(bounds)), ids], names=["doc_id", "n_pieces", "ids"])
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    return rows.mapInArrow(work, "doc_id bigint, n_pieces bigint, ids binary")
+    return rows.mapInArrow(frugal(work), "doc_id bigint, n_pieces bigint, ids binary")
 
 
 def decoded(ids: DataFrame, model: str) -> DataFrame:
@@ -196,9 +318,10 @@ def decoded(ids: DataFrame, model: str) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = Transducer.at(model)
-        for batch in batches:
-            texts = [machine.decode(np.frombuffer(x.as_buffer(), "<u4")) for x in batch.column("ids")]
+        for batch in small_batches(batches, "ids", 1 << 22):
             columns = [batch.column(c) for c in ("doc_id", "n_pieces", "ids")]
-            yield pa.record_batch([*columns, pa.array(texts, pa.string())], names=["doc_id", "n_pieces", "ids", "text"])
+            flat = np.frombuffer(b"".join(columns[2].to_pylist()), "<u4")
+            texts = machine.decode(flat, np.concatenate(([0], np.cumsum(columns[1].to_numpy()))))
+            yield pa.record_batch([*columns, texts], names=["doc_id", "n_pieces", "ids", "text"])
 
-    return ids.mapInArrow(work, "doc_id bigint, n_pieces bigint, ids binary, text string")
+    return ids.mapInArrow(frugal(work), "doc_id bigint, n_pieces bigint, ids binary, text string")

@@ -287,9 +287,26 @@ def test_pieces_equal_library(docs, none):
     want = Counter((r[0], tuple(model.encode(r[1] or "")), r[1] or "") for r in ROWS)
     assert Counter((r["doc_id"], tuple(np.frombuffer(r["ids"], "<u4").tolist()), r["text"]) for r in texts) == want
     machine = pieces.Transducer.at(MODEL)
-    for text in ["  two   spaces ", "\n\n a\tb", "▁x", "don't 日本語 ﬁ é 😀!!", "aaaaaaaaaaaaaaaa    b"]:
-        ids, _ = machine.encode([text])
-        assert ids.tolist() == model.encode(text) and machine.decode(ids) == text.replace("▁", " ")
+    texts = ["  two   spaces ", "\n\n a\tb", "▁x", "don't 日本語 ﬁ é 😀!!", "aaaaaaaaaaaaaaaa    b", "", "\ue000a b", "end., 3.5", "long" * 99]
+    ids, bounds = machine.encode(pa.array(texts))
+    parts = [ids[a:b] for a, b in zip(bounds, bounds[1:])]
+    assert [x.tolist() for x in parts] == [model.encode(x) for x in texts]
+    assert machine.decode(ids, bounds).to_pylist() == [x.replace("▁", " ") for x in texts]
+
+
+def test_piece_pairs_follow_the_merges(docs):
+    machine = pieces.Transducer.at(MODEL)
+    names, random = machine.names, np.random.default_rng(4)
+    every = np.array(sorted(names))
+    words = sorted({w for r in ROWS for w in machine.words_of(pa.array([r[1]], pa.string()))[2] if len(w) <= 40})[:2000]
+    words = [w for w in words if w and all(c in machine.pieces for c in w)]
+    assert [np.frombuffer(x, "<u4").tolist() for x in machine.shortest_of(words)] == [machine.shortest(w) for w in words]
+    pairs = [(k >> 32, k & 0xFFFFFFFF) for k in machine.follows if k >= 0] + random.choice(every, (3000, 2)).tolist()
+    for a, b in pairs:
+        assert machine.may_follow(a, b) == (machine.merged(names[a] + names[b]) == [names[a], names[b]])
+
+
+def test_pieces_of_an_empty_table(none):
     assert pieces.encoded(none, MODEL).count() == 0
 
 
