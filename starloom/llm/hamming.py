@@ -35,7 +35,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import components, free_name, numbered, small_batches, word_codes
+from starloom.llm.common import components, free_name, frugal, numbered, small_batches, word_codes
 from starloom.sources.workspace import Workspace
 
 WIDTH = 5
@@ -109,7 +109,7 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
             made = [pa.array(sizes, pa.int64()), pa.array(nodes, pa.binary()), pa.array(sigs, pa.binary())]
             yield pa.record_batch([*(batch.column(c) for c in others), *made], names=[*others, "n_shingles", "node", "sig"])
 
-    return docs.select(*others, "text").mapInArrow(work, schema)
+    return docs.select(*others, "text").mapInArrow(frugal(work), schema)
 
 
 def filed(nodes: DataFrame) -> DataFrame:
@@ -139,7 +139,7 @@ def filed(nodes: DataFrame) -> DataFrame:
                 names=["key", "v", "sig"],
             )
 
-    return nodes.select("v", "sig").mapInArrow(work, "key bigint, v bigint, sig binary")
+    return nodes.select("v", "sig").mapInArrow(frugal(work), "key bigint, v bigint, sig binary")
 
 
 def forest(v: np.ndarray, sig: np.ndarray) -> tuple[list[int], list[int]]:
@@ -210,7 +210,7 @@ def proposals(nodes: DataFrame, work: Workspace) -> DataFrame:
             yield from buckets(pa.Table.from_batches(held))
 
     dealt = keyed.repartition("key", "pair").sortWithinPartitions("key", "pair", "v")
-    return work.write(dealt.mapInArrow(meet, "a bigint, b bigint").distinct(), "pairs")
+    return work.write(dealt.mapInArrow(frugal(meet), "a bigint, b bigint").distinct(), "pairs")
 
 
 def sets_of(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, width: int, work: Workspace) -> DataFrame:
@@ -244,7 +244,7 @@ def sets_of(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, width: int, wor
                 )
 
     read = docs.select("text", place(F.col("doc_id").cast("bigint")).alias("place"))
-    made = read.mapInArrow(make, "node binary, n bigint, values array<bigint>")
+    made = read.mapInArrow(frugal(make), "node binary, n bigint, values array<bigint>")
     kept = made.join(wanted.select("v", "node"), "node").groupBy("v").agg(F.first("n").alias("n"), F.first("values").alias("values"))
     return work.write(kept, "sets")
 

@@ -34,7 +34,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import Recent, small_batches, word_codes
+from starloom.llm.common import Recent, frugal, small_batches, word_codes
 from starloom.sources.workspace import Workspace
 
 ORDER = 4
@@ -142,7 +142,7 @@ def gram_counts(docs: DataFrame) -> DataFrame:
             [pa.array([lang] * len(n), pa.string()), pa.array(hi), pa.array(lo), pa.array(n)], names=["lang", "hi", "lo", "n"]
         )
 
-    counted = docs.select("text", "lang").mapInArrow(count, "lang string, hi bigint, lo bigint, n bigint")
+    counted = docs.select("text", "lang").mapInArrow(frugal(count), "lang string, hi bigint, lo bigint, n bigint")
     return counted.groupBy("lang", "hi", "lo").agg(F.sum("n").alias("n"))
 
 
@@ -282,7 +282,7 @@ def scored(docs: DataFrame, models: Models | None, text: str = "text", keep: boo
                 names=[*others, "pred", "score", "entropy", "n_letters"],
             )
 
-    return docs.select(*(others if keep else [*others, text])).mapInArrow(work, schema)
+    return docs.select(*(others if keep else [*others, text])).mapInArrow(frugal(work), schema)
 
 
 def limits(found: DataFrame, lang: str) -> dict[str, float]:

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import components, digest
+from starloom.llm.common import components, digest, frugal
 from starloom.sources.workspace import Workspace
 
 COSINE = 0.98
@@ -184,7 +184,7 @@ def sharded(nodes: DataFrame, middles: dict[tuple[str, int], np.ndarray]) -> Dat
                         ("embedding", pa.list_(pa.float64())), ("copies", pa.int64())])
     lone = F.shiftrightunsigned(F.xxhash64("label", "dim"), 2).cast("bigint")
     return nodes.select("label", "dim", "v", "embedding", "copies", (-1 - lone).alias("lone")).mapInArrow(
-        work, "shard bigint, other bigint, v bigint, embedding array<double>, copies bigint"
+        frugal(work), "shard bigint, other bigint, v bigint, embedding array<double>, copies bigint"
     )
 
 

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import WordEncoder, numbered, small_batches  # noqa: F401
+from starloom.llm.common import WordEncoder, frugal, numbered, small_batches  # noqa: F401
 from starloom.operators.index import with_index
 from starloom.sources.workspace import Workspace
 
@@ -131,7 +131,7 @@ def pieces(docs: DataFrame, vocabulary: str, work: Workspace, name: str, capacit
             )
 
     source = docs.select(F.monotonically_increasing_id().alias("doc_row"), F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    return work.write(source.mapInArrow(cut, schema), name)
+    return work.write(source.mapInArrow(frugal(cut), schema), name)
 
 
 def pack(docs: DataFrame, vocabulary: str, work: Workspace, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
@@ -162,7 +162,7 @@ def pack(docs: DataFrame, vocabulary: str, work: Workspace, capacity: int = CAPA
             )
 
     schema = "doc_row bigint, piece int, sequence_id bigint, offset bigint"
-    placed = ranked.select("doc_row", "piece", "idx").mapInArrow(place, schema)
+    placed = ranked.select("doc_row", "piece", "idx").mapInArrow(frugal(place), schema)
     return stored.join(placed, ["doc_row", "piece"])
 
 

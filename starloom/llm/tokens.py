@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm.common import WordEncoder, digest, small_batches
+from starloom.llm.common import WordEncoder, digest, frugal, small_batches
 from starloom.sources.workspace import Workspace
 
 END_ID = 2
@@ -97,7 +97,7 @@ def encode(docs: DataFrame, vocabulary: str, work: Workspace, end_id: int = END_
             )
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), digest(F.col("text")).alias("tie"), "text")
-    stored = rows.mapInArrow(ids, schema)
+    stored = rows.mapInArrow(frugal(ids), schema)
     stored.write.mode("overwrite").option("compression", "zstd").parquet(work.path("ids"))
     return work.read(stored, "ids")
 
@@ -122,7 +122,7 @@ def frequency_ranks(encoded: DataFrame, work: Workspace) -> DataFrame:
         some = np.flatnonzero(total)
         yield pa.record_batch([pa.array(some), pa.array(total[some])], names=["id", "n"])
 
-    counts = encoded.select("ids", "n_tokens").mapInArrow(count, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
+    counts = encoded.select("ids", "n_tokens").mapInArrow(frugal(count), "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
     found = work.write(counts, "counts")
     ordered = [r["id"] for r in found.orderBy(F.desc("n"), "id").select("id").collect()]
     spark = encoded.sparkSession
@@ -183,10 +183,10 @@ def write_files(docs: DataFrame, vocabulary: str, work: Workspace, name: str = "
         if held:
             yield block()
 
-    packed = encoded.mapInArrow(pack, "doc_id bigint, tie binary, n_tokens bigint, control binary, data binary")
+    packed = encoded.mapInArrow(frugal(pack), "doc_id bigint, tie binary, n_tokens bigint, control binary, data binary")
     ordered = packed.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie")
     ordered = ordered.select("doc_id", "n_tokens", "control", "data", F.spark_partition_id().alias("part"))
-    ordered.mapInArrow(blocks, BLOCK_SCHEMA).write.mode("overwrite").option("compression", "zstd").parquet(work.path(name))
+    ordered.mapInArrow(frugal(blocks), BLOCK_SCHEMA).write.mode("overwrite").option("compression", "zstd").parquet(work.path(name))
     work.discard("ids")
     return work.path(name), work.path("ranks")
 
@@ -224,4 +224,4 @@ def read_files(spark: SparkSession, files: str, ranks: str) -> DataFrame:
 
     columns = ["base", "doc_ids", "doc_counts", "control", "data"]
     placed = stored.join(F.broadcast(offsets), "part").withColumn("base", F.col("base") + F.col("before"))
-    return placed.select(*columns).mapInArrow(decode, "doc_id bigint, start bigint, n_tokens bigint, ids binary")
+    return placed.select(*columns).mapInArrow(frugal(decode), "doc_id bigint, start bigint, n_tokens bigint, ids binary")
