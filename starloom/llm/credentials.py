@@ -113,6 +113,8 @@ def scan(hits: DataFrame, row: str, work: Workspace) -> DataFrame:
     judged = found.join(known, "hash").withColumn("judgement", judgement)
     judged = judged.filter(F.col("kind").isin(*BASE) | (F.col("judgement") == "live"))
     judged = work.write(judged.select(row, "kind", "kind_no", "start", "end", "owners", "repositories", "judgement"), "judged")
+    work.discard("candidates")
+    work.discard("ownership")
     # Furthest end of the base spans that start before, nearest base start from here on.
     base_end = F.max(F.when(F.col("kind").isin(*BASE), F.col("end")))
     base_start = F.min(F.when(F.col("kind").isin(*BASE), F.col("start")))
@@ -158,6 +160,7 @@ def redact(docs: DataFrame, work: Workspace, owner: str = "source", repository:
     """``docs`` with every span but copied examples masked in ``text``."""
     stored, row = numbered(docs, work, "rows")
     spans = scan(matches(stored, row, owner, repository, work), row, work).filter("judgement <> 'example'")
+    work.discard("matches")
     order = Window.partitionBy(row).orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
     reached = spans.withColumn("reached", F.coalesce(F.max("end").over(order), F.lit(0).cast("bigint")))
     cuts = free_name(stored, "cuts")

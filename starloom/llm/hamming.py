@@ -344,9 +344,12 @@ def keep_one(docs: DataFrame, work: Workspace, width: int = WIDTH, percent: int
     Rows with neither words nor doc_id all stay.
     """
     stored, row = numbered(docs, work, "rows")
-    found = groups(stored.select("doc_id", "text", row), work, width, percent)
+    inner = Workspace(work.spark, "near-copies")
+    found = groups(stored.select("doc_id", "text", row), inner, width, percent)
     lone = F.col("n_shingles") == 0
     group = F.when(lone, F.col(row)).otherwise(F.col("component_id"))
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", row)).alias("first")
     winners = found.groupBy(lone.alias("lone"), group.alias("group")).agg(first).select(F.col(f"first.{row}").alias(row))
+    winners = work.write(winners, "winners")
+    inner.remove()
     return stored.join(winners, row, "left_semi").drop(row).select(*docs.columns)

@@ -69,7 +69,8 @@ def remove_repeats(docs: DataFrame, work: Workspace) -> DataFrame:
     ``n_lines`` before and ``n_removed`` (underscores in front if taken)."""
     stored, row = numbered(docs, work, "rows")
     gone = free_name(stored, "gone")
-    found = covered_lines(stored.select(row, "doc_id", "text"), row, work).withColumnRenamed("gone", gone)
+    found = work.write(covered_lines(stored.select(row, "doc_id", "text"), row, work), "gone").withColumnRenamed("gone", gone)
+    work.discard("windows")
     lines = _lines(F.col("text"))
     kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(gone))
     text = F.when(F.col(gone).isNull(), F.col("text")).otherwise(
