@@ -1,7 +1,11 @@
 """Near-duplicate vectors by a robust-pruned flat graph.
 
-Vectors with equal labels are compared. Each is put with its two nearest
-centres, so the cluster shards overlap. In every shard a flat graph is built:
+Vectors with equal labels are compared. Each is put with its nearest centre and
+with every centre whose border with that one is at most half the range angle
+away, so the cluster shards overlap. A path between vectors of two clusters
+crosses their border, hence one end of a pair in range lies that near to it:
+every such pair shares a shard. Centres in range of a fuller one are dropped, so
+a group of near copies is not cut up. In every shard a flat graph is built:
 each vector keeps near ones as neighbours, but none that a kept one already
 leads to (robust pruning). The adjacency lists of all shards are united. Then
 every vector searches its shards from their medoids: greedy steps to the best
@@ -128,10 +132,10 @@ def marked(rows: DataFrame) -> DataFrame:
     return taken.withColumn("usable", F.coalesce(F.col("label").isNotNull() & fine & some, F.lit(False)))
 
 
-def centres(nodes: DataFrame) -> dict[tuple[str, int], np.ndarray]:
+def centres(nodes: DataFrame, cosine: float) -> dict[tuple[str, int], np.ndarray]:
     """Cluster centres of the (label, length) classes that fill more than one shard.
 
-    The sample and the number of centres are bounded, whatever the input.
+    No centre is in range of another, so a group of near copies keeps one. The sample and the number of centres are bounded, whatever the input.
     """
     total = nodes.count()
     rate = min(1.0, SAMPLE / max(total, 1))
@@ -151,19 +155,43 @@ def centres(nodes: DataFrame) -> dict[tuple[str, int], np.ndarray]:
             np.add.at(sums, nearest, units)
             filled = np.abs(sums).sum(axis=1) > 0
             middle[filled] = unit(sums[filled])
-        out[(key[0], int(key[1]))] = middle
+        size = np.bincount((units @ middle.T).argmax(axis=1), minlength=len(middle))
+        apart: list[int] = []
+        for c in np.argsort(-size, kind="stable").tolist():
+            if size[c] and (not apart or (middle[apart] @ middle[c]).max() < cosine):
+                apart.append(c)
+        out[(key[0], int(key[1]))] = middle[apart]
     return out
 
 
-def sharded(nodes: DataFrame, middles: dict[tuple[str, int], np.ndarray]) -> DataFrame:
-    """(shard, other, v, embedding, copies): every vector in the shards of its two nearest centres.
+def near_centres(units: np.ndarray, middle: np.ndarray, cosine: float) -> tuple[np.ndarray, np.ndarray]:
+    """(row, centre) of the nearest centres and of those whose border is within half the range angle.
 
+    Two vectors of which neither has the other's nearest centre are out of range.
+    """
+    rows, found = [], []
+    for at in range(0, len(units), 512):
+        value = units[at : at + 512] @ middle.T
+        home = value.argmax(axis=1)
+        best = np.take_along_axis(value, home[:, None], axis=1)
+        between = np.sqrt(np.maximum(((middle * middle).sum(axis=1) + (middle[home] ** 2).sum(axis=1)[:, None]) - 2 * (middle[home] @ middle.T), 0))
+        close = best - value <= between * math.sqrt(max(1 - cosine, 0) / 2) + 1e-9
+        row, centre = np.nonzero(close)
+        rows.append(row + at)
+        found.append(centre)
+    return np.concatenate(rows), np.concatenate(found)
+
+
+def sharded(nodes: DataFrame, middles: dict[tuple[str, int], np.ndarray], cosine: float) -> DataFrame:
+    """(shard, earlier, v, embedding, copies): every vector in the shards of its near centres.
+
+    ``earlier`` are the vector's shards with smaller numbers.
     A class without centres is one shard, numbered below zero by its hash.
     """
     first, at = {}, 0
     for key in sorted(middles):
         first[key], at = at, at + len(middles[key])
-    names = ["shard", "other", "v", "embedding", "copies"]
+    names = ["shard", "earlier", "v", "embedding", "copies"]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -171,20 +199,22 @@ def sharded(nodes: DataFrame, middles: dict[tuple[str, int], np.ndarray]) -> Dat
             for key, rows in frame.groupby(["label", "dim"]):
                 key = (key[0], int(key[1]))
                 if key in middles:
-                    cosine = unit(np.stack(rows["embedding"]).astype(np.float64)) @ middles[key].T
-                    near = first[key] + np.argpartition(-cosine, 1, axis=1)[:, :2]
+                    row, near = near_centres(unit(np.stack(rows["embedding"]).astype(np.float64)), middles[key], cosine)
+                    near = first[key] + near
                 else:
-                    near = rows["lone"].to_numpy()[:, None]
-                last = near.shape[1] - 1
-                for k in range(near.shape[1]):
-                    made = rows[["v", "embedding", "copies"]].assign(shard=near[:, k], other=near[:, last - k])
-                    yield pa.RecordBatch.from_pandas(made[names], schema=schema, preserve_index=False)
-
-    schema = pa.schema([("shard", pa.int64()), ("other", pa.int64()), ("v", pa.int64()),
+                    row, near = np.arange(len(rows)), rows["lone"].to_numpy()
+                start = np.searchsorted(row, row)
+                made = rows[["v", "embedding", "copies"]].iloc[row].assign(
+                    shard=near, earlier=[near[a:b] for a, b in zip(start.tolist(), range(len(near)))]
+                )
+                for at in range(0, len(made), 4096):
+                    yield pa.RecordBatch.from_pandas(made[names].iloc[at : at + 4096], schema=schema, preserve_index=False)
+
+    schema = pa.schema([("shard", pa.int64()), ("earlier", pa.list_(pa.int64())), ("v", pa.int64()),
                         ("embedding", pa.list_(pa.float64())), ("copies", pa.int64())])
     lone = F.shiftrightunsigned(F.xxhash64("label", "dim"), 2).cast("bigint")
     return nodes.select("label", "dim", "v", "embedding", "copies", (-1 - lone).alias("lone")).mapInArrow(
-        frugal(work), "shard bigint, other bigint, v bigint, embedding array<double>, copies bigint"
+        frugal(work), "shard bigint, earlier array<bigint>, v bigint, embedding array<double>, copies bigint"
     )
 
 
@@ -222,7 +252,7 @@ def adjacency(cut: DataFrame) -> DataFrame:
 def links(cut: DataFrame, lists: DataFrame, cosine: float) -> DataFrame:
     """(v, n, root): by cell, how many vectors each one links with, and a spanning link.
 
-    A pair that shares two shards counts in the smaller one only.
+    A pair that shares several shards counts in the smallest only.
     """
 
     def find(rows: pd.DataFrame) -> pd.DataFrame:
@@ -230,7 +260,11 @@ def links(cut: DataFrame, lists: DataFrame, cosine: float) -> DataFrame:
         n = len(rows)
         units = unit(np.stack(rows["embedding"]))
         v, piece, copies = (rows[c].to_numpy() for c in ("v", "piece", "copies"))
-        shard, other, pieces = int(rows["shard"][0]), rows["other"].to_numpy(), int(rows["pieces"][0])
+        pieces = int(rows["pieces"][0])
+        lengths = rows["earlier"].map(len).to_numpy()
+        before, column = np.unique(np.concatenate(rows["earlier"].tolist()), return_inverse=True)
+        earlier = np.zeros((n, len(before)), np.float32)
+        earlier[np.repeat(np.arange(n), lengths), column] = 1
         place = {x: i for i, x in enumerate(v.tolist())}
         graph = [np.array([place[x] for x in near if x in place], np.int64) if near is not None else np.zeros(0, np.int64)
                  for near in rows["near"]]
@@ -250,7 +284,7 @@ def links(cut: DataFrame, lists: DataFrame, cosine: float) -> DataFrame:
             near = np.flatnonzero(found[i])
             if crossing:
                 near = near[piece[near] != piece[i]]
-            near = near[(other[near] != other[i]) | (other[i] >= shard)]
+            near = near[earlier[near] @ earlier[i] == 0]
             near = near[np.einsum("ij,j->i", units[near], units[i]) >= cosine]
             counts[i] = copies[near].sum()
             joining = np.unique(group[near])
@@ -274,7 +308,7 @@ def groups(rows: DataFrame, work: Workspace, cosine: float = COSINE) -> DataFram
         F.min("vec_id").alias("vec_id"),
     )
     nodes = work.write(nodes.withColumn("dim", F.size("embedding")).withColumn("v", F.monotonically_increasing_id()), "nodes")
-    cut = cells(sharded(nodes, centres(nodes)), work)
+    cut = cells(sharded(nodes, centres(nodes, cosine), cosine), work)
     lists = work.write(adjacency(cut), "lists")
     found = work.write(links(cut, lists, cosine), "links")
     roots = components(found.select(F.col("v").alias("a"), F.col("root").alias("b")), work, "roots")

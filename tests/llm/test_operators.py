@@ -338,3 +338,31 @@ def test_vectors(spark, work, monkeypatch):
     assert neighbours.audit_recall(table.filter("vec_id < 360"), neighbours.groups(table, neighbours.Workspace(spark, "a")),
                                    neighbours.Workspace(spark, "b"), every=5) >= 0.95
     assert neighbours.groups(table.limit(0), neighbours.Workspace(spark, "none")).count() == 0
+
+
+def near_group(rng, n, cosine, size=64):
+    """Vectors about ``cosine`` from each other."""
+    base = rng.normal(size=size)
+    made = base / np.linalg.norm(base) + rng.normal(size=(n, size)) * np.sqrt((1 / cosine - 1) / size)
+    return made / np.linalg.norm(made, axis=1, keepdims=True)
+
+
+def near_truth(units):
+    link = units @ units.T >= 0.98
+    np.fill_diagonal(link, False)
+    return link
+
+
+def near_table(spark, units):
+    return spark.createDataFrame([(i, u.tolist(), 0) for i, u in enumerate(units)], "vec_id long, embedding array<double>, label int")
+
+
+def test_links_in_a_large_group(spark, work):
+    rng = np.random.default_rng(11)
+    units = np.concatenate([near_group(rng, 1200, 0.992), near_group(rng, 600, 0.5)])
+    table = near_table(spark, units)
+    found = neighbours.groups(table, work)
+    n = found.toPandas().set_index("vec_id").n_links.loc[range(len(units))].to_numpy()
+    link = near_truth(units)
+    assert (n <= link.sum(1)).all() and n.sum() >= 0.99 * link.sum()
+    assert neighbours.audit_recall(table, found, neighbours.Workspace(spark, "audit"), every=100) >= 0.99
