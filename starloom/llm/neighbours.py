@@ -82,22 +82,52 @@ def pruned(units: np.ndarray, degree: int = DEGREE, alpha: float = ALPHA) -> np.
     return out
 
 
+def connected(units: np.ndarray, graph: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Edges (from, to) of the adjacency lists in both directions, and of the medoid
+    to the nearest vector of every part that it does not reach."""
+    a, k = np.nonzero(graph >= 0)
+    b = graph[a, k]
+    one, two = np.concatenate((a, b)), np.concatenate((b, a))
+    part = np.arange(len(units))
+    while True:
+        low = part.copy()
+        np.minimum.at(low, one, part[two])
+        low = low[low]
+        if (low == part).all():
+            break
+        part = low
+    value = units @ units[medoid_of(units)]
+    order = np.lexsort((-value, part))
+    first = order[np.concatenate(([True], part[order][1:] != part[order][:-1]))]
+    first = first[part[first] != part[medoid_of(units)]]
+    middle = np.full(len(first), medoid_of(units))
+    return np.concatenate((one, first, middle)), np.concatenate((two, middle, first))
+
+
+def medoid_of(units: np.ndarray) -> int:
+    return int((units @ units.sum(axis=0)).argmax())
+
+
 def search(units: np.ndarray, graph: list[np.ndarray], start: int, queries: np.ndarray, in_range: float, beam: int = BEAM) -> np.ndarray:
     """Rows of a truth table [query, vector]: which vectors in range each query reaches.
 
-    All queries step together. A query opens its best unopened vector among the
-    ``beam`` best seen, and every vector in range, until none is left.
+    All queries step together, each from itself and from ``start``. A query
+    opens its best unopened vector among the ``beam`` best seen, and all vectors
+    in range at once, until none is left.
     """
     n, q = len(units), len(queries)
     width = max((len(g) for g in graph), default=0)
-    lists = np.full((n + 1, max(width, 1)), n, np.int64)
+    lists = np.full((n, max(width, 1)), n, np.int64)
     for i, g in enumerate(graph):
         lists[i, : len(g)] = g
-    seen = np.full((q, n + 1), -np.inf)
-    done = np.zeros((q, n + 1), bool)
-    done[:, n] = True
+    near = np.zeros((n, n), np.float32)
+    near[np.repeat(np.arange(n), [len(g) for g in graph]), np.concatenate([*graph, np.zeros(0, np.int64)])] = 1
+    cosine = units[queries] @ units.T
+    seen = np.full((q, n), -np.inf)
+    done = np.zeros((q, n), bool)
     active = np.arange(q)
-    seen[:, start] = units[queries] @ units[start]
+    seen[:, start] = cosine[:, start]
+    seen[active, queries] = cosine[active, queries]
     while len(active):
         open_ = np.where(done[active], -np.inf, seen[active])
         best = open_.argmax(axis=1)
@@ -107,17 +137,20 @@ def search(units: np.ndarray, graph: list[np.ndarray], start: int, queries: np.n
         else:
             least = np.full(len(active), -np.inf)
         going = (value > -np.inf) & ((value >= least) | (value >= in_range))
-        active, best = active[going], best[going]
+        active, best, opened = active[going], best[going], open_[going] >= in_range
         if not len(active):
             break
-        done[active, best] = True
-        near = lists[best]
-        rows = np.repeat(active, near.shape[1])
-        flat = near.reshape(-1)
-        new = (flat < n) & ~np.isfinite(seen[rows, flat])
-        rows, flat = rows[new], flat[new]
-        seen[rows, flat] = np.einsum("ij,ij->i", units[queries[rows]], units[flat])
-    return seen[:, :n]
+        opened[np.arange(len(active)), best] = True
+        done[active] |= opened
+        rows, at = np.nonzero(opened)
+        if len(rows) > 2 * len(active):
+            reached = opened.astype(np.float32) @ near > 0
+        else:
+            reached = np.zeros((len(active), n + 1), bool)
+            reached[rows[:, None], lists[at]] = True
+            reached = reached[:, :n]
+        seen[active] = np.where(reached, cosine[active], seen[active])
+    return seen
 
 
 def marked(rows: DataFrame) -> DataFrame:
@@ -238,11 +271,10 @@ def adjacency(cut: DataFrame) -> DataFrame:
 
     def build(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("v", ignore_index=True)
-        graph = pruned(unit(np.stack(rows["embedding"])))
+        units = unit(np.stack(rows["embedding"]))
         v = rows["v"].to_numpy()
-        a, b = np.nonzero(graph >= 0)
-        one, two = v[a], v[graph[a, b]]
-        return pd.DataFrame({"v": np.concatenate((one, two)), "near": np.concatenate((two, one))})
+        one, two = connected(units, pruned(units))
+        return pd.DataFrame({"v": v[one], "near": v[two]})
 
     # Lists are built within pieces; a cell of two pieces joins them.
     edges = cut.groupBy("shard", "cell").applyInPandas(build, "v bigint, near bigint")
@@ -268,15 +300,15 @@ def links(cut: DataFrame, lists: DataFrame, cosine: float) -> DataFrame:
         place = {x: i for i, x in enumerate(v.tolist())}
         graph = [np.array([place[x] for x in near if x in place], np.int64) if near is not None else np.zeros(0, np.int64)
                  for near in rows["near"]]
-        middle = units.sum(axis=0)
-        medoid = int((units @ middle).argmax())
+        medoid = medoid_of(units)
         crossing = int(rows["cell"][0]) // pieces != int(rows["cell"][0]) % pieces
         counts = np.zeros(n, np.int64)
         found = np.zeros((n, n), bool)
         for at in range(0, n, 256):
             queries = np.arange(at, min(at + 256, n))
             seen = search(units, graph, medoid, queries, cosine)
-            found[queries] = seen >= cosine - 1e-9
+            # What a search did not reach is added, so that every shard of a pair knows it.
+            found[queries] = (seen >= cosine - 1e-9) | (units[queries] @ units.T >= cosine - 1e-9)
         found |= found.T
         np.fill_diagonal(found, False)
         group = np.arange(n)

@@ -366,3 +366,27 @@ def test_links_in_a_large_group(spark, work):
     link = near_truth(units)
     assert (n <= link.sum(1)).all() and n.sum() >= 0.99 * link.sum()
     assert neighbours.audit_recall(table, found, neighbours.Workspace(spark, "audit"), every=100) >= 0.99
+
+
+@pytest.mark.parametrize("groups", [2, 3])
+def test_links_of_separate_groups(spark, work, groups):
+    rng = np.random.default_rng(groups)
+    units = np.concatenate([near_group(rng, 100, 0.995) for _ in range(groups)])
+    link = near_truth(units)
+    one, two = neighbours.connected(units, neighbours.pruned(units))
+    graph = [np.unique(two[one == i]) for i in range(len(units))]
+    seen = neighbours.search(units, graph, neighbours.medoid_of(units), np.arange(len(units)), 0.98)
+    assert ((seen >= 0.98) | ~link | np.eye(len(units), dtype=bool)).all()
+    found = neighbours.groups(near_table(spark, units), work).toPandas().set_index("vec_id").loc[range(len(units))]
+    assert (found.n_links == link.sum(1)).all() and found.component_id.nunique() == found.kept.sum() == groups
+
+
+def test_a_pair_counts_once_in_many_shards(spark, work, monkeypatch):
+    rng = np.random.default_rng(3)
+    at = rng.uniform(0, 1.2, 700)
+    units = np.stack([np.cos(at), np.sin(at), rng.normal(0, 0.05, 700)], axis=1)
+    units /= np.linalg.norm(units, axis=1, keepdims=True)
+    monkeypatch.setattr(neighbours, "SHARD", 60)
+    monkeypatch.setattr(neighbours, "PIECE", 100)
+    found = neighbours.groups(near_table(spark, units), work).toPandas().set_index("vec_id").loc[range(700)]
+    assert (found.n_links == near_truth(units).sum(1)).all()
