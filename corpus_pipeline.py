@@ -58,7 +58,7 @@ STAGES = [
     ("packing", pack_sequences),
 ]
 
-# Language models and tokens are beyond SQL; tests compare with brute force.
+# Language models and tokens are beyond SQL; tests compare near copies and tokens of clean texts with brute force.
 ORACLE_SQL = None
 
 

@@ -315,10 +315,18 @@ def across(pairs: DataFrame, roots: DataFrame, sets: DataFrame, percent: int, wo
 
 
 def groups(docs: DataFrame, work: Workspace, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """``docs`` without text, with n_shingles and component_id, stored.
+    """``docs`` without text, with n_shingles and component_id.
 
     ``docs`` needs doc_id and text; other columns are carried along.
     """
+    return rooted(docs, work, width, percent).drop("root")
+
+
+def rooted(docs: DataFrame, work: Workspace, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
+    """As ``groups``, with ``root``: one number per component, null without words.
+
+    Null and shared doc_ids make component_id ambiguous; root is not.
+    """
     sketched = work.write(sketches(docs.withColumn("doc_id", F.col("doc_id").cast("bigint")), width), "sketches")
     nodes = sketched.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("sig").alias("sig"))
     nodes = work.write(nodes.withColumn("v", F.monotonically_increasing_id()), "nodes")
@@ -330,10 +338,10 @@ def groups(docs: DataFrame, work: Workspace, width: int = WIDTH, percent: int =
     if not more.isEmpty():
         stars = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
         roots = components(stars.unionByName(more), work, "all-roots")
-    rooted = nodes.select("v", "node", "doc_id").join(roots.withColumnRenamed("node", "v"), "v", "left")
-    rooted = rooted.withColumn("root", F.coalesce("root", "v"))
-    names = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    named = rooted.join(names, "root").select("node", "component_id")
+    tree = nodes.select("v", "node", "doc_id").join(roots.withColumnRenamed("node", "v"), "v", "left")
+    tree = tree.withColumn("root", F.coalesce("root", "v"))
+    names = tree.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    named = tree.join(names, "root").select("node", "component_id", "root")
     joined = sketched.drop("sig").join(named, "node", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
     return joined.drop("node")
 
@@ -341,13 +349,14 @@ def groups(docs: DataFrame, work: Workspace, width: int = WIDTH, percent: int =
 def keep_one(docs: DataFrame, work: Workspace, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """``docs`` with one row of every group of near copies: the smallest doc_id, one of equal rows.
 
-    Rows with neither words nor doc_id all stay.
+    Groups are told by their links, never by doc_id: unlike texts with a null or
+    shared doc_id all stay. Rows without words all stay.
     """
     stored, row = numbered(docs, work, "rows")
     inner = Workspace(work.spark, "near-copies")
-    found = groups(stored.select("doc_id", "text", row), inner, width, percent)
+    found = rooted(stored.select("doc_id", "text", row), inner, width, percent)
     lone = F.col("n_shingles") == 0
-    group = F.when(lone, F.col(row)).otherwise(F.col("component_id"))
+    group = F.when(lone, F.col(row)).otherwise(F.col("root"))
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", row)).alias("first")
     winners = found.groupBy(lone.alias("lone"), group.alias("group")).agg(first).select(F.col(f"first.{row}").alias(row))
     winners = work.write(winners, "winners")

@@ -1,6 +1,56 @@
 """The pipeline's stages on a small table with planted copies and odd rows."""
 
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+from tokenizers import Tokenizer
+
 import corpus_pipeline
+from starloom.llm import hamming
+
+
+def clean_rows():
+    """Unlike texts and near copies; some ids are null or shared."""
+    rng = np.random.default_rng(12)
+    words = ["".join(rng.choice(list("abcdefghij"), 6)) for _ in range(300)]
+    rows = []
+    for i in range(24):
+        doc_id = None if i % 4 == 0 else 7 if i % 4 == 1 else 100 + i
+        text = rng.choice(words, 80).tolist()
+        rows.append((doc_id, " ".join(text)))
+        if i % 3 == 0:
+            rows.append((200 + i, " ".join([*text[:-1], "ending"])))
+    return rows
+
+
+def brute_kept(rows):
+    """Of every group of linked texts the row with the smallest doc_id, nulls last."""
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (t.split() for _, t in rows)]
+    group = list(range(len(rows)))
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if 100 * len(a & sets[j]) >= 80 * len(a | sets[j]):
+                group = [group[j] if g == group[i] else g for g in group]
+    order = sorted(range(len(rows)), key=lambda i: (rows[i][0] is None, rows[i][0] or 0))
+    return [rows[next(i for i in order if group[i] == g)] for g in set(group)]
+
+
+def test_null_and_shared_ids_keep_unlike_texts(spark, work):
+    rows = clean_rows()
+    kept = hamming.keep_one(spark.createDataFrame(rows, "doc_id long, text string"), work)
+    assert Counter(map(tuple, kept.collect())) == Counter(brute_kept(rows))
+
+
+def test_run_equals_brute_force_on_clean_texts(spark, tmp_path):
+    rows = clean_rows()
+    docs = [(i, t, "en", "s", len(t)) for i, t in rows]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    spark.createDataFrame(docs, schema).write.parquet(f"{tmp_path}/documents.parquet")
+    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    tokenizer = Tokenizer.from_file(public_tokenizers.path(corpus_pipeline.VOCABULARY))
+    want = Counter((i, len(tokenizer.encode(t, add_special_tokens=False).ids) + 1) for i, t in brute_kept(rows))  # and the end id
+    assert Counter((r["doc_id"], r["length"]) for r in got) == want
 
 
 def test_stages(spark):
