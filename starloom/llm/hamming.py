@@ -14,7 +14,9 @@ sets. Proposals join the nodes into families; every pair within the distance
 lies in one. In a family whose confirmed links leave several components, pairs
 across components are compared on full sets inside the tasks, in pieces of
 bounded size that meet pairwise, and only spanning links leave a task. So no
-link that decides a component is missed, and no group's pairs are written out.
+link inside a family is missed, and no group's pairs are written out. A pair
+beyond DISTANCE that no other near copy brings into one family stays unlinked:
+at similarity 0.8 about 1.4 in ten thousand pairs, fewer above.
 Equal sets are one node from the start. A key with very many members is split
 into blocks that meet pairwise.
 
