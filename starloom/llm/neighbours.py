@@ -8,10 +8,10 @@ every such pair shares a shard. Centres in range of a fuller one are dropped, so
 a group of near copies is not cut up. In every shard a flat graph is built:
 each vector keeps near ones as neighbours, but none that a kept one already
 leads to (robust pruning). The adjacency lists of all shards are united. Then
-every vector searches its shards from their medoids: greedy steps to the best
-vector not yet opened, and once vectors in range turn up, on through all
-vectors in range until none is left unopened. Pairs found are confirmed in
-double precision.
+every vector searches its shards from itself and their medoids: greedy steps to
+the best vector not yet opened, and once vectors in range turn up, on through
+all vectors in range until none is left unopened. A block product adds pairs in
+range that a search missed. Pairs are confirmed in double precision.
 
 Equal vectors are one node, whatever their number. A shard with more than
 ``PIECE`` vectors is cut into pieces that meet pairwise, so a task holds two
