@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import credentials, hamming, language, lines, neighbours, oracles, packing, pieces, quality, shards, tokens
+from starloom.llm import credentials, hamming, language, lines, neighbours, oracles, packing, periods, pieces, quality, shards, tokens
+from starloom.llm.common import let, words
 from starloom.sources.workspace import Workspace
 
 VOCABULARY = "word_bpe_49k.json"
@@ -78,6 +79,45 @@ def op10_hamming_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", kept)
 
 
+def _with_planted_periods(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): a tenth of the documents repeats its words from some place on.
+
+    With h the crc32 of the id and g = h div 10, where h is a multiple of 10
+    the n words from a = g mod n on become a[(i - a) mod p], with period
+    p = 1 + (n - a) div (3 + g mod 8). A null id is left as it is.
+    """
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.expr("g div 10")
+
+    def repeated(w: Column) -> Column:
+        n = F.size(w).cast("bigint")
+        a = F.pmod(F.col("g"), n)
+        p = F.floor((n - a) / (F.col("g") % 8 + 3)) + 1
+        place = F.array(a, p)
+        return let(place, lambda x: F.transform(w, lambda own, i: F.when(i < F.get(x, F.lit(0)), own).otherwise(
+            F.get(w, (F.get(x, F.lit(0)) + (i - F.get(x, F.lit(0))) % F.get(x, F.lit(1))).cast("int")))))
+
+    chosen = docs.select("doc_id", "text", h.alias("g")).withColumn("planted", F.expr("g % 10 = 0")).withColumn("g", g)
+    again = let(words(F.col("text")), lambda w: F.when(F.size(w) > 0, F.array_join(repeated(w), " ")).otherwise(""))
+    return chosen.select("doc_id", F.when(F.col("planted"), again).otherwise(F.col("text")).alias("text"))
+
+
+def op11_lyndon_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periods.runs(_with_planted_periods(table(spark, sf_dir, "documents")))
+    # The exact greatest length / period; runs come by start and period, so the first of equal ones stays.
+    better = lambda best, x: x["length"] * best["period"] > best["length"] * x["period"]
+    best = F.aggregate("runs", F.get("runs", F.lit(0)), lambda best, x: F.when(better(best, x), x).otherwise(best))
+    line = lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))
+    listed = F.array_join(F.transform("runs", line), "")
+    return found.select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), best.alias("best"), F.sha2(listed, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    ).select(
+        "doc_id", "n_runs", "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"), "runs_sha256", "collapsed_sha256",
+    )
+
+
 QUERIES = {
     "op1_decision_list": op1_decision_list,
     "op2_hilbert_shards": op2_hilbert_shards,
@@ -89,6 +129,7 @@ QUERIES = {
     "op8_piece_transducer": op8_piece_transducer,
     "op9_token_files": op9_token_files,
     "op10_hamming_groups": op10_hamming_groups,
+    "op11_lyndon_runs": op11_lyndon_runs,
 }
 
 ORACLES = {"op3_line_windows": oracles.LINES, "op10_hamming_groups": oracles.GROUPS}
