@@ -6,7 +6,22 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import credentials, hamming, language, lines, neighbours, oracles, packing, periods, pieces, quality, shards, tokens
+from starloom.llm import (
+    credentials,
+    hamming,
+    language,
+    lines,
+    mixing,
+    neighbours,
+    oracles,
+    packing,
+    periods,
+    pieces,
+    quality,
+    shards,
+    tokens,
+    whitening,
+)
 from starloom.llm.common import let, words
 from starloom.sources.workspace import Workspace
 
@@ -118,6 +133,22 @@ def op11_lyndon_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_polarised_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    found, model = whitening.whiten(rows, Workspace(spark, "whitening"))
+    n, explained, error = (model.n, model.explained.tolist(), model.identity_error) if model else (0, [], None)
+    share = F.get(F.array(*[F.lit(e) for e in explained]).cast("array<double>"), F.col("pos"))
+    return found.select("vec_id", "deviation", F.posexplode("whitened").alias("pos", "whitened")).select(
+        "vec_id", (F.col("pos") + 1).alias("component"), F.lit(n).cast("bigint").alias("n"), "deviation", "whitened",
+        share.alias("explained"), F.lit(error).cast("double").alias("identity_error"),
+    )
+
+
+def op13_water_filling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents"), Workspace(spark, "mixing"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
 QUERIES = {
     "op1_decision_list": op1_decision_list,
     "op2_hilbert_shards": op2_hilbert_shards,
@@ -130,6 +161,12 @@ QUERIES = {
     "op9_token_files": op9_token_files,
     "op10_hamming_groups": op10_hamming_groups,
     "op11_lyndon_runs": op11_lyndon_runs,
+    "op12_polarised_whitening": op12_polarised_whitening,
+    "op13_water_filling": op13_water_filling,
 }
 
-ORACLES = {"op3_line_windows": oracles.LINES, "op10_hamming_groups": oracles.GROUPS}
+ORACLES = {
+    "op3_line_windows": oracles.LINES,
+    "op10_hamming_groups": oracles.GROUPS,
+    "op13_water_filling": oracles.MIX,
+}
