@@ -1,7 +1,8 @@
 """Products of vector tables, block by block.
 
 All-pairs scores are the result itself here (a full prediction matrix) or are
-cut to the best n per row before anything leaves the task. Vectors are packed
+cut to the best n per row before anything leaves the task (module ``best`` does
+without most products where lengths differ). Vectors are packed
 into blocks of a fixed number of rows; a task multiplies two blocks with one
 matrix product. Blocks meet through an equi-join on block numbers.
 """
@@ -52,13 +53,10 @@ def packed(indexed: DataFrame, key: str, size: int, prefix: str) -> DataFrame:
 def block_pairs(
     rows: DataFrame, n_rows: int, cols: DataFrame, n_cols: int, row_size: int, col_size: int, rank: int
 ) -> DataFrame:
-    """Every row block next to every column block. A map ``rated`` by column
-    block is cut to the pair's own entry, ``done``."""
+    """Every row block next to every column block."""
     row_blocks, col_blocks = -(-n_rows // row_size), -(-n_cols // col_size)
     left = rows.select("*", F.explode(F.sequence(F.lit(0), F.lit(max(col_blocks - 1, 0)))).alias("c_block"))
     left = left.withColumn("c_block", F.col("c_block").cast("bigint"))
-    if "rated" in rows.columns:
-        left = left.withColumn("done", F.col("rated")[F.col("c_block")]).drop("rated")
     if n_cols * (8 * rank + 8) <= BROADCAST_BYTES:
         return left.join(F.broadcast(cols), "c_block")
     # Both sides repeated over the grid: one join key per block pair spreads
@@ -137,66 +135,6 @@ def rank_within(rows: DataFrame, key: str, score: str, tie: str, n: int) -> Data
     return rows.withColumn("rank", F.row_number().over(w).cast("bigint")).where(F.col("rank") <= n)
 
 
-def rated_cells(
-    rated: DataFrame, rows: DataFrame, cols: DataFrame, size: int
-) -> DataFrame:
-    """Per row block a map from column block to the positions of rated cells."""
-    place = (
-        rated.select("user", "item").distinct()
-        .join(rows.select("user", F.col("idx").alias("ui")), "user")
-        .join(cols.select("item", F.col("idx").alias("ii")), "item")
-    )
-    cell = (F.col("ui") % size) * COL_BLOCK + F.col("ii") % COL_BLOCK
-    per_pair = place.groupBy(
-        F.floor(F.col("ui") / size).cast("bigint").alias("r_block"),
-        F.floor(F.col("ii") / COL_BLOCK).cast("bigint").alias("c_block"),
-    ).agg(F.collect_list(cell.cast("int")).alias("cells"))
-    return per_pair.groupBy("r_block").agg(F.map_from_entries(F.collect_list(F.struct("c_block", "cells"))).alias("rated"))
-
-
-def top_n_per_user(
-    users: DataFrame,
-    items: DataFrame,
-    rank: int,
-    n: int,
-    work: Workspace,
-    rated: DataFrame | None = None,
-) -> DataFrame:
-    """The n best predicted items of every user, without the items in
-    ``rated`` if given: (user, item, predict, rank).
-
-    Already rated cells are blanked inside the block, so the cut to n per
-    block stays exact. A list of rated cells is no longer than its block pair
-    has cells, and it joins the row block before that is repeated.
-    """
-    u, n_u = numbered(users, "user", work, "rows")
-    i, n_i = numbered(items, "item", work, "cols")
-    size = row_block(n_u, work.spark.sparkContext.defaultParallelism)
-    rows = packed(u, "user", size, "r")
-    if rated is not None:
-        rows = rows.join(rated_cells(rated, u, i, size), "r_block", "left")
-    else:
-        rows = rows.withColumn("rated", F.lit(None).cast("map<bigint, array<int>>"))
-    pairs = block_pairs(
-        spread(rows, -(-n_u // size)), n_u, packed(i, "item", COL_BLOCK, "c"), n_i, size, COL_BLOCK, rank
-    ).select("r_ids", "r_f", "c_ids", "c_f", "done")
-
-    def best(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for row in batch.itertuples():
-                left, w = unpack(row, "r", rank)
-                right, h = unpack(row, "c", rank)
-                scores = w @ h.T
-                if row.done is not None:
-                    at = np.asarray(row.done)
-                    scores[at // COL_BLOCK, at % COL_BLOCK] = -np.inf
-                r, c = best_columns(scores, right, n)
-                yield pd.DataFrame({"user": left[r], "item": right[c], "predict": scores[r, c]})
-
-    found = pairs.mapInPandas(best, "user bigint, item bigint, predict double")
-    return rank_within(found, "user", "predict", "item", n)
-
-
 def top_cosine(vectors: DataFrame, rank: int, n: int, work: Workspace, digits: int = 6, include_self: bool = False) -> DataFrame:
     """The n most similar vectors of every vector: (id, other, score, rank).
     Scores are rounded before ranking, so that equal vectors tie by id."""

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.functions import hashing, scores, text, vectors
-from starloom.operators import als, blocks, catalogue, content, dsgd, factors, fuzzy, gradient, index, ratings, split
+from starloom.operators import als, best, blocks, catalogue, content, dsgd, factors, fuzzy, gradient, index, ratings, split
 from starloom.plans import pages, training
 from starloom.plans.shapes import Shapes, to_stream_ratings
 from starloom.sources import readers, tables, writers
@@ -574,23 +574,23 @@ def detail_bundle(t: Shapes, work: Workspace) -> DataFrame:
 @query
 def top_n_user(t: Shapes, work: Workspace) -> DataFrame:
     run = _trained(t, work, 1)
-    best = blocks.top_n_per_user(run.factors["user"], run.factors["item"], 2, 12, work)
-    return rounded(best.select("user", "item", "predict", "rank"), 4, "predict")
+    top = best.top_n_per_user(run.factors["user"], run.factors["item"], 2, 12, work)
+    return rounded(top.select("user", "item", "predict", "rank"), 4, "predict")
 
 
 @query
 def top_n_unrated(t: Shapes, work: Workspace) -> DataFrame:
     run = _trained(t, work, 3)
-    best = blocks.top_n_per_user(run.factors["user"], run.factors["item"], 2, 12, work, run.train)
-    return rounded(best.select("user", "item", "predict", "rank"), 4, "predict")
+    top = best.top_n_per_user(run.factors["user"], run.factors["item"], 2, 12, work, run.train)
+    return rounded(top.select("user", "item", "predict", "rank"), 4, "predict")
 
 
 @query
 def recommended_items(t: Shapes, work: Workspace) -> DataFrame:
     """The best twelve of every user with their item rows, in rank order."""
     run = _trained(t, work, 1)
-    best = blocks.top_n_per_user(run.factors["user"], run.factors["item"], 2, 12, work)
-    return best.join(t.movies, "item", "left").select("user", "rank", "item", "title", "genres")
+    top = best.top_n_per_user(run.factors["user"], run.factors["item"], 2, 12, work)
+    return top.join(t.movies, "item", "left").select("user", "rank", "item", "title", "genres")
 
 
 # --- content -------------------------------------------------------------------------
@@ -802,8 +802,8 @@ def external_table(t: Shapes, work: Workspace) -> DataFrame:
 def prediction_buckets(t: Shapes, work: Workspace) -> DataFrame:
     """Top-12 predictions stored in folders by user; each user's rows read back."""
     run = _trained(t, work, 1)
-    best = blocks.top_n_per_user(run.factors["user"], run.factors["item"], 2, 12, work)
-    writers.write_predictions(best.select("user", F.col("item").alias("movie"), "predict"), work.path("buckets"), "parquet", 8)
+    top = best.top_n_per_user(run.factors["user"], run.factors["item"], 2, 12, work)
+    writers.write_predictions(top.select("user", F.col("item").alias("movie"), "predict"), work.path("buckets"), "parquet", 8)
     stored = t.spark.read.parquet(work.path("buckets"))
     return stored.groupBy("user").agg(F.count("*").alias("n"), F.round(F.max("predict"), 4).alias("best"))
 

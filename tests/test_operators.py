@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from starloom.functions import scores, text
 from starloom.functions.vectors import dot
+from starloom.operators import best as best_scores
 from starloom.operators import blocks, catalogue, content, fuzzy, index, ratings, split
 from starloom.sources.workspace import Workspace
 
@@ -199,7 +200,7 @@ def test_predictions_over_many_blocks(spark, work, monkeypatch, small):
     got = {(r["user"], r["item"]): r["predict"] for r in blocks.all_predictions(users, items, 3, work).collect()}
     assert len(got) == 11 * 13 and all(got[u, i] == pytest.approx(w[u] @ h[i]) for u, i in got)
     rated = spark.createDataFrame([(u, i) for u in w for i in list(h)[: (u % 13) + 1]], "user long, item long")
-    best = blocks.top_n_per_user(users, items, 3, 4, Workspace(spark, "top"), rated).collect()
+    best = best_scores.top_n_per_user(users, items, 3, 4, Workspace(spark, "top"), rated).collect()
     skip = {(r["user"], r["item"]) for r in rated.collect()}
     for u in w:
         want = sorted((-(w[u] @ h[i]), i) for i in h if (u, i) not in skip)[:4]
