@@ -56,17 +56,24 @@ def solve_packed(packed: np.ndarray, rank: int, lam: float) -> np.ndarray:
 
 
 def solved(sums: DataFrame, rank: int, lam: float) -> DataFrame:
-    """Replace the packed sums in column ``s`` by the solution ``f``, in Arrow batches."""
-
-    @F.pandas_udf("array<double>")
-    def solve(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for packed in batches:
-            if len(packed):
-                yield pd.Series(list(solve_packed(np.stack(packed.to_numpy()), rank, lam)))
+    """Replace the packed sums in column ``s`` by the solution ``f``, in Arrow
+    batches, and by ``q`` = f'X'X f - 2 f'X'r: what the solution adds to the sum
+    of squared ratings to give the sum of squared errors of its id."""
+    a, b = map(np.array, zip(*upper_pairs(rank)))
+    twice = np.where(a == b, 1.0, 2.0)
+
+    @F.pandas_udf("f array<double>, q double")
+    def solve(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for given in batches:
+            if len(given):
+                packed = np.stack(given.to_numpy())
+                f = solve_packed(packed, rank, lam)
+                q = (packed[:, : len(a)] * f[:, a] * f[:, b]) @ twice - 2.0 * np.einsum("nk,nk->n", packed[:, len(a) :], f)
+                yield pd.DataFrame({"f": list(f), "q": q})
             else:
-                yield pd.Series([], dtype=object)
+                yield pd.DataFrame({"f": pd.Series([], dtype=object), "q": pd.Series([], dtype=float)})
 
-    return sums.withColumn("f", solve("s")).drop("s")
+    return sums.withColumn("x", solve("s")).select(*[c for c in sums.columns if c != "s"], "x.f", "x.q")
 
 
 def fits(rows: int, rank: int) -> bool:
@@ -163,9 +170,9 @@ class RoutedRatings:
 
 
 def keep_unrated(updated: DataFrame, before: DataFrame, key: str) -> DataFrame:
-    """Updated vectors; ids that got none keep the vector they had."""
+    """Updated vectors with their ``q``; ids that got none keep the vector they had."""
     old = before.select(key, F.col("f").alias("old"))
-    return old.join(updated, key, "left").select(key, F.coalesce("f", "old").alias("f"))
+    return old.join(updated, key, "left").select(key, F.coalesce("f", "old").alias("f"), "q")
 
 
 class AlsRun:
@@ -188,6 +195,8 @@ class AlsRun:
             key: work.write(start_factors(known, key, rank), f"{key}-0") for key in ("user", "item")
         }
         self.steps = {"user": 0, "item": 0}
+        self.last: DataFrame | None = None
+        self.squares: float | None = None
         self.small = {key: fits(table.count(), rank) for key, table in self.factors.items()}
         self.routed: dict[str, RoutedRatings] = {}
         self.route = {key: self._route(OTHER[key], route) for key in ("user", "item")}
@@ -221,7 +230,7 @@ class AlsRun:
                 self.routed[key] = RoutedRatings(self.train, key, self.work)
             updated = self.routed[key].half_step(fixed, self.rank, self.lam, f"partial-{key}-{step}")
         stored = self.work.write(keep_unrated(updated, before, key), f"{key}-{step}")
-        self.factors[key], self.steps[key] = stored, step
+        self.factors[key], self.steps[key], self.last = stored.select(key, "f"), step, stored
         if step > 1:
             self.work.discard(f"{key}-{step - 1}")
 
@@ -230,6 +239,17 @@ class AlsRun:
         self.half_step("user")
         self.half_step("item")
 
+    def train_rmse(self) -> float | None:
+        """RMSE of the train ratings after the last half-step, from the sums that
+        it was solved from: ratings and factors are not joined again."""
+        if self.squares is None:
+            row = self.train.agg(F.sum(F.col("rating") * F.col("rating")), F.count("*")).first()
+            self.squares, self.n_train = row[0] or 0.0, row[1]
+        if not self.n_train:
+            return None
+        left = self.last.agg(F.sum("q")).first()[0] or 0.0
+        return (max(self.squares + left, 0.0) / self.n_train) ** 0.5
+
     def rmse(self, ratings: DataFrame) -> float | None:
         return rmse(ratings, self.factors["user"], self.factors["item"], self.rank).first()["rmse"]
 
@@ -253,7 +273,7 @@ def train_als(
     curve = []
     for iteration in range(1, iterations + 1):
         run.iterate()
-        curve.append((iteration, run.rmse(run.train), None if checked is None else run.rmse(checked)))
+        curve.append((iteration, run.train_rmse(), None if checked is None else run.rmse(checked)))
     return run, curve
 
 

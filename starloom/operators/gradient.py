@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from starloom.functions.scores import clip_rating
 from starloom.functions.vectors import dot
 from starloom.operators.als import OTHER
-from starloom.operators.factors import frobenius, rmse, start_factors, with_both
+from starloom.operators.factors import frobenius, start_factors, with_both
 from starloom.sources.workspace import Workspace
 
 
@@ -23,6 +23,27 @@ def centred(ratings: DataFrame, work: Workspace, by: str = "user") -> DataFrame:
     return with_bias.withColumn("rating", F.col("rating") - F.col("bias")).select(*ratings.columns)
 
 
+def gradient_sums(ratings: DataFrame, users: DataFrame, items: DataFrame, key: str, rank: int) -> DataFrame:
+    """Per id of one side what its gradient adds up, and its squared errors: one join."""
+    theirs = "h" if key == "user" else "w"
+    error = F.col("rating") - dot(F.col("w"), F.col("h"), rank)
+    pull = [F.sum(error * F.col(theirs)[a]).alias(f"g{a}") for a in range(rank)]
+    return with_both(ratings, users, items, last=OTHER[key]).groupBy(key).agg(*pull, F.sum(error * error).alias("sse"))
+
+
+def moved(current: DataFrame, sums: DataFrame, key: str, rank: int, lam: float, rate: float, n_ratings: int) -> DataFrame:
+    """The vectors of one side after a step; ids without ratings only shrink."""
+    f = F.array(
+        *[
+            F.col("f")[a]
+            - F.lit(rate)
+            * (F.lit(lam) * F.col("f")[a] - F.coalesce(F.col(f"g{a}"), F.lit(0.0)) / F.lit(n_ratings))
+            for a in range(rank)
+        ]
+    )
+    return current.join(sums, key, "left").select(key, f.alias("f"))
+
+
 def gradient_step(
     ratings: DataFrame,
     users: DataFrame,
@@ -34,21 +55,9 @@ def gradient_step(
     n_ratings: int,
 ) -> DataFrame:
     """Move the vectors of one side against the gradient of the mean loss.
-    The error part is k sums per id; ids without ratings only shrink."""
-    mine, theirs = ("w", "h") if key == "user" else ("h", "w")
+    The error part is k sums per id."""
     current = users if key == "user" else items
-    error = F.col("rating") - dot(F.col("w"), F.col("h"), rank)
-    pull = [F.sum(error * F.col(theirs)[a]).alias(f"g{a}") for a in range(rank)]
-    sums = with_both(ratings, users, items, last=OTHER[key]).groupBy(key).agg(*pull)
-    moved = F.array(
-        *[
-            F.col("f")[a]
-            - F.lit(rate)
-            * (F.lit(lam) * F.col("f")[a] - F.coalesce(F.col(f"g{a}"), F.lit(0.0)) / F.lit(n_ratings))
-            for a in range(rank)
-        ]
-    )
-    return current.join(sums, key, "left").select(key, moved.alias("f"))
+    return moved(current, gradient_sums(ratings, users, items, key, rank), key, rank, lam, rate, n_ratings)
 
 
 def loss(
@@ -96,11 +105,25 @@ def train_gradient(
     n = data.count()
     factors = {key: work.write(start_factors(data, key, rank), f"{key}-0") for key in OTHER}
     log = []
+
+    def item_sums(iteration: int) -> DataFrame:
+        """The sums of the next item step; their squared errors are the loss so far."""
+        sums = gradient_sums(data, factors["user"], factors["item"], "item", rank)
+        return work.write(sums, f"sums-{iteration}")
+
+    sums = item_sums(0)
     for iteration in range(1, iterations + 1):
-        for key in ("item", "user"):
-            step = gradient_step(data, factors["user"], factors["item"], key, rank, lam, rate, n)
-            factors[key] = work.write(step, f"{key}-{iteration}")
-        if iteration % print_every == 0:
-            value = loss(data, factors["user"], factors["item"], rank, lam).first()["loss"]
-            log.append((iteration, value, rmse(data, factors["user"], factors["item"], rank).first()["rmse"]))
+        step = moved(factors["item"], sums, "item", rank, lam, rate, n)
+        factors["item"] = work.write(step, f"item-{iteration}")
+        step = gradient_step(data, factors["user"], factors["item"], "user", rank, lam, rate, n)
+        factors["user"] = work.write(step, f"user-{iteration}")
+        for old in (f"item-{iteration - 1}", f"user-{iteration - 1}", f"sums-{iteration - 1}"):
+            work.discard(old)
+        logged = iteration % print_every == 0
+        if logged or iteration < iterations:
+            sums = item_sums(iteration)
+        if logged:
+            mean = (sums.agg(F.sum("sse")).first()[0] or 0.0) / max(n, 1)
+            norms = sum(t.agg(frobenius(t, rank)).first()[0] or 0.0 for t in factors.values())
+            log.append((iteration, 0.5 * mean + 0.5 * lam * norms, mean**0.5))
     return factors, log

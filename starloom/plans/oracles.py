@@ -506,6 +506,11 @@ FROM w3 w JOIN user_ids u ON u.du = w."user" CROSS JOIN h3 h GROUP BY 1""",
 QUALIFY row_number() OVER (PARTITION BY "user", item ORDER BY ts DESC, event_id DESC) = 1""",
     "stream_item_stats": _with(STREAM)
     + f"SELECT item, count(rating) AS n_ratings, round(sum(rating), 2) AS sum_rating, {STAR_COUNTS} FROM incoming GROUP BY item",
+    "stream_updated_items": _with(RATINGS, STREAM)
+    + f"""SELECT item, count(rating) AS n_ratings, round(sum(rating), 2) AS sum_rating, {STAR_COUNTS} FROM (
+  SELECT * FROM (SELECT "user", item, rating, ts, CAST(-1 AS BIGINT) AS event_id FROM ratings UNION ALL SELECT * FROM incoming)
+  QUALIFY row_number() OVER (PARTITION BY "user", item ORDER BY ts DESC, event_id DESC) = 1) GROUP BY item""",
+    "tag_round_trip": _with(TAGS) + """SELECT "user", item, tag, floor(epoch(ts))::BIGINT AS seconds FROM tags""",
     "rating_upsert": _with(RATINGS, STREAM)
     + """SELECT "user", item, rating, event_id FROM (
   SELECT "user", item, rating, ts, CAST(-1 AS BIGINT) AS event_id FROM ratings UNION ALL SELECT * FROM incoming)

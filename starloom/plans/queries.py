@@ -872,10 +872,35 @@ def stream_item_stats(t: Shapes, work: Workspace) -> DataFrame:
     return rounded(stream.current_item_stats(t.spark, work.path("stats")), 2, "sum_rating")
 
 
+def _stored_ratings(t: Shapes) -> DataFrame:
+    stored = t.ratings.select("user", "item", "rating", F.col("ts").cast("timestamp").alias("ts"))
+    return stored.withColumn("event_id", F.lit(-1).cast("bigint"))
+
+
+@query
+def stream_updated_items(t: Shapes, work: Workspace) -> DataFrame:
+    """Item figures over the stored ratings as the event ratings update them."""
+    schema, path = _event_files(t, work, "events")
+    events = to_stream_ratings(stream.read_event_stream(t.spark, path, schema, 1))
+    ledger = stream.RatingLedger.begin(_stored_ratings(t), work.path("ledger"))
+    stream.upsert_stream(events, ledger, work.path("checkpoint")).awaitTermination()
+    return rounded(ledger.item_stats(), 2, "sum_rating")
+
+
+@query
+def tag_round_trip(t: Shapes, work: Workspace) -> DataFrame:
+    """Tags through their CSV file: columns renamed, epoch seconds as time."""
+    tags = t.tags.select(
+        F.col("user").alias("userId"), F.col("item").alias("movieId"), "tag", F.unix_timestamp(F.col("ts").cast("timestamp")).alias("timestamp")
+    )
+    writers.write_csv(tags, work.path("tags"))
+    return readers.read_tags(t.spark, work.path("tags")).select("user", "item", "tag", F.unix_timestamp("ts").alias("seconds"))
+
+
 @query
 def rating_upsert(t: Shapes, work: Workspace) -> DataFrame:
     """The event ratings merged into the stored ones; newest per pair wins."""
-    stored = t.ratings.select("user", "item", "rating", F.col("ts").cast("timestamp").alias("ts")).withColumn("event_id", F.lit(-1).cast("bigint"))
+    stored = _stored_ratings(t)
     return ratings.upsert(stored, t.rating_stream_rows, "ts", "event_id").select("user", "item", "rating", "event_id")
 
 

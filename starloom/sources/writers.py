@@ -24,10 +24,13 @@ def write_factors(factors: DataFrame, key: str, name: str, path: str) -> None:
 
 
 def write_json_document(pairs: DataFrame, path: str) -> None:
-    """A small dictionary (key, value) as one JSON object. The object is one
-    row by definition; large dictionaries stay two-column tables."""
-    entries = F.map_from_entries(F.collect_list(F.struct(F.col("key").cast("string"), "value")))
-    pairs.agg(F.to_json(entries).alias("value")).coalesce(1).write.mode("overwrite").text(path)
+    """A dictionary (key, value) as JSON objects of one entry each, a line per
+    entry, in as many files as there are tasks. The manifest, written last,
+    says how many entries belong to the document."""
+    entry = F.to_json(F.create_map(F.col("key").cast("string"), "value"))
+    lines = f"{path}/entries"
+    pairs.select(entry.alias("value")).write.mode("overwrite").text(lines)
+    pairs.sparkSession.read.text(lines).agg(F.count("*").alias("entries")).write.mode("overwrite").json(f"{path}/manifest")
 
 
 def write_predictions(predictions: DataFrame, path: str, fmt: str = "csv", buckets: int | None = None) -> None:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import time
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -50,6 +50,56 @@ class RatingLog:
         return RatingLog(self.spark, target)
 
 
+class RatingLedger(RatingLog):
+    """A rating log whose changes say what they replace, so that item figures
+    follow updates: a new rating comes in, the pair's old one goes out.
+
+    A micro-batch keeps the rows that are newer than what is known of their
+    pair, each with the rating it replaces; only pairs of the batch are looked
+    up. Rows and replaced ratings are one write, so figures and table never
+    part. A batch that is run again, in the same run or a later one, finds its
+    own rows known and counts once. Batches of one ledger run one at a time.
+    """
+
+    @classmethod
+    def begin(cls, base: DataFrame, root: str) -> "RatingLedger":
+        """A new ledger from a table of ratings, which may be empty."""
+        rows = latest_per_pair(base, *NEWEST).withColumn("old", F.lit(None).cast("double"))
+        rows.write.mode("overwrite").parquet(batch_folder(root, BASE, 0))
+        return cls(base.sparkSession, root)
+
+    def write_batch(self, batch: DataFrame, batch_id: int, run: int = 0) -> None:
+        rows = latest_per_pair(batch, *NEWEST)
+        others = self.spark.read.parquet(self.root).where(~((F.col("run") == run) & (F.col("batch") == batch_id)))
+        known = latest_per_pair(others.drop("run", "batch", "old").join(rows.select(*PAIR), PAIR, "left_semi"), *NEWEST)
+        seen = known.select(*PAIR, F.col("rating").alias("old"), F.struct(*NEWEST).alias("seen"))
+        newer = F.col("seen").isNull() | (F.struct(*NEWEST) > F.col("seen"))
+        rows = rows.join(seen, PAIR, "left").where(newer).drop("seen")
+        rows.write.mode("overwrite").parquet(batch_folder(self.root, run, batch_id))
+
+    def current(self) -> DataFrame:
+        return super().current().drop("old")
+
+    def compact(self, target: str) -> "RatingLedger":
+        return RatingLedger.begin(self.current(), target)
+
+    def item_stats(self) -> DataFrame:
+        """Count, sum and star counts per item over the current table, from the
+        changes alone: one aggregate with partial sums, no row is ranked."""
+
+        def signed(value) -> Column:
+            return F.sum(value(F.col("rating")) - value(F.col("old")))
+
+        stars = [
+            signed(lambda r, s=s: F.coalesce(r.isin(s - 0.5, float(s)), F.lit(False)).cast("bigint")).alias(f"stars_{s}") for s in STARS
+        ]
+        return self.spark.read.parquet(self.root).groupBy("item").agg(
+            signed(lambda r: r.isNotNull().cast("bigint")).alias("n_ratings"),
+            signed(lambda r: F.coalesce(r, F.lit(0.0))).alias("sum_rating"),
+            *stars,
+        )
+
+
 def batch_folder(root: str, run: int, batch_id: int) -> str:
     return f"{root}/run={run}/batch={batch_id}"
 
@@ -96,4 +146,4 @@ def current_item_stats(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.parquet(root).groupBy("item").agg(newest).select("item", "s.*")
 
 
-__all__ = ["PAIR", "RatingLog", "current_item_stats", "item_stats", "item_stats_stream", "read_event_stream", "upsert_stream"]
+__all__ = ["PAIR", "RatingLedger", "RatingLog", "current_item_stats", "item_stats", "item_stats_stream", "read_event_stream", "upsert_stream"]

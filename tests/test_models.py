@@ -145,6 +145,37 @@ def test_waves_equal_one_by_one(updates, item_first):
     assert got == pytest.approx(sse)
 
 
+def test_chain_of_a_busy_user_equals_waves():
+    rng = np.random.default_rng(4)
+    rows = np.where(rng.random(300) < 0.5, 0, rng.integers(1, 60, 300))
+    cols = rng.integers(0, 80, 300)
+    wave = dsgd.wave_numbers(rows, cols)
+    sizes = np.bincount(wave)
+    assert (sizes < dsgd.THIN).any() and (sizes >= dsgd.THIN).any()
+    values, results = rng.random(300) * 5, []
+    for order in (np.arange(300), rng.permutation(300)):  # stored rows may come in any order
+        w, h = np.full((60, 3), 0.5), np.full((80, 3), 0.4)
+        reg = np.full(80, 0.05)
+        dsgd.sgd_block(rows[order], cols[order], values[order], w, h, 0.02, reg, reg, wave=wave[order])
+        results.append((w, h))
+    w, h = np.full((60, 3), 0.5), np.full((80, 3), 0.4)
+    for u, i, r in zip(rows, cols, values):
+        e = r - w[u] @ h[i]
+        w[u], h[i] = w[u] - 0.02 * (0.1 * w[u] - 2 * e * h[i]), h[i] - 0.02 * (0.1 * h[i] - 2 * e * w[u])
+    for got in results:
+        np.testing.assert_allclose(got[0], w, rtol=1e-9)
+        np.testing.assert_allclose(got[1], h, rtol=1e-9)
+
+
+def test_train_error_comes_from_the_sums(spark, work, rating_table):
+    table = rating_table(triples(20, 15, 0.6))
+    for route in ("joined", "routed"):
+        run = als.AlsRun(table, RANK, 0.1, Workspace(spark, route), route=route)
+        for key in ("user", "item", "user"):
+            run.half_step(key)
+            assert run.train_rmse() == pytest.approx(run.rmse(run.train), rel=1e-9)
+
+
 def sgd_by_hand(rows, w, h, blocks, step, lam, variant):
     users, items = sorted(w), sorted(h)
     n_w = {u: sum(r[0] == u for r in rows) for u in users}

@@ -168,3 +168,54 @@ def test_stream_equals_batch(spark, work):
     want = {r["item"]: (r["n_ratings"], round(r["sum_rating"], 6)) for r in stream.item_stats(shapes.rating_stream_rows).collect()}
     assert got == want
     assert latest_per_pair(shapes.rating_stream_rows, "ts", "event_id").count() == 739
+
+
+def figures(ledger):
+    return {r["item"]: (r["n_ratings"], r["sum_rating"], r["stars_1"], r["stars_5"]) for r in ledger.item_stats().collect()}
+
+
+def test_ledger_takes_replaced_ratings_back(spark, work):
+    base = spark.createDataFrame([event(-1, 5, 1, 1, 1.0), event(-1, 5, 2, 1, 5.0)], EVENT)
+    ledger = stream.RatingLedger.begin(base, work.path("ledger"))
+    assert figures(ledger) == {1: (2, 6.0, 1, 1)}
+    batch = spark.createDataFrame([event(1, 30, 1, 1, 5.0), event(2, 20, 1, 1, 2.0), event(3, 1, 2, 1, 1.0), event(4, 9, 3, 2, 1.0)], EVENT)
+    ledger.write_batch(batch, 0, run=7)
+    want = {1: (2, 10.0, 0, 2), 2: (1, 1.0, 1, 0)}  # the late event 3 changes nothing
+    assert figures(ledger) == want
+    ledger.write_batch(batch, 0, run=7)  # the same batch again, then in a later run
+    ledger.write_batch(batch, 3, run=8)
+    assert figures(ledger) == want
+    ledger.write_batch(spark.createDataFrame([event(9, 50, 3, 2, 4.5)], EVENT), 1, run=8)
+    assert figures(ledger)[2] == (1, 4.5, 0, 1)
+    compacted = ledger.compact(work.path("compacted"))
+    assert figures(compacted) == figures(ledger) and compacted.current().count() == 3
+    empty = stream.RatingLedger.begin(base.limit(0), work.path("empty"))
+    empty.write_batch(batch, 0, run=1)
+    assert figures(empty) == {1: (2, 6.0, 1, 1), 2: (1, 1.0, 1, 0)}
+
+
+def test_tables_of_a_run_are_published_together(spark, work):
+    old = tables.RunFolder(spark, work.path("runs"), "a")
+    for name in ("users", "items"):
+        old.write(spark.range(3), "matrix", name)
+    old.publish_set(("matrix", "users"), ("matrix", "items"))
+    later = tables.RunFolder(spark, work.path("runs"), "b")
+    later.write(spark.range(5), "matrix", "users")
+    with pytest.raises(Exception):  # the run ends before its second table is there
+        later.publish_set(("matrix", "users"), ("matrix", "items"))
+    assert {n: t.count() for n, t in later.latest_set("users", "items").items()} == {"users": 3, "items": 3}
+    later.write(spark.range(5), "matrix", "items")
+    later.publish_set(("matrix", "users"), ("matrix", "items"))
+    assert {n: t.count() for n, t in old.latest_set("users", "items").items()} == {"users": 5, "items": 5}
+    later.publish("matrix", "users")
+    assert old.latest("items").count() == 5  # the newest line that names it
+
+
+def test_document_in_parts_needs_all_of_them(spark, work):
+    pairs = spark.range(1000).selectExpr("concat('k ', id) AS key", "id AS value").repartition(5)
+    writers.write_json_document(pairs, work.path("doc"))
+    back = readers.read_json_document(spark, work.path("doc"), "BIGINT")
+    assert back.count() == 1000 and back.where("key = 'k 7'").first()["value"] == 7
+    spark.createDataFrame([('{"x":1}',)], "value string").write.mode("append").text(work.path("doc/entries"))
+    with pytest.raises(ValueError):
+        readers.read_json_document(spark, work.path("doc"), "BIGINT")
