@@ -57,6 +57,34 @@ def numbered(df: DataFrame, work: Workspace, name: str) -> tuple[DataFrame, str]
     return work.write(df.withColumn(row, F.monotonically_increasing_id()), name), row
 
 
+# What a task holds of a table that goes to all of them.
+FEW_BYTES = 64 << 20
+
+
+def with_few(rows: DataFrame, few: DataFrame, row: str, size: Column) -> DataFrame:
+    """``rows`` left-joined with a stored table of some of them, one line each, by ``row``.
+
+    ``size`` bounds a line's bytes. A table within FEW_BYTES goes to all tasks.
+    Of a larger one the row numbers go, while they are few enough, so that only
+    the rows it names are shuffled; beyond that it is a plain join.
+    """
+    n, total = few.agg(F.count("*"), F.coalesce(F.sum(size), F.lit(0))).first()
+    if total <= FEW_BYTES:
+        return rows.join(F.broadcast(few), row, "left")
+    if 16 * n > FEW_BYTES:
+        return rows.join(few, row, "left")
+    named = F.broadcast(few.select(row))
+    return rows.join(named, row, "left_anti").unionByName(
+        rows.join(named, row, "left_semi").join(few.hint("merge"), row), allowMissingColumns=True
+    )
+
+
+def without_few(rows: DataFrame, few: DataFrame, row: str) -> DataFrame:
+    """``rows`` but those numbered in the stored table ``few``; shuffled only where that is too large."""
+    few = few.select(row)
+    return rows.join(F.broadcast(few) if 16 * few.count() <= FEW_BYTES else few, row, "left_anti")
+
+
 def word_codes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
     """The white-space separated words of a batch of texts.
 
@@ -127,6 +155,11 @@ def joined(parts: list[bytes], codes: np.ndarray, bounds: np.ndarray, width: int
     return flat[at], np.concatenate(([0], ends))[bounds]
 
 
+# A letter, marks, white space or the end. Only letters that stay one letter when
+# lowered and composed: behind others (I with a dot, letters of scripts whose
+# marks come apart) the splitter joins what follows to their own mark.
+MARKS = r"([A-Za-z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{12F}\x{131}-\x{24F}\x{400}-\x{481}])([.,;:!?]+)([\t\n\r ]|$)"
+
 _ENCODERS: dict[str, "WordEncoder"] = {}
 
 
@@ -148,7 +181,6 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
@@ -173,7 +205,7 @@ class WordEncoder:
         names, values = list(compress(new, letters)), []
         for at in range(0, len(names), self.RUN):
             run = names[at : at + self.RUN]
-            ids = np.array(self.tokenizer.encode(" ".join(run), add_special_tokens=False).ids, "<u4")
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(run)], add_special_tokens=False)[0].ids, "<u4")
             cuts = (np.flatnonzero(self.ends[ids]) + 1) * 4
             if len(cuts) == len(run):
                 raw, b = ids.tobytes(), [0, *cuts.tolist()]
@@ -186,10 +218,13 @@ class WordEncoder:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a batch of texts, and the bounds of each text among them."""
-        texts = pc.ascii_lower(pc.fill_null(texts, ""))
+        texts = pc.fill_null(texts, "")
+        # Special tokens are found as they are written, before letters are lowered.
+        special = pc.match_substring(texts, "<|")
+        texts = pc.if_else(special, texts, pc.ascii_lower(texts))
         # Marks between a letter and white space are words of their own to the
         # splitter: apart from the letters there are fewer distinct words.
-        texts = pc.replace_substring_regex(texts, r"(\pL)([.,;:!?]+)([\t\n\r ]|$)", r"\1 \2\3")
+        texts = pc.replace_substring_regex(texts, MARKS, r"\1 \2\3")
         bounds, codes, distinct = word_codes(texts)
         parts = self.known.look_up(distinct, self._make)
         return joined(parts, codes, bounds, 4)

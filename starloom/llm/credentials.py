@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from starloom.llm.common import digest, free_name, numbered
+from starloom.llm.common import digest, free_name, numbered, with_few
 from starloom.sources.workspace import Workspace
 
 # Kind: pattern, group that holds the value, least length of that value. Fixed values.
@@ -165,6 +165,7 @@ def redact(docs: DataFrame, work: Workspace, owner: str = "source", repository:
     reached = spans.withColumn("reached", F.coalesce(F.max("end").over(order), F.lit(0).cast("bigint")))
     cuts = free_name(stored, "cuts")
     listed = reached.groupBy(row).agg(F.array_sort(F.collect_list(F.struct("start", "end", "reached"))).alias(cuts))
+    listed = work.write(listed, "cuts")
     text = F.col("text")
 
     def before(s: Column) -> Column:
@@ -174,5 +175,5 @@ def redact(docs: DataFrame, work: Workspace, owner: str = "source", repository:
 
     last = F.array_max(F.transform(cuts, lambda s: s["end"]))
     masked = F.concat(F.array_join(F.transform(cuts, before), ""), text.substr((last + 1).cast("int"), F.char_length(text)))
-    joined = stored.join(listed, row, "left").withColumn("text", F.when(F.col(cuts).isNull(), text).otherwise(masked))
+    joined = with_few(stored, listed, row, F.size(cuts) * 32 + 32).withColumn("text", F.when(F.col(cuts).isNull(), text).otherwise(masked))
     return joined.select(*docs.columns)

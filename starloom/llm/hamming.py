@@ -37,7 +37,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import components, free_name, frugal, numbered, small_batches, word_codes
+from starloom.llm.common import components, free_name, frugal, numbered, small_batches, without_few, word_codes
 from starloom.sources.workspace import Workspace
 
 WIDTH = 5
@@ -361,6 +361,8 @@ def keep_one(docs: DataFrame, work: Workspace, width: int = WIDTH, percent: int
     group = F.when(lone, F.col(row)).otherwise(F.col("root"))
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", row)).alias("first")
     winners = found.groupBy(lone.alias("lone"), group.alias("group")).agg(first).select(F.col(f"first.{row}").alias(row))
-    winners = work.write(winners, "winners")
+    # Fewer rows leave than stay.
+    losers = work.write(found.select(row).join(work.write(winners, "winners"), row, "left_anti"), "losers")
     inner.remove()
-    return stored.join(winners, row, "left_semi").drop(row).select(*docs.columns)
+    work.discard("winners")
+    return without_few(stored, losers, row).drop(row).select(*docs.columns)

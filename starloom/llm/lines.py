@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import digest, free_name, let, numbered
+from starloom.llm.common import digest, free_name, let, numbered, with_few
 from starloom.sources.workspace import Workspace
 
 WINDOW = 3
@@ -69,7 +69,7 @@ def remove_repeats(docs: DataFrame, work: Workspace) -> DataFrame:
     ``n_lines`` before and ``n_removed`` (underscores in front if taken)."""
     stored, row = numbered(docs, work, "rows")
     gone = free_name(stored, "gone")
-    found = work.write(covered_lines(stored.select(row, "doc_id", "text"), row, work), "gone").withColumnRenamed("gone", gone)
+    found = work.write(covered_lines(stored.select(row, "doc_id", "text"), row, work).withColumnRenamed("gone", gone), "gone")
     work.discard("windows")
     lines = _lines(F.col("text"))
     kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(gone))
@@ -78,7 +78,7 @@ def remove_repeats(docs: DataFrame, work: Workspace) -> DataFrame:
     )
     n_lines, n_removed = free_name(docs, "n_lines"), free_name(docs, "n_removed")
     return (
-        stored.join(found, row, "left")
+        with_few(stored, found, row, F.size(gone) * 4 + 32)
         .withColumn(n_lines, F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).cast("bigint"))
         .withColumn(n_removed, F.coalesce(F.size(gone), F.lit(0)).cast("bigint"))
         .withColumn("text", text)

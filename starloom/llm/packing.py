@@ -32,6 +32,8 @@ from starloom.llm.common import WordEncoder, frugal, numbered, small_batches  #
 from starloom.operators.index import with_index
 from starloom.sources.workspace import Workspace
 
+# Bytes of text encoded at once.
+BATCH_BYTES = 1 << 23
 CAPACITY = 2048
 END_ID = 0
 
@@ -94,18 +96,28 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[Run]:
     return runs
 
 
-def pieces(docs: DataFrame, vocabulary: str, work: Workspace, name: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
+def pieces(
+    docs: DataFrame,
+    vocabulary: str,
+    work: Workspace,
+    name: str,
+    capacity: int = CAPACITY,
+    end_id: int = END_ID,
+    keep_ids: bool = True,
+) -> DataFrame:
     """Every document's ids in pieces of at most ``capacity``, stored.
 
-    (doc_row, doc_id, piece, start, length, ids, ids_crc32); ``ids`` holds
-    little-endian unsigned 32-bit numbers.
+    (doc_row, doc_id, piece, start, length, ids_crc32, ids); ``ids`` holds
+    little-endian unsigned 32-bit numbers and is there with ``keep_ids`` only.
     """
-    schema = "doc_row bigint, doc_id bigint, piece int, start bigint, length bigint, ids binary, ids_crc32 bigint"
+    names = ["doc_row", "doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * keep_ids
+    schema = "doc_row bigint, doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
+    schema += ", ids binary" if keep_ids else ""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = WordEncoder.at(vocabulary)
         end = np.array([end_id], "<u4").tobytes()
-        for batch in small_batches(batches, "text"):
+        for batch in small_batches(batches, "text", BATCH_BYTES):
             flat, bounds = encoder.encode(batch.column("text"))
             raw, bounds = flat.tobytes(), bounds.tolist()
             doc, number, start, ids = [], [], [], []
@@ -117,29 +129,34 @@ def pieces(docs: DataFrame, vocabulary: str, work: Workspace, name: str, capacit
                     start.append(k)
                     ids.append(whole[4 * k : 4 * (k + capacity)])
             doc = pa.array(doc, pa.int64())
-            yield pa.record_batch(
-                [
-                    batch.column("doc_row").take(doc),
-                    batch.column("doc_id").take(doc),
-                    pa.array(number, pa.int32()),
-                    pa.array(start, pa.int64()),
-                    pa.array([len(x) // 4 for x in ids], pa.int64()),
-                    pa.array(ids, pa.binary()),
-                    pa.array([zlib.crc32(x) for x in ids], pa.int64()),
-                ],
-                names=["doc_row", "doc_id", "piece", "start", "length", "ids", "ids_crc32"],
-            )
+            columns = [
+                batch.column("doc_row").take(doc),
+                batch.column("doc_id").take(doc),
+                pa.array(number, pa.int32()),
+                pa.array(start, pa.int64()),
+                pa.array([len(x) // 4 for x in ids], pa.int64()),
+                pa.array([zlib.crc32(x) for x in ids], pa.int64()),
+            ]
+            yield pa.record_batch(columns + [pa.array(ids, pa.binary())] * keep_ids, names=names)
 
     source = docs.select(F.monotonically_increasing_id().alias("doc_row"), F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     return work.write(source.mapInArrow(frugal(cut), schema), name)
 
 
-def pack(docs: DataFrame, vocabulary: str, work: Workspace, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
+def pack(
+    docs: DataFrame,
+    vocabulary: str,
+    work: Workspace,
+    capacity: int = CAPACITY,
+    end_id: int = END_ID,
+    keep_ids: bool = True,
+) -> DataFrame:
     """Place every piece: the columns of ``pieces`` with sequence_id and offset.
 
-    Selecting only narrow columns leaves the ids in storage.
+    Selecting only narrow columns leaves the ids in storage; without
+    ``keep_ids`` only their crc32 is stored.
     """
-    stored = pieces(docs, vocabulary, work, "pieces", capacity, end_id)
+    stored = pieces(docs, vocabulary, work, "pieces", capacity, end_id, keep_ids)
     keys = stored.select("length", "doc_row", "piece")
     ranked, _ = with_index(keys, ["length", "doc_row", "piece"], work, "ranked")
     counts = {r["length"]: r["n"] for r in stored.groupBy("length").agg(F.count("*").alias("n")).collect()}

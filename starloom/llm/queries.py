@@ -64,7 +64,7 @@ def op5_flat_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.pack(
-        table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY), Workspace(spark, "packing")
+        table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY), Workspace(spark, "packing"), keep_ids=False
     )
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 

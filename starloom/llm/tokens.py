@@ -143,16 +143,6 @@ def write_files(docs: DataFrame, vocabulary: str, work: Workspace, name: str = "
     for r in pairs:
         table[r["id"]] = r["rank"]
 
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            counts = batch.column("n_tokens").to_pylist()
-            packed = [pack_ranks(table[_numbers(x.as_buffer(), n)]) for x, n in zip(batch.column("ids"), counts)]
-            streams = [pa.array([p[k] for p in packed], pa.binary()) for k in range(2)]
-            yield pa.record_batch(
-                [*(batch.column(c) for c in ("doc_id", "tie", "n_tokens")), *streams],
-                names=["doc_id", "tie", "n_tokens", "control", "data"],
-            )
-
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = base = size = 0
         held: list[tuple] = []
@@ -174,18 +164,21 @@ def write_files(docs: DataFrame, vocabulary: str, work: Workspace, name: str = "
 
         for batch in batches:
             part = batch.column("part")[0].as_py()
-            for row in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "n_tokens", "control", "data"))):
-                held.append(row)
-                size += row[1]
+            for doc, n, ids in zip(batch.column("doc_id").to_pylist(), batch.column("n_tokens").to_pylist(), batch.column("ids")):
+                held.append((doc, n, *pack_ranks(table[_numbers(ids.as_buffer(), n)])))
+                size += n
                 if size >= BLOCK_IDS:
                     yield block()
                     number, base, size, held = number + 1, base + size, 0, []
         if held:
             yield block()
 
-    packed = encoded.mapInArrow(frugal(pack), "doc_id bigint, tie binary, n_tokens bigint, control binary, data binary")
-    ordered = packed.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie")
-    ordered = ordered.select("doc_id", "n_tokens", "control", "data", F.spark_partition_id().alias("part"))
+    # Boundaries are sampled from the stored keys; ids are packed behind the shuffle, once.
+    # The place among the stored rows parts many equal ones.
+    order = ["doc_id", "tie", "place"]
+    ordered = encoded.withColumn("place", F.monotonically_increasing_id())
+    ordered = ordered.repartitionByRange(*order).sortWithinPartitions(*order)
+    ordered = ordered.select("doc_id", "n_tokens", "ids", F.spark_partition_id().alias("part"))
     ordered.mapInArrow(frugal(blocks), BLOCK_SCHEMA).write.mode("overwrite").option("compression", "zstd").parquet(work.path(name))
     work.discard("ids")
     return work.path(name), work.path("ranks")
