@@ -20,15 +20,31 @@ from starloom.sources.workspace import Workspace
 
 VOCABULARY = "word_bpe_49k.json"
 
+_WORKSPACES: list[Workspace] = []
+
+
+def _workspace(spark: SparkSession, docs: DataFrame, stage: str) -> Workspace:
+    """A stage's folder. Those of former stages go first, unless ``docs`` still reads them:
+    once a stage's result is stored elsewhere, nothing refers to its inner tables."""
+    read = docs.inputFiles() if _WORKSPACES else []
+    for former in list(_WORKSPACES):
+        if former.spark is not spark:
+            _WORKSPACES.remove(former)
+        elif not any(former.root in path for path in read):
+            former.remove()
+            _WORKSPACES.remove(former)
+    _WORKSPACES.append(Workspace(spark, f"pipeline-{stage}"))
+    return _WORKSPACES[-1]
+
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents that no language model accepts."""
-    return language.filtered(docs, Workspace(spark, "pipeline-language"))
+    return language.filtered(docs, _workspace(spark, docs, "language"))
 
 
 def remove_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without later occurrences of three-line windows; a text that loses all its words goes."""
-    cleaned = lines.remove_repeats(docs, Workspace(spark, "pipeline-lines"))
+    cleaned = lines.remove_repeats(docs, _workspace(spark, docs, "lines"))
     removed = cleaned.columns[-1]
     left = (F.col(removed) == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]")
     return cleaned.filter(left).select(*docs.columns)
@@ -36,17 +52,18 @@ def remove_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def remove_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of similarity 0.8 or more on five-word shingles."""
-    return hamming.keep_one(docs, Workspace(spark, "pipeline-copies"))
+    return hamming.keep_one(docs, _workspace(spark, docs, "copies"))
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts with credentials masked, widely copied examples aside."""
-    return credentials.redact(docs, Workspace(spark, "pipeline-secrets"))
+    return credentials.redact(docs, _workspace(spark, docs, "secrets"))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document's pieces and their places in sequences of 2048 tokens."""
-    packed = packing.pack(docs, public_tokenizers.path(VOCABULARY), Workspace(spark, "pipeline-packing"))
+    work = _workspace(spark, docs, "packing")
+    packed = packing.pack(docs, public_tokenizers.path(VOCABULARY), work, keep_ids=False)
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
@@ -68,6 +85,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for number, (_, stage) in enumerate(STAGES):
         docs = work.write(stage(spark, docs, sf_dir), f"stage-{number}")
+        if number:
+            work.discard(f"stage-{number - 1}")
     return docs
 
 
