@@ -251,14 +251,19 @@ def frugal(work: Callable[..., Iterator]) -> Callable[..., Iterator]:
     @wraps(work)
     def run(batches: Iterator) -> Iterator:
         yield from work(batches)
-        pa.default_memory_pool().release_unused()
-        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-        if trim:
-            trim(0)
+        give_back()
 
     return run
 
 
+def give_back() -> None:
+    """Hand memory that is free to the system: workers stay, and others need it."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def components(edges: DataFrame, work: Workspace, name: str) -> DataFrame:
     """Connected components of ``edges(a, b)``: (node, root), root the smallest node reachable.
 

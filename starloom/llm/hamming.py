@@ -37,7 +37,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import components, free_name, frugal, numbered, small_batches, without_few, word_codes
+from starloom.llm.common import components, free_name, frugal, give_back, numbered, small_batches, without_few, word_codes
 from starloom.sources.workspace import Workspace
 
 WIDTH = 5
@@ -310,6 +310,9 @@ def across(pairs: DataFrame, roots: DataFrame, sets: DataFrame, percent: int, wo
                     a.append(v[i])
                     b.append(v[j])
                     group[group == group[j]] = group[i]
+        if len(flat) > 1 << 20:
+            del values, flat, holder, order, ends, starts, holders
+            give_back()
         return pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
 
     full = placed.join(sets.select("v", "values"), "v")

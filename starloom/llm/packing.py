@@ -104,6 +104,7 @@ def pieces(
     capacity: int = CAPACITY,
     end_id: int = END_ID,
     keep_ids: bool = True,
+    batch_bytes: int = BATCH_BYTES,
 ) -> DataFrame:
     """Every document's ids in pieces of at most ``capacity``, stored.
 
@@ -117,7 +118,7 @@ def pieces(
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = WordEncoder.at(vocabulary)
         end = np.array([end_id], "<u4").tobytes()
-        for batch in small_batches(batches, "text", BATCH_BYTES):
+        for batch in small_batches(batches, "text", batch_bytes):
             flat, bounds = encoder.encode(batch.column("text"))
             raw, bounds = flat.tobytes(), bounds.tolist()
             doc, number, start, ids = [], [], [], []
@@ -150,13 +151,15 @@ def pack(
     capacity: int = CAPACITY,
     end_id: int = END_ID,
     keep_ids: bool = True,
+    batch_bytes: int = BATCH_BYTES,
 ) -> DataFrame:
     """Place every piece: the columns of ``pieces`` with sequence_id and offset.
 
     Selecting only narrow columns leaves the ids in storage; without
-    ``keep_ids`` only their crc32 is stored.
+    ``keep_ids`` only their crc32 is stored. Smaller batches of text take less
+    memory and more time.
     """
-    stored = pieces(docs, vocabulary, work, "pieces", capacity, end_id, keep_ids)
+    stored = pieces(docs, vocabulary, work, "pieces", capacity, end_id, keep_ids, batch_bytes)
     keys = stored.select("length", "doc_row", "piece")
     ranked, _ = with_index(keys, ["length", "doc_row", "piece"], work, "ranked")
     counts = {r["length"]: r["n"] for r in stored.groupBy("length").agg(F.count("*").alias("n")).collect()}
