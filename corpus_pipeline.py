@@ -63,7 +63,7 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document's pieces and their places in sequences of 2048 tokens."""
     work = _workspace(spark, docs, "packing")
-    packed = packing.pack(docs, public_tokenizers.path(VOCABULARY), work, keep_ids=False)
+    packed = packing.pack(docs, public_tokenizers.path(VOCABULARY), work, keep_ids=False, batch_bytes=1 << 21)
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
