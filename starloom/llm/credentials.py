@@ -4,7 +4,8 @@ Candidates are values that look like credentials: the value of a password or
 token assignment, access-key ids, long hexadecimal runs, and other long runs
 of letters mixed with digits. Their hashes are counted over the whole corpus by
 distinct repositories and owners. A value that many owners hold is a copied
-example; one that a single owner holds looks live. Of the last, wide group of
+example; one that a single owner holds in few repositories looks live; the
+rest, a single owner's value in many repositories included, is unsure. Of the last, wide group of
 candidates only live values are reported; spans of the first three kinds always
 are, with their judgement beside them.
 
@@ -37,8 +38,11 @@ KINDS = {
 }
 BASE = ("assign", "access", "hex")
 
-# A value is live while one owner holds it, an example from this many owners on.
+# A value is live while one owner holds it in fewer repositories than these, an
+# example from this many owners on. In between, and where one owner has it in
+# many repositories, the copies speak for an example and the owner for a live value.
 EXAMPLE_OWNERS = 3
+MANY_REPOSITORIES = 20
 MASK = "[SECRET]"
 
 
@@ -109,7 +113,8 @@ def scan(hits: DataFrame, row: str, work: Workspace) -> DataFrame:
     found = candidates(hits, row, work)
     known = work.write(ownership(found), "ownership")
     owners = F.col("owners")
-    judgement = F.when(owners == 1, "live").when(owners >= EXAMPLE_OWNERS, "example").otherwise("unsure")
+    narrow = (owners == 1) & (F.col("repositories") < MANY_REPOSITORIES)
+    judgement = F.when(narrow, "live").when(owners >= EXAMPLE_OWNERS, "example").otherwise("unsure")
     judged = found.join(known, "hash").withColumn("judgement", judgement)
     judged = judged.filter(F.col("kind").isin(*BASE) | (F.col("judgement") == "live"))
     judged = work.write(judged.select(row, "kind", "kind_no", "start", "end", "owners", "repositories", "judgement"), "judged")
@@ -132,14 +137,16 @@ def _listed(spans: Column) -> Column:
 
 
 def report(docs: DataFrame, work: Workspace, owner: str = "source", repository: str = "doc_id") -> DataFrame:
-    """One row per document: doc_id, spans by start and kind, and the counts by kind and judgement."""
+    """One row per document: doc_id, spans by start and kind, the counts by kind and
+    judgement, and how many owners and repositories the most common of its values has."""
     row = free_name(docs, "row_number_")
     rows = matches(docs.withColumn(row, F.monotonically_increasing_id()), row, owner, repository, work)
     spans = scan(rows, row, work)
     listed = spans.groupBy(row).agg(
-        F.array_sort(F.collect_list(F.struct("start", "kind_no", "end", "kind", "judgement"))).alias("spans")
+        F.array_sort(F.collect_list(F.struct("start", "kind_no", "end", "kind", "judgement", "owners", "repositories"))).alias("spans")
     )
-    empty = F.array().cast("array<struct<start:bigint,kind_no:int,end:bigint,kind:string,judgement:string>>")
+    span = "start:bigint,kind_no:int,end:bigint,kind:string,judgement:string,owners:bigint,repositories:bigint"
+    empty = F.array().cast(f"array<struct<{span}>>")
     joined = rows.select(row, "doc_id").join(listed, row, "left").withColumn("spans", F.coalesce("spans", empty))
 
     def count(field: str, value: str) -> Column:
@@ -153,6 +160,9 @@ def report(docs: DataFrame, work: Workspace, owner: str = "source", repository:
         _listed(F.col("spans")).alias("spans"),
         count("judgement", "live").alias("n_live"),
         count("judgement", "example").alias("n_example"),
+        count("judgement", "unsure").alias("n_unsure"),
+        F.coalesce(F.array_max("spans.owners"), F.lit(0)).alias("most_owners"),
+        F.coalesce(F.array_max("spans.repositories"), F.lit(0)).alias("most_repositories"),
     )
 
 

@@ -192,6 +192,20 @@ def test_copied_examples_are_told_apart(work, spark):
     assert got[9]["spans"] == "live:5:25" and got[9]["n_live"] == 1 and got[0]["spans"] == ""
 
 
+def test_one_owner_with_many_repositories_is_unsure(work, spark):
+    wide, own = "0123456789abcdef" * 2, "fedcba9876543210" * 2
+    many = credentials.MANY_REPOSITORIES
+    rows = [(i, f"id {wide} end", "en", "s1", 1) for i in range(many)] + [(500, f"id {own} end", "en", "s1", 1)]
+    rows += [(500, f"id {own} end", "en", "s1", 1)]  # a repeated row is no other repository
+    rows += [(600 + i, "token=abcdefgh", "en", f"s{i}", 1) for i in range(3)]
+    got = {r["doc_id"]: r for r in credentials.report(spark.createDataFrame(rows, DOC), work).collect()}
+    first, last, shown = got[0], got[500], got[600]
+    assert (first["n_hex"], first["n_live"], first["n_unsure"]) == (1, 0, 1)
+    assert (first["most_owners"], first["most_repositories"]) == (1, many)
+    assert (last["n_live"], last["n_unsure"], last["most_repositories"]) == (1, 0, 1) and last["spans"] == "hex:3:35"
+    assert (shown["n_example"], shown["most_owners"]) == (1, 3)
+
+
 def brute_groups(rows, width, percent):
     sets = []
     for _, text, *_ in rows:
