@@ -13,7 +13,7 @@ vectors of the id's ratings. Two routes give the same sums:
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.functions.vectors import dot
-from starloom.operators.factors import rmse, start_factors, with_both
+from starloom.operators.factors import offsets, rmse, rmses, start_factors, with_both
 from starloom.operators.split import seen_in
 from starloom.sources.workspace import Workspace
 
@@ -33,6 +33,8 @@ JOINED_RANK = 10
 JOINED_BYTES = 64 << 20
 CELL_ROWS = 1_000_000
 MAX_CELLS = 100_000
+# Numbers of packed sums a task holds at once while it solves several models.
+PACKED_NUMBERS = 1 << 22
 
 
 def upper_pairs(rank: int) -> list[tuple[int, int]]:
@@ -169,6 +171,194 @@ class RoutedRatings:
         return solved(whole.unionByName(pieces), rank, lam)
 
 
+class PackedModels:
+    """Which sums several models (rank, lam) need of one table of vectors.
+
+    Model m uses the numbers ``starts[m]`` to ``starts[m] + rank``. Models that
+    start at one place share the sums of the longest of them: a shorter one
+    takes its part of that triangle.
+    """
+
+    def __init__(self, models: Sequence[tuple[int, float]], starts: Sequence[int]):
+        self.models = list(models)
+        longest: dict[int, int] = {}
+        for (rank, _), at in zip(models, starts):
+            longest[at] = max(rank, longest.get(at, 0))
+        self.parts = list(longest.items())
+        sizes = [rank * (rank + 1) // 2 + rank for _, rank in self.parts]
+        self.width = sum(sizes)
+        begin = dict(zip(longest, offsets(sizes)))
+        self.columns = []
+        for (rank, _), at in zip(models, starts):
+            pairs = upper_pairs(longest[at])
+            place = {pair: n for n, pair in enumerate(pairs)}
+            own = [place[pair] for pair in upper_pairs(rank)] + [len(pairs) + a for a in range(rank)]
+            self.columns.append(begin[at] + np.array(own))
+
+    def sums(self, table: np.ndarray, rating: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """Packed sums of runs of rows beginning at ``first``; ``table`` holds a row of vectors per rating."""
+        out = np.empty((len(first), self.width))
+        at = 0
+        for begin, rank in self.parts:
+            column = [np.ascontiguousarray(table[:, begin + a]) for a in range(rank)]
+            for a, b in upper_pairs(rank):
+                out[:, at] = np.add.reduceat(column[a] * column[b], first)
+                at += 1
+            for a in range(rank):
+                out[:, at] = np.add.reduceat(rating * column[a], first)
+                at += 1
+        return out
+
+    def solve(self, packed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Solutions of all models in a row, and each model's ``q`` as in ``solved``."""
+        found, gains = [], []
+        for (rank, lam), own in zip(self.models, self.columns):
+            mine = packed[:, own]
+            f = solve_packed(mine, rank, lam)
+            a, b = map(np.array, zip(*upper_pairs(rank)))
+            twice = np.where(a == b, 1.0, 2.0)
+            found.append(f)
+            gains.append((mine[:, : len(a)] * f[:, a] * f[:, b]) @ twice - 2.0 * np.einsum("nk,nk->n", mine[:, len(a) :], f))
+        return np.concatenate(found, axis=1), np.stack(gains, axis=1)
+
+
+class AlsGrid:
+    """Several least-squares models trained in one pass over one layout.
+
+    Vectors of all models lie in a row in ``f``. A half-step sends every cell
+    these rows once, adds up the products of each id and solves all models in
+    the same task, so packed sums leave a task only for ids cut over several
+    cells. In the first half-step all models read the same start vectors:
+    the sums of the largest rank serve every rank and every lambda.
+    """
+
+    def __init__(self, train: DataFrame, known: DataFrame, work: Workspace, cell_rows: int = CELL_ROWS):
+        self.work, self.known = work, known
+        self.train = work.write(train.select("user", "item", "rating"), "train")
+        self.routed = {key: RoutedRatings(self.train, key, work, cell_rows) for key in ("user", "item")}
+        row = self.train.agg(F.sum(F.col("rating") * F.col("rating")), F.count("*")).first()
+        self.squares, self.n_train = row[0] or 0.0, row[1]
+        self.steps = 0
+
+    def start(self, models: Sequence[tuple[int, float]]) -> None:
+        """Begin with new models on the same layout."""
+        self.models = list(models)
+        self.ranks = [rank for rank, _ in models]
+        self.factors, self.starts, self.stored = {}, {}, {"user": None, "item": None}
+        for key in ("user", "item"):
+            name = f"start-{key}-{max(self.ranks)}"
+            self.factors[key] = self.work.write(start_factors(self.known, key, max(self.ranks)), name)
+            self.starts[key] = [0] * len(models)
+
+    def half_step(self, key: str) -> None:
+        other, routed, models = OTHER[key], self.routed[key], self.models
+        packed = PackedModels(models, self.starts[other])
+        chunk = max(PACKED_NUMBERS // packed.width, 1)
+
+        def add_up(rows: pd.DataFrame, vectors: pd.DataFrame) -> pd.DataFrame:
+            if rows.empty:
+                return pd.DataFrame({key: [], "split": [], "f": [], "q": [], "s": []})
+            vectors = vectors.sort_values(other)
+            table = np.stack(vectors["f"].to_numpy())
+            rows = rows.sort_values([key, other])
+            at = np.searchsorted(vectors[other].to_numpy(), rows[other].to_numpy())
+            rating, cut = rows["rating"].to_numpy(), rows["split"].to_numpy()
+            ids, first = np.unique(rows[key].to_numpy(), return_index=True)
+            out = []
+            for begin in range(0, len(ids), chunk):
+                own = first[begin : begin + chunk]
+                span = slice(own[0], first[begin + chunk] if begin + chunk < len(ids) else len(rows))
+                sums = packed.sums(table[at[span]], rating[span], own - own[0])
+                split = cut[own]
+                f, q, s = (np.full(len(own), None, dtype=object) for _ in range(3))
+                if not split.all():
+                    solutions, gains = packed.solve(sums[~split])
+                    f[~split], q[~split] = _objects(solutions), _objects(gains)
+                s[split] = _objects(sums[split])
+                out.append(pd.DataFrame({key: ids[begin : begin + chunk], "split": split, "f": f, "q": q, "s": s}))
+            return pd.concat(out, ignore_index=True)
+
+        self.steps += 1
+        sent = routed.needed.join(self.factors[other], other).select("cell", other, "f").repartition(routed.n_cells, "cell")
+        done = (
+            routed.cells.groupBy("cell")
+            .cogroup(sent.groupBy("cell"))
+            .applyInPandas(add_up, f"{key} bigint, split boolean, f array<double>, q array<double>, s array<double>")
+        )
+        partial = self.work.write(done, f"partial-{self.steps}")
+
+        @F.pandas_udf("f array<double>, q array<double>")
+        def solve(given: pd.Series) -> pd.DataFrame:
+            if not len(given):
+                return pd.DataFrame({"f": [], "q": []})
+            f, q = packed.solve(np.stack(given.to_numpy()))
+            return pd.DataFrame({"f": list(f), "q": list(q)})
+
+        # Few rows: one per busy id and cell. Summed element by element.
+        pieces = (
+            partial.where("split")
+            .select(key, F.posexplode("s").alias("pos", "x"))
+            .groupBy(key, "pos")
+            .agg(F.sum("x").alias("x"))
+            .groupBy(key)
+            .agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "x"))), lambda c: c["x"]).alias("s"))
+            .select(key, solve("s").alias("x"))
+            .select(key, "x.f", "x.q")
+        )
+        updated = partial.where(~F.col("split")).select(key, "f", "q").unionByName(pieces)
+        # Ids without train ratings keep the vectors they had.
+        old = F.concat(*[F.slice("old", at + 1, rank) for at, rank in zip(self.starts[key], self.ranks)])
+        before = self.factors[key].select(key, F.col("f").alias("old"))
+        kept = before.join(updated, key, "left").select(key, F.coalesce("f", old).alias("f"), "q")
+        table = self.work.write(kept, f"{key}-{self.steps}")
+        self.work.discard(f"partial-{self.steps}")
+        if self.stored[key]:
+            self.work.discard(self.stored[key])
+        self.factors[key], self.stored[key] = table.select(key, "f"), f"{key}-{self.steps}"
+        self.starts[key], self.last = offsets(self.ranks)[:-1], table
+
+    def train_rmses(self) -> list[float | None]:
+        """Train errors after the last half-step, from its sums."""
+        if not self.n_train:
+            return [None] * len(self.models)
+        left = self.last.agg(*[F.coalesce(F.sum(F.col("q")[m]), F.lit(0.0)) for m in range(len(self.models))]).first()
+        return [(max(self.squares + x, 0.0) / self.n_train) ** 0.5 for x in left]
+
+    def rmses(self, ratings: DataFrame) -> list[float | None]:
+        return list(rmses(ratings, self.factors["user"], self.factors["item"], self.ranks).first())
+
+
+def _objects(rows: np.ndarray) -> np.ndarray:
+    """Rows of a matrix as the elements of an object array."""
+    out = np.empty(len(rows), dtype=object)
+    for n, row in enumerate(rows):
+        out[n] = row
+    return out
+
+
+def train_als_models(
+    train: DataFrame,
+    test: DataFrame,
+    models: Sequence[Sequence[tuple[int, float]]],
+    iterations: int,
+    work: Workspace,
+) -> list[list[tuple[float | None, float | None]]]:
+    """Final train and test errors of several passes of models (rank, lam),
+    all on one layout of the ratings."""
+    if iterations < 1:
+        raise ValueError("iterations must be at least 1")
+    grid = AlsGrid(train, train.select("user", "item").union(test.select("user", "item")), work)
+    checked = work.write(seen_in(test, grid.train, work), "test")
+    found = []
+    for group in models:
+        grid.start(group)
+        for _ in range(iterations):
+            grid.half_step("user")
+            grid.half_step("item")
+        found.append(list(zip(grid.train_rmses(), grid.rmses(checked))))
+    return found
+
+
 def keep_unrated(updated: DataFrame, before: DataFrame, key: str) -> DataFrame:
     """Updated vectors with their ``q``; ids that got none keep the vector they had."""
     old = before.select(key, F.col("f").alias("old"))

@@ -5,11 +5,16 @@ A factor table has one row per id: ``(user|item BIGINT, f ARRAY<DOUBLE>)``.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+from itertools import accumulate
+from operator import add
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starloom.functions.hashing import unit_vector
-from starloom.functions.vectors import dot, squared_error, squared_norm
+from starloom.functions.vectors import UNROLL_LIMIT, dot, squared_error, squared_norm
 
 # Start range of the implicit model, and the hash prefix per side.
 IMPLICIT_LOW = 0.000610352
@@ -61,6 +66,25 @@ def rmse(ratings: DataFrame, users: DataFrame, items: DataFrame, rank: int, name
     return with_both(ratings, users, items).agg(F.sqrt(F.avg(error)).alias(name))
 
 
+def offsets(ranks: Sequence[int]) -> list[int]:
+    """Where the vectors of several models begin in one array, and its length."""
+    return list(accumulate(ranks, initial=0))
+
+
+def rmses(ratings: DataFrame, users: DataFrame, items: DataFrame, ranks: Sequence[int]) -> DataFrame:
+    """One row with the error of every model whose vectors lie in a row in ``f``:
+    ratings and vectors are joined once for all of them."""
+    w, h = F.col("w"), F.col("h")
+    errors = []
+    for n, (at, rank) in enumerate(zip(offsets(ranks), ranks)):
+        if rank <= UNROLL_LIMIT:
+            score = reduce(add, [w[k] * h[k] for k in range(at, at + rank)])
+        else:
+            score = dot(F.slice(w, at + 1, rank), F.slice(h, at + 1, rank))
+        errors.append(F.sqrt(F.avg(F.pow(F.col("rating") - score, 2))).alias(f"rmse{n}"))
+    return with_both(ratings, users, items).agg(*errors)
+
+
 def frobenius(factors: DataFrame, rank: int) -> Column:
     """Aggregate over a factor table: its Frobenius norm."""
     return F.sqrt(F.sum(squared_norm(F.col("f"), rank)))
@@ -80,6 +104,12 @@ def block_of(dense_id: Column, n: int, blocks: int, start: int = 1) -> Column:
     return F.floor((dense_id - start) / F.lit(size)).cast("bigint")
 
 
+def block_by_cuts(dense_id: Column, cuts: Sequence[int]) -> Column:
+    """Block 0..len(cuts) of a dense id; ``cuts`` are the first ids of blocks 1 and on."""
+    firsts = F.array(*[F.lit(cut).cast("bigint") for cut in cuts]) if cuts else F.array().cast("array<bigint>")
+    return F.size(F.filter(firsts, lambda first: first <= dense_id))
+
+
 def partner_block(row_block: Column, schedule: list[int]) -> Column:
     """The column block a row block works on under a schedule (a permutation)."""
     return F.element_at(F.array(*[F.lit(c) for c in schedule]), (row_block + 1).cast("int"))

@@ -108,15 +108,32 @@ def curve(iterations: range, rank: int = 2, test: bool = True) -> str:
     )
 
 
-def sgd_queue(source: str, epochs: int, blocks: int = 4, target: str = "rating", ts: str = "ts") -> str:
+def equal_cuts(blocks: int = 4) -> str:
+    """Blocks of equal runs of ids, from tables user_ids and item_ids."""
+    return f"""floor((du - 1) / ceil((SELECT count(*) FROM user_ids) / {blocks}.0)) AS rb,
+         floor((di - 1) / ceil((SELECT count(*) FROM item_ids) / {blocks}.0)) AS cb"""
+
+
+def weighed(source: str) -> str:
+    """Per id the number of ratings of all smaller ids."""
+    return f"""user_weights AS (SELECT "user", sum(count(*)) OVER (ORDER BY "user") - count(*) AS before_user FROM {source} GROUP BY "user"),
+item_weights AS (SELECT item, sum(count(*)) OVER (ORDER BY item) - count(*) AS before_item FROM {source} GROUP BY item)"""
+
+
+def rating_cuts(source: str, blocks: int = 4) -> str:
+    """Blocks of about equal numbers of ratings, from the tables of ``weighed``."""
+    total = f"(SELECT count(*) FROM {source})"
+    return f"""CAST(before_user * {blocks} // {total} AS BIGINT) AS rb, CAST(before_item * {blocks} // {total} AS BIGINT) AS cb"""
+
+
+def sgd_queue(source: str, epochs: int, blocks: int = 4, target: str = "rating", ts: str = "ts", cuts: str = "", extra: str = "") -> str:
     """Every update of a run, with its place among the updates of its user
     (uo) and of its item (io): the order is epoch, stratum, ts, ids."""
     order = f"epoch, (cb - rb + {blocks}) % {blocks}, ts, du, di"
     return f"""placed AS (
   SELECT "user", item, CAST({target} AS DOUBLE) AS rating, {ts} AS ts, du, di,
-         floor((du - 1) / ceil((SELECT count(*) FROM user_ids) / {blocks}.0)) AS rb,
-         floor((di - 1) / ceil((SELECT count(*) FROM item_ids) / {blocks}.0)) AS cb
-  FROM {source} JOIN user_ids USING ("user") JOIN item_ids USING (item)),
+         {cuts or equal_cuts(blocks)}
+  FROM {source} JOIN user_ids USING ("user") JOIN item_ids USING (item){extra}),
 queue AS MATERIALIZED (
   SELECT epoch, "user", item, rating, row_number() OVER (PARTITION BY "user" ORDER BY {order}) - 1 AS uo,
          row_number() OVER (PARTITION BY item ORDER BY {order}) - 1 AS io
@@ -421,6 +438,18 @@ FROM ratings JOIN y1 y USING ("user") JOIN x1 x USING (item) JOIN bias USING ("u
     "dsgd_epoch": _recursive(RATINGS, DENSE, sgd_queue("ratings", 1), sgd(1)) + _spelled("w1", USER, 6, rank=4),
     "dsgd_weighted": _recursive(RATINGS, DENSE, sgd_queue("ratings", 1), sgd(1, variant="weighted"))
     + _spelled("w1", USER, 6, rank=4),
+    "dsgd_balanced": _recursive(
+        RATINGS, DENSE, weighed("ratings"),
+        sgd_queue(
+            "ratings", 1, cuts=rating_cuts("ratings"),
+            extra=' JOIN user_weights USING ("user") JOIN item_weights USING (item)',
+        ),
+        sgd(1),
+    )
+    + _spelled("w1", USER, 6, rank=4),
+    "dsgd_balanced_blocks": _with(RAW, weighed("raw"))
+    + f"""SELECT rb, cb, count(*) AS n FROM (
+  SELECT {rating_cuts("raw", 7)} FROM raw JOIN user_weights USING ("user") JOIN item_weights USING (item)) GROUP BY rb, cb""",
     "dsgd_implicit": _recursive(RATINGS, DENSE, sgd_queue("ratings", 1, target="5", ts="0"), sgd(1, variant="implicit"))
     + _spelled("w1", USER, 6, rank=4),
     "dsgd_curve": _recursive(

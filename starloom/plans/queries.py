@@ -481,8 +481,8 @@ def gd_training(t: Shapes, work: Workspace) -> DataFrame:
 # --- stochastic gradient descent --------------------------------------------------
 
 
-def _sgd(t: Shapes, work: Workspace, variant: str) -> DataFrame:
-    run = dsgd.DsgdRun(t.ratings, 4, SGD_LAM, work, SGD_BLOCKS, variant=variant)
+def _sgd(t: Shapes, work: Workspace, variant: str, cuts: str = "ids") -> DataFrame:
+    run = dsgd.DsgdRun(t.ratings, 4, SGD_LAM, work, SGD_BLOCKS, variant=variant, cuts=cuts)
     run.epoch(SGD_STEP)
     return spelled(run.factors("user"), "user", 4, 6)
 
@@ -502,6 +502,27 @@ def dsgd_implicit(t: Shapes, work: Workspace) -> DataFrame:
     return _sgd(t, work, "implicit")
 
 
+@query
+def dsgd_balanced(t: Shapes, work: Workspace) -> DataFrame:
+    """An epoch over blocks cut by ratings instead of ids."""
+    return _sgd(t, work, "plain", "ratings")
+
+
+@query
+def dsgd_balanced_blocks(t: Shapes, work: Workspace) -> DataFrame:
+    """Rating events per block when users and items are cut by their numbers of events."""
+    dense, users, items = training.preprocess(t.rating_events.select("user", "item"), work)
+    cuts = {}
+    for key, ids in (("user", users), ("item", items)):
+        counts = work.write(dense.groupBy(key).agg(F.count("*").alias("n")), f"weights-{key}")
+        cuts[key] = dsgd.cuts_by_rating(counts, key, ids.count(), 7)
+    laid = dense.select(
+        factors.block_by_cuts(F.col("user"), cuts["user"]).cast("bigint").alias("rb"),
+        factors.block_by_cuts(F.col("item"), cuts["item"]).cast("bigint").alias("cb"),
+    )
+    return laid.groupBy("rb", "cb").agg(F.count("*").alias("n"))
+
+
 @query
 def dsgd_curve(t: Shapes, work: Workspace) -> DataFrame:
     train, test = _train_test(t, work)

@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 
 from starloom.functions.hashing import unit_vector
 from starloom.operators import als, dsgd, factors, gradient
-from starloom.plans.training import Settings, fit, full_grid
+from starloom.plans.training import Settings, fit, full_grid, passes
 from starloom.sources.workspace import Workspace
 
 RANK = 3
@@ -234,11 +234,92 @@ def test_sgd_needs_ratings(spark, work, rating_table):
         dsgd.DsgdRun(rating_table([]), 2, 0.01, work, 2)
 
 
-def test_too_full_blocks_are_refused(spark, work, rating_table):
-    rows = [(u, i, 3) for u in range(64) for i in range(64)]
-    with pytest.raises(ValueError, match="set blocks above 8"):
-        dsgd.DsgdRun(rating_table(rows), 2, 0.01, work, block_rows=10)
-    assert dsgd.DsgdRun(rating_table(rows), 2, 0.01, work, blocks=32, block_rows=10).p == 32
+def test_blocks_of_any_size_pass_in_batches(spark, work, rating_table):
+    rows = [(u, i, (u * i) % 9 / 2 + 0.5) for u in range(40) for i in range(30)]
+    table, got = rating_table(rows), []
+    size = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    for records in ("10000", "7"):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", records)
+        run = dsgd.DsgdRun(table, RANK, 0.05, Workspace(spark, "batches"), 2)
+        assert run.epoch(0.02)[1] == len(rows)
+        got.append((collected(run.factors("user"), "user"), collected(run.factors("item"), "item")))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+    for one, other in zip(*got):
+        for k in one:
+            np.testing.assert_allclose(one[k], other[k], rtol=1e-9)
+
+
+def test_cuts_by_rating(spark, work):
+    rng = np.random.default_rng(2)
+    for n_ids, p, fan in ((300, 7, 4), (300, 7, 1024), (5, 8, 1024), (1, 3, 4), (1025, 4, 1024)):
+        n = rng.zipf(1.5, n_ids).clip(0, 5000)
+        n[n_ids // 2] = n.sum() // 3 + 1
+        counts = work.write(spark.createDataFrame([(i + 1, int(c)) for i, c in enumerate(n)], "user bigint, n bigint"), f"c{n_ids}{fan}")
+        before, dsgd_fan, dsgd.FAN = np.cumsum(n) - n, dsgd.FAN, fan
+        try:
+            cuts = dsgd.cuts_by_rating(counts, "user", n_ids, p)
+        finally:
+            dsgd.FAN = dsgd_fan
+        want = (before * p // n.sum()).tolist()
+        assert [sum(cut <= i + 1 for cut in cuts) for i in range(n_ids)] == want
+        got = counts.select("user", factors.block_by_cuts(counts["user"], cuts).alias("b")).orderBy("user").collect()
+        assert [r["b"] for r in got] == want
+
+
+def test_balanced_blocks_on_skewed_ratings(spark, work, rating_table):
+    """Counts of users and of items fall with the id, independently: equal runs of ids
+    overfill a block, cuts by ratings do not. Sides that depend on each other may still do."""
+    rng = np.random.default_rng(3)
+    rows = [(u, i, 3) for u in range(60) for i in range(60) if rng.random() < 1 / (1 + u / 8) / (1 + i / 8)]
+    sizes = {}
+    for cuts in ("ids", "ratings"):
+        run = dsgd.DsgdRun(rating_table(rows), 2, 0.01, Workspace(spark, cuts), 4, cuts=cuts)
+        sizes[cuts] = [r["count"] for r in run.laid.groupBy("stratum", "rb").count().collect()]
+        assert run.epoch(0.01)[1] == len(rows)
+    assert max(sizes["ratings"]) <= 2 * len(rows) / 16 < max(sizes["ids"])
+
+
+def test_dsgd_models_share_a_pass(spark, work, rating_table):
+    table, sizes, steps = rating_table(triples(20, 15, 0.6)), [(2, 0.05), (4, 0.5), (3, 0.01)], [0.02, 0.01, 0.03]
+    run = dsgd.DsgdRun(table, *sizes[0], Workspace(spark, "many"), 3, more=sizes[1:])
+    run.epoch(steps)
+    run.epoch(steps)
+    errors = run.rmses(run.train)
+    for m, (size, step) in enumerate(zip(sizes, steps)):
+        alone = dsgd.DsgdRun(table, *size, Workspace(spark, "alone"), 3)
+        alone.epoch(step)
+        assert alone.epoch(step)[0] == pytest.approx(run.losses(4, 6, m)[0])
+        assert errors[m] == pytest.approx(alone.rmse(alone.train))
+        for key in ("user", "item"):
+            one, other = collected(alone.factors(key), key), collected(run.factors(key, m), key)
+            for k in one:
+                np.testing.assert_allclose(one[k], other[k], rtol=1e-9)
+
+
+def test_als_models_share_a_pass(spark, work, rating_table):
+    """Small cells cut the busy user over several, whose sums are then combined."""
+    rows = triples(20, 15, 0.6) + [(999, i * 7 + 2, 2.5) for i in range(15)]
+    table, sizes = rating_table(rows), [(2, 0.1), (4, 0.1), (2, 0.7), (3, 0.3)]
+    grid = als.AlsGrid(table, table, work, cell_rows=9)
+    assert grid.routed["user"].cells.where("split").count()
+    for group in (sizes, sizes[:1]):
+        grid.start(group)
+        for _ in range(2):
+            grid.half_step("user")
+            grid.half_step("item")
+        got = list(zip(grid.train_rmses(), grid.rmses(grid.train)))
+        for (rank, lam), (from_sums, from_join) in zip(group, got):
+            alone = als.AlsRun(table, rank, lam, Workspace(spark, "alone"))
+            alone.iterate()
+            alone.iterate()
+            assert from_sums == pytest.approx(alone.train_rmse()) and from_join == pytest.approx(from_sums)
+
+
+def test_grid_passes_are_bounded():
+    runs = full_grid("sgd") + full_grid("als")
+    groups = passes(runs)
+    assert sorted(n for kind in groups for group in kind for n in group) == list(range(len(runs)))
+    assert len(groups) == 2 and all(sum(runs[n].rank for n in group) <= 120 for kind in groups for group in kind)
 
 
 def test_dsgd_curve_falls(spark, work, rating_table):
