@@ -1,27 +1,35 @@
 """Near-duplicate vectors by a robust-pruned flat graph.
 
-Vectors with equal labels are compared. Each is put with its nearest centre and
-with every centre whose border with that one is at most half the range angle
-away, so the cluster shards overlap. A path between vectors of two clusters
-crosses their border, hence one end of a pair in range lies that near to it:
-every such pair shares a shard. Centres in range of a fuller one are dropped, so
-a group of near copies is not cut up. In every shard a flat graph is built:
-each vector keeps near ones as neighbours, but none that a kept one already
-leads to (robust pruning). The adjacency lists of all shards are united. Then
-every vector searches its shards from itself and their medoids: greedy steps to
-the best vector not yet opened, and once vectors in range turn up, on through
-all vectors in range until none is left unopened. A block product adds pairs in
-range that a search missed. Pairs are confirmed in double precision.
-
-Equal vectors are one node, whatever their number. A shard with more than
-``PIECE`` vectors is cut into pieces that meet pairwise, so a task holds two
-pieces at most; inside a pair of pieces only counts and spanning links leave
-the task, never all pairs. Centres are fitted on at most ``SAMPLE`` vectors per
-label, the smallest by hash; all vectors are indexed and searched.
+Vectors with equal labels are compared. A vector is a member of the shards of
+its two nearest centres, so the cluster shards overlap. In every shard a flat
+graph of the members is built: each keeps near ones as neighbours, but none that
+a kept one already leads to (robust pruning); the medoid leads to every part of
+the graph. The adjacency lists of all shards are united.
+
+Every vector then searches its shards: from the medoid, and from itself where it
+is a member, to the best vectors not yet opened, and once vectors in range turn
+up, on through all vectors in range until none is left unopened. Cosines are
+computed for vectors that a search reaches. Besides its two shards a vector
+searches those of every centre whose border with its nearest one is at most half
+the range angle away. A path between vectors of two clusters crosses their
+border, hence one end of a pair in range lies that near to it and searches the
+other's nearest shard. A pair counts once: in the nearest shard of one end, the
+smaller of the two where both ends search the other's. Pairs are confirmed in
+double precision. Centres in range of a fuller one are dropped, so a group of
+near copies is not cut up. ``audit_recall`` compares with brute force;
+``exact=True`` adds what a search missed by block products within the shards.
+
+Equal vectors are one node, whatever their number. Members of a shard beyond
+``PIECE`` are cut into pieces with a graph each, searchers beyond ``SEARCHERS``
+likewise, and every piece of searchers meets every piece of members, so a task
+holds one of each; only counts and spanning links leave the task, never all
+pairs. Centres are fitted on at most ``SAMPLE`` vectors in all, the smallest by
+hash; all vectors are indexed and searched.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite
 components, and those without a label, link with nothing; vectors of unequal
-length never link; repeated rows are copies; null ids name no component.
+length never link; repeated rows are copies; null ids name no component; other
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -40,12 +48,17 @@ from starloom.sources.workspace import Workspace
 
 COSINE = 0.98
 SAMPLE = 65_536
-SHARD = 256
-PIECE = 1024
+SHARD = 512
+PIECE = 2048
+SEARCHERS = 4096
 MAX_CENTRES = 8192
 DEGREE = 24
 ALPHA = 1.2
-BEAM = 48
+# A search opens the unopened among the BEAM best seen, OPENED at a time.
+BEAM = 32
+OPENED = 8
+# What single precision may lose of a cosine.
+SLACK = 1e-5
 
 
 def unit(values: np.ndarray) -> np.ndarray:
@@ -67,17 +80,17 @@ def pruned(units: np.ndarray, degree: int = DEGREE, alpha: float = ALPHA) -> np.
         cosine = np.take_along_axis(near, cand, axis=1)
         order = np.argsort(-cosine, axis=1, kind="stable")
         cand, cosine = np.take_along_axis(cand, order, axis=1), np.take_along_axis(cosine, order, axis=1)
-        away = np.sqrt(np.maximum(2 - 2 * cosine, 0))
+        away = 2 - 2 * cosine
+        between = units[cand]
+        between = 2 - 2 * (between @ between.transpose(0, 2, 1))
         alive = np.ones(cand.shape, bool)
         for k in range(degree):
             first = alive.argmax(axis=1)
             some = np.flatnonzero(alive[np.arange(len(rows)), first])
             if not len(some):
                 break
-            chosen = cand[some, first[some]]
-            out[rows[some], k] = chosen
-            between = np.sqrt(np.maximum(2 - 2 * np.einsum("ijk,ik->ij", units[cand[some]], units[chosen]), 0))
-            alive[some] &= alpha * between > away[some]
+            out[rows[some], k] = cand[some, first[some]]
+            alive[some] &= alpha * alpha * between[some, first[some]] > away[some]
             alive[some, first[some]] = False
     return out
 
@@ -108,48 +121,66 @@ def medoid_of(units: np.ndarray) -> int:
     return int((units @ units.sum(axis=0)).argmax())
 
 
-def search(units: np.ndarray, graph: list[np.ndarray], start: int, queries: np.ndarray, in_range: float, beam: int = BEAM) -> np.ndarray:
-    """Rows of a truth table [query, vector]: which vectors in range each query reaches.
-
-    All queries step together, each from itself and from ``start``. A query
-    opens its best unopened vector among the ``beam`` best seen, and all vectors
-    in range at once, until none is left.
+def search(
+    units: np.ndarray,
+    graph: tuple[np.ndarray, np.ndarray],
+    start: int,
+    queries: np.ndarray,
+    own: np.ndarray,
+    in_range: float,
+    beam: int = BEAM,
+) -> np.ndarray:
+    """Cosines [query, vector] of the vectors each query reaches, -inf elsewhere.
+
+    ``graph`` holds the bounds of each vector's neighbours and the neighbours
+    in a row; ``own`` is a query's place among the vectors, or -1. All queries
+    step together, each from ``start`` and from itself. A step opens the best
+    few unopened vectors among the ``beam`` best reached, and all unopened ones
+    in range, and reaches their neighbours. Where most of them are new their
+    cosines are computed as a block, else one by one.
     """
+    bounds, flat = graph
     n, q = len(units), len(queries)
-    width = max((len(g) for g in graph), default=0)
-    lists = np.full((n, max(width, 1)), n, np.int64)
-    for i, g in enumerate(graph):
-        lists[i, : len(g)] = g
-    near = np.zeros((n, n), np.float32)
-    near[np.repeat(np.arange(n), [len(g) for g in graph]), np.concatenate([*graph, np.zeros(0, np.int64)])] = 1
-    cosine = units[queries] @ units.T
-    seen = np.full((q, n), -np.inf)
+    degree = np.diff(bounds)
+    near = None
+    seen = np.full((q, n), -np.inf, np.float32)
+    seen[:, start] = queries @ units[start]
+    member = np.flatnonzero(own >= 0)
+    seen[member, own[member]] = np.einsum("ij,ij->i", queries[member], units[own[member]])
     done = np.zeros((q, n), bool)
     active = np.arange(q)
-    seen[:, start] = cosine[:, start]
-    seen[active, queries] = cosine[active, queries]
     while len(active):
-        open_ = np.where(done[active], -np.inf, seen[active])
-        best = open_.argmax(axis=1)
-        value = open_[np.arange(len(active)), best]
-        if n > beam:
-            least = -np.partition(-seen[active], beam, axis=1)[:, beam]
-        else:
-            least = np.full(len(active), -np.inf)
-        going = (value > -np.inf) & ((value >= least) | (value >= in_range))
-        active, best, opened = active[going], best[going], open_[going] >= in_range
+        here = seen[active]
+        left = np.where(done[active], -np.inf, here)
+        opened = left >= in_range
+        least = np.partition(here, n - beam, axis=1)[:, n - beam] if n > beam else np.full(len(active), -np.inf)
+        best = np.argpartition(-left, OPENED, axis=1)[:, :OPENED] if n > OPENED else np.tile(np.arange(n), (len(active), 1))
+        value = np.take_along_axis(left, best, axis=1)
+        row, k = np.nonzero((value > -np.inf) & (value >= least[:, None]))
+        opened[row, best[row, k]] = True
+        going = opened.any(axis=1)
+        active, opened, here = active[going], opened[going], here[going]
         if not len(active):
             break
-        opened[np.arange(len(active)), best] = True
         done[active] |= opened
-        rows, at = np.nonzero(opened)
-        if len(rows) > 2 * len(active):
-            reached = opened.astype(np.float32) @ near > 0
+        row, at = np.nonzero(opened)
+        if len(row) > 4 * OPENED * len(active):  # a large group in range
+            if near is None:
+                near = np.zeros((n, n), np.float32)
+                near[np.repeat(np.arange(n), degree), flat] = 1
+            new = opened.astype(np.float32) @ near > 0
         else:
-            reached = np.zeros((len(active), n + 1), bool)
-            reached[rows[:, None], lists[at]] = True
-            reached = reached[:, :n]
-        seen[active] = np.where(reached, cosine[active], seen[active])
+            size = degree[at]
+            ends = np.cumsum(size)
+            place = np.repeat(bounds[at] - (ends - size), size) + np.arange(ends[-1])
+            new = np.zeros(opened.shape, bool)
+            new[np.repeat(row, size), flat[place]] = True
+        new &= here == -np.inf
+        row, at = np.nonzero(new)
+        if 8 * len(row) < new.size:
+            seen[active[row], at] = np.einsum("ij,ij->i", queries[active[row]], units[at])
+        else:
+            seen[active] = np.where(new, queries[active] @ units.T, here)
     return seen
 
 
@@ -197,73 +228,89 @@ def centres(nodes: DataFrame, cosine: float) -> dict[tuple[str, int], np.ndarray
     return out
 
 
-def near_centres(units: np.ndarray, middle: np.ndarray, cosine: float) -> tuple[np.ndarray, np.ndarray]:
-    """(row, centre) of the nearest centres and of those whose border is within half the range angle.
+def near_centres(units: np.ndarray, middle: np.ndarray, cosine: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, centre, rank): rank 0 the nearest centre, 1 the second, 2 others whose
+    border with the nearest is within half the range angle.
 
-    Two vectors of which neither has the other's nearest centre are out of range.
+    Of two vectors in range with unlike nearest centres one has the other's.
     """
-    rows, found = [], []
+    rows, found, ranks = [], [], []
     for at in range(0, len(units), 512):
         value = units[at : at + 512] @ middle.T
+        all_ = np.arange(len(value))
         home = value.argmax(axis=1)
         best = np.take_along_axis(value, home[:, None], axis=1)
         between = np.sqrt(np.maximum(((middle * middle).sum(axis=1) + (middle[home] ** 2).sum(axis=1)[:, None]) - 2 * (middle[home] @ middle.T), 0))
-        close = best - value <= between * math.sqrt(max(1 - cosine, 0) / 2) + 1e-9
-        row, centre = np.nonzero(close)
+        rank = np.where(best - value <= between * math.sqrt(max(1 - cosine, 0) / 2) + 1e-9, 2, 3)
+        value[all_, home] = -np.inf
+        rank[all_, value.argmax(axis=1)] = 1
+        rank[all_, home] = 0
+        row, centre = np.nonzero(rank < 3)
         rows.append(row + at)
         found.append(centre)
-    return np.concatenate(rows), np.concatenate(found)
+        ranks.append(rank[row, centre])
+    return np.concatenate(rows), np.concatenate(found), np.concatenate(ranks)
 
 
 def sharded(nodes: DataFrame, middles: dict[tuple[str, int], np.ndarray], cosine: float) -> DataFrame:
-    """(shard, earlier, v, embedding, copies): every vector in the shards of its near centres.
+    """(shard, home, others, member, v, embedding, copies): every vector in the shards of its near centres.
 
-    ``earlier`` are the vector's shards with smaller numbers.
+    ``home`` is the shard of its nearest centre, ``others`` are all its shards.
     A class without centres is one shard, numbered below zero by its hash.
     """
     first, at = {}, 0
     for key in sorted(middles):
         first[key], at = at, at + len(middles[key])
-    names = ["shard", "earlier", "v", "embedding", "copies"]
+    names = ["shard", "home", "others", "member", "v", "embedding", "copies"]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             frame = batch.to_pandas()
             for key, rows in frame.groupby(["label", "dim"]):
                 key = (key[0], int(key[1]))
-                if key in middles:
-                    row, near = near_centres(unit(np.stack(rows["embedding"]).astype(np.float64)), middles[key], cosine)
+                if key in middles and len(middles[key]) > 1:
+                    row, near, rank = near_centres(unit(np.stack(rows["embedding"]).astype(np.float64)), middles[key], cosine)
                     near = first[key] + near
                 else:
-                    row, near = np.arange(len(rows)), rows["lone"].to_numpy()
-                start = np.searchsorted(row, row)
+                    row, near, rank = np.arange(len(rows)), rows["lone"].to_numpy(), np.zeros(len(rows), np.int64)
+                start = np.searchsorted(row, np.arange(len(rows) + 1))
+                others = [near[a:b] for a, b in zip(start[:-1], start[1:])]
                 made = rows[["v", "embedding", "copies"]].iloc[row].assign(
-                    shard=near, earlier=[near[a:b] for a, b in zip(start.tolist(), range(len(near)))]
+                    shard=near, home=near[rank == 0][row], others=[others[r] for r in row.tolist()], member=rank < 2
                 )
                 for at in range(0, len(made), 4096):
                     yield pa.RecordBatch.from_pandas(made[names].iloc[at : at + 4096], schema=schema, preserve_index=False)
 
-    schema = pa.schema([("shard", pa.int64()), ("earlier", pa.list_(pa.int64())), ("v", pa.int64()),
-                        ("embedding", pa.list_(pa.float64())), ("copies", pa.int64())])
+    schema = pa.schema([("shard", pa.int64()), ("home", pa.int64()), ("others", pa.list_(pa.int64())), ("member", pa.bool_()),
+                        ("v", pa.int64()), ("embedding", pa.list_(pa.float64())), ("copies", pa.int64())])
     lone = F.shiftrightunsigned(F.xxhash64("label", "dim"), 2).cast("bigint")
     return nodes.select("label", "dim", "v", "embedding", "copies", (-1 - lone).alias("lone")).mapInArrow(
-        frugal(work), "shard bigint, earlier array<bigint>, v bigint, embedding array<double>, copies bigint"
+        frugal(work),
+        "shard bigint, home bigint, others array<bigint>, member boolean, v bigint, embedding array<double>, copies bigint",
     )
 
 
 def cells(placed: DataFrame, work: Workspace) -> DataFrame:
-    """Add ``cell``, the pair of pieces that a task holds, and ``piece``.
+    """Add ``cell``, a piece of members met by a piece of searchers, whether the
+    row is a ``node`` and a ``query`` there, and its ``piece`` of members.
 
-    A shard of ordinary size is one piece and one cell.
+    A shard of ordinary size is one cell.
     """
-    sizes = placed.groupBy("shard").agg(F.count("*").alias("size"))
-    pieces = F.ceil(F.col("size") / F.lit(PIECE)).cast("bigint")
-    cut = placed.join(sizes, "shard").withColumn("pieces", pieces).withColumn("piece", F.pmod(F.xxhash64("v"), pieces))
-    pairs = F.transform(
-        F.sequence(F.lit(0).cast("bigint"), F.col("pieces") - 1),
-        lambda o: F.least(o, F.col("piece")) * F.col("pieces") + F.greatest(o, F.col("piece")),
-    )
-    return work.write(cut.withColumn("cell", F.explode(pairs)).drop("size"), "cells")
+    sizes = placed.groupBy("shard").agg(F.count_if("member").alias("members"), F.count("*").alias("rows"))
+
+    def parts(size: str, most: int):
+        return F.greatest(F.ceil(F.col(size) / F.lit(most)), F.lit(1)).cast("bigint")
+
+    sizes = sizes.select("shard", parts("members", PIECE).alias("p"), parts("rows", SEARCHERS).alias("q"))
+    cut = placed.join(sizes, "shard").withColumn("piece", F.pmod(F.xxhash64("v"), "p"))
+    cut = cut.withColumn("part", F.pmod(F.xxhash64("v", F.lit(1)), "q"))
+    zero = F.lit(0).cast("bigint")
+    searching = F.transform(F.sequence(zero, F.col("p") - 1), lambda j: j * F.col("q") + F.col("part"))
+    holding = F.transform(F.sequence(zero, F.col("q") - 1), lambda k: F.col("piece") * F.col("q") + k)
+    cut = cut.withColumn("cell", F.explode(F.when(F.col("member"), F.array_union(searching, holding)).otherwise(searching)))
+    node = F.col("member") & (F.floor(F.col("cell") / F.col("q")) == F.col("piece"))
+    query = F.col("cell") % F.col("q") == F.col("part")
+    return work.write(cut.withColumn("node", node).withColumn("query", query).drop("p", "q", "part", "member"), "cells")
 
 
 def adjacency(cut: DataFrame) -> DataFrame:
@@ -274,64 +321,102 @@ def adjacency(cut: DataFrame) -> DataFrame:
         units = unit(np.stack(rows["embedding"]))
         v = rows["v"].to_numpy()
         one, two = connected(units, pruned(units))
-        return pd.DataFrame({"v": v[one], "near": v[two]})
+        order = np.argsort(one, kind="stable")
+        return pd.DataFrame({"v": v, "near": np.split(v[two[order]], np.searchsorted(one[order], np.arange(1, len(v))))})
 
-    # Lists are built within pieces; a cell of two pieces joins them.
-    edges = cut.groupBy("shard", "cell").applyInPandas(build, "v bigint, near bigint")
-    return edges.groupBy("v").agg(F.collect_set("near").alias("near"))
+    # A member is a node in one cell with each piece of searchers; its first holds one row of each.
+    members = cut.filter("node").select("shard", "piece", "v", "embedding").dropDuplicates(["shard", "piece", "v"])
+    lists = members.groupBy("shard", "piece").applyInPandas(build, "v bigint, near array<bigint>")
+    return lists.groupBy("v").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))
 
 
-def links(cut: DataFrame, lists: DataFrame, cosine: float) -> DataFrame:
-    """(v, n, root): by cell, how many vectors each one links with, and a spanning link.
+def merged(group: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Groups (each named by its smallest place) after joining those of the pairs a, b."""
+    while True:
+        one, two = group[a], group[b]
+        apart = one != two
+        if not apart.any():
+            return group
+        one, two = one[apart], two[apart]
+        low = np.minimum(one, two)
+        np.minimum.at(group, one, low)
+        np.minimum.at(group, two, low)
+        while True:
+            shorter = group[group]
+            if (shorter == group).all():
+                break
+            group = shorter
 
-    A pair that shares several shards counts in the smallest only.
-    """
+
+def links(cut: DataFrame, lists: DataFrame, cosine: float, exact: bool = False) -> DataFrame:
+    """(v, n, root): by cell, how many vectors each one links with, and a spanning link."""
 
     def find(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("v", ignore_index=True)
-        n = len(rows)
-        units = unit(np.stack(rows["embedding"]))
-        v, piece, copies = (rows[c].to_numpy() for c in ("v", "piece", "copies"))
-        pieces = int(rows["pieces"][0])
-        lengths = rows["earlier"].map(len).to_numpy()
-        before, column = np.unique(np.concatenate(rows["earlier"].tolist()), return_inverse=True)
-        earlier = np.zeros((n, len(before)), np.float32)
-        earlier[np.repeat(np.arange(n), lengths), column] = 1
-        place = {x: i for i, x in enumerate(v.tolist())}
-        graph = [np.array([place[x] for x in near if x in place], np.int64) if near is not None else np.zeros(0, np.int64)
-                 for near in rows["near"]]
-        medoid = medoid_of(units)
-        crossing = int(rows["cell"][0]) // pieces != int(rows["cell"][0]) % pieces
-        counts = np.zeros(n, np.int64)
-        found = np.zeros((n, n), bool)
-        for at in range(0, n, 256):
-            queries = np.arange(at, min(at + 256, n))
-            seen = search(units, graph, medoid, queries, cosine)
-            # What a search did not reach is added, so that every shard of a pair knows it.
-            found[queries] = (seen >= cosine - 1e-9) | (units[queries] @ units.T >= cosine - 1e-9)
-        found |= found.T
-        np.fill_diagonal(found, False)
-        group = np.arange(n)
-        for i in range(n):
-            near = np.flatnonzero(found[i])
-            if crossing:
-                near = near[piece[near] != piece[i]]
-            near = near[earlier[near] @ earlier[i] == 0]
-            near = near[np.einsum("ij,j->i", units[near], units[i]) >= cosine]
-            counts[i] = copies[near].sum()
-            joining = np.unique(group[near])
-            if len(joining) and (len(joining) > 1 or joining[0] != group[i]):
-                joining = np.append(joining, group[i])
-                group[np.isin(group, joining)] = joining.min()
-        linked = counts > 0
-        return pd.DataFrame({"v": v[linked], "n": counts[linked], "root": v[group[linked]]})
+        v, copies, home, shard = rows["v"].to_numpy(), rows["copies"].to_numpy(), rows["home"].to_numpy(), int(rows["shard"][0])
+        node, query = np.flatnonzero(rows["node"]), np.flatnonzero(rows["query"])
+        if not len(node) or not len(query):
+            return pd.DataFrame({"v": [], "n": [], "root": []}).astype("int64")
+        double = unit(np.stack(rows["embedding"]))
+        single = double.astype(np.float32)
+        nodes, searchers = single[node], single[query]
+        # Neighbours in this cell, as places among the nodes.
+        near = [np.asarray(x if x is not None else [], np.int64) for x in rows["near"].iloc[node]]
+        source, names = np.repeat(np.arange(len(node)), [len(x) for x in near]), np.concatenate(near)
+        place = np.minimum(np.searchsorted(v[node], names), len(node) - 1)
+        known = v[node][place] == names
+        source, place = source[known], place[known]
+        graph = np.searchsorted(source, np.arange(len(node) + 1)), place
+        own = np.full(len(rows), -1)
+        own[node] = np.arange(len(node))
+        own = own[query]
+        medoid = medoid_of(double[node])
+        found = np.zeros((len(query), len(node)), bool)
+        for at in range(0, len(query), 256):
+            part = slice(at, at + 256)
+            found[part] = search(nodes, graph, medoid, searchers[part], own[part], cosine - SLACK) >= cosine - SLACK
+            if exact:
+                found[part] |= searchers[part] @ nodes.T >= cosine - SLACK
+        # What one end found the other knows, where both search here.
+        both = np.flatnonzero(own >= 0)
+        square = found[np.ix_(both, own[both])]
+        found[np.ix_(both, own[both])] = square | square.T
+        found[both, own[both]] = False
+        found[:, home[node] != shard] = False
+        # Pairs that the other end's nearest shard counts, as its number is smaller.
+        visiting = home[query] != shard
+        elsewhere, column = np.unique(home[query], return_inverse=True)
+        lengths = rows["others"].iloc[node].map(len).to_numpy()
+        theirs = np.concatenate(rows["others"].iloc[node].tolist())
+        at = np.minimum(np.searchsorted(elsewhere, theirs), len(elsewhere) - 1)
+        met = (elsewhere[at] == theirs) & (theirs < shard)
+        counted = np.zeros((len(elsewhere), len(node)), bool)
+        counted[at[met], np.repeat(np.arange(len(node)), lengths)[met]] = True
+        counts, touched, group = np.zeros(len(v), np.int64), np.zeros(len(v), bool), np.arange(len(v))
+        for at in range(0, len(query), 256):
+            part = found[at : at + 256] & ~(counted[column[at : at + 256]] & visiting[at : at + 256, None])
+            q, k = np.nonzero(part)
+            for begin in range(0, len(q), 1 << 15):
+                a, b = query[at + q[begin : begin + (1 << 15)]], node[k[begin : begin + (1 << 15)]]
+                sure = np.einsum("ij,ij->i", double[a], double[b]) >= cosine
+                a, b = a[sure], b[sure]
+                np.add.at(counts, a, copies[b])
+                guest = home[a] != shard  # the other end does not search for this one
+                np.add.at(counts, b[guest], copies[a[guest]])
+                touched[a] = touched[b] = True
+                group = merged(group, a, b)
+        return pd.DataFrame({"v": v[touched], "n": counts[touched], "root": v[group[touched]]})
 
     joined = cut.join(lists, "v", "left")
     return joined.groupBy("shard", "cell").applyInPandas(find, "v bigint, n bigint, root bigint")
 
 
-def groups(rows: DataFrame, work: Workspace, cosine: float = COSINE) -> DataFrame:
-    """One row per row of ``rows`` (vec_id, embedding, label): n_links, component_id, kept."""
+def groups(rows: DataFrame, work: Workspace, cosine: float = COSINE, exact: bool = False) -> DataFrame:
+    """One row per row of ``rows`` (vec_id, embedding, label): n_links, component_id, kept.
+
+    With ``exact`` no pair that a search missed is lost, at the cost of all
+    products within a shard.
+    """
     rows = work.write(marked(rows), "rows")
     key = digest(F.col("label"), F.array_join(F.transform("embedding", lambda x: x.cast("string")), ","))
     good = rows.filter("usable").withColumn("node", key)
@@ -342,7 +427,7 @@ def groups(rows: DataFrame, work: Workspace, cosine: float = COSINE) -> DataFram
     nodes = work.write(nodes.withColumn("dim", F.size("embedding")).withColumn("v", F.monotonically_increasing_id()), "nodes")
     cut = cells(sharded(nodes, centres(nodes, cosine), cosine), work)
     lists = work.write(adjacency(cut), "lists")
-    found = work.write(links(cut, lists, cosine), "links")
+    found = work.write(links(cut, lists, cosine, exact), "links")
     roots = components(found.select(F.col("v").alias("a"), F.col("root").alias("b")), work, "roots")
     sums = found.groupBy("v").agg(F.sum("n").alias("n"))
     known = nodes.select("v", "node", "vec_id", "copies").join(sums, "v", "left").join(roots.withColumnRenamed("node", "v"), "v", "left")

@@ -404,8 +404,9 @@ def test_links_of_separate_groups(spark, work, groups):
     units = np.concatenate([near_group(rng, 100, 0.995) for _ in range(groups)])
     link = near_truth(units)
     one, two = neighbours.connected(units, neighbours.pruned(units))
-    graph = [np.unique(two[one == i]) for i in range(len(units))]
-    seen = neighbours.search(units, graph, neighbours.medoid_of(units), np.arange(len(units)), 0.98)
+    order = np.argsort(one, kind="stable")
+    graph = np.searchsorted(one[order], np.arange(len(units) + 1)), two[order]
+    seen = neighbours.search(units, graph, neighbours.medoid_of(units), units, np.arange(len(units)), 0.98)
     assert ((seen >= 0.98) | ~link | np.eye(len(units), dtype=bool)).all()
     found = neighbours.groups(near_table(spark, units), work).toPandas().set_index("vec_id").loc[range(len(units))]
     assert (found.n_links == link.sum(1)).all() and found.component_id.nunique() == found.kept.sum() == groups
@@ -420,3 +421,35 @@ def test_a_pair_counts_once_in_many_shards(spark, work, monkeypatch):
     monkeypatch.setattr(neighbours, "PIECE", 100)
     found = neighbours.groups(near_table(spark, units), work).toPandas().set_index("vec_id").loc[range(700)]
     assert (found.n_links == near_truth(units).sum(1)).all()
+
+
+def test_searches_reach_links_without_most_cosines():
+    rng = np.random.default_rng(8)
+    base = neighbours.unit(rng.normal(size=(1500, 64)))
+    copies = neighbours.unit(base[:300] + 0.012 * rng.normal(size=(300, 64)))  # searched from outside
+    one, two = neighbours.connected(base, neighbours.pruned(base))
+    order = np.argsort(one, kind="stable")
+    graph = np.searchsorted(one[order], np.arange(len(base) + 1)), two[order]
+    seen = neighbours.search(base, graph, neighbours.medoid_of(base), copies, np.full(300, -1), 0.98)
+    true = copies @ base.T >= 0.98
+    assert true.sum() >= 300
+    assert (seen[true] >= 0.98 - neighbours.SLACK).mean() >= 0.9
+    assert np.isfinite(seen).mean() < 0.6
+
+
+def test_exact_links_with_extra_columns(spark, work, monkeypatch):
+    """Shards of 30, pieces of 40 and parts of 50: pairs across borders and pieces count once."""
+    for name, value in (("SHARD", 30), ("PIECE", 40), ("SEARCHERS", 50)):
+        monkeypatch.setattr(neighbours, name, value)
+    rng = np.random.default_rng(12)
+    units = np.concatenate([neighbours.unit(rng.normal(size=(1, 16)) + 0.05 * rng.normal(size=(25, 16))) for _ in range(20)])
+    table = near_table(spark, units)
+    for name in ("shard", "home", "node", "v", "n", "root", "n_links"):
+        table = table.withColumn(name, table["vec_id"])
+    true = near_truth(units).sum(1)
+    assert true.sum() > 1000
+    whole = neighbours.groups(table, work, exact=True).toPandas().set_index("vec_id").loc[range(len(units))]
+    assert (whole.n_links == true).all()
+    found = neighbours.groups(table, neighbours.Workspace(spark, "searched")).toPandas().set_index("vec_id").loc[range(len(units))]
+    assert (found.n_links <= true).all() and found.n_links.sum() >= 0.99 * true.sum()
+    assert (found.component_id == whole.component_id).all()
