@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+
 RAW = """raw AS (
   SELECT o_custkey AS "user", l_partkey AS item,
          CAST((floor((l_quantity - 1) / 5) + 1) * 0.5 AS DOUBLE) AS rating,
@@ -140,6 +142,20 @@ queue AS MATERIALIZED (
   FROM placed CROSS JOIN (SELECT unnest(range(1, {epochs + 1})) AS epoch))"""
 
 
+# The order that seed 1 gives four strata.
+SHUFFLED = np.random.default_rng(1).permutation(4).tolist()
+
+
+def visits(source: str, strata: list[int]) -> str:
+    """As ``sgd_queue``, with one stratum an epoch in the given order."""
+    order = "epoch, du, di"
+    return f"""placed AS (
+  SELECT "user", item, rating, du, di, {equal_cuts(len(strata))} FROM {source} JOIN user_ids USING ("user") JOIN item_ids USING (item)),
+queue AS MATERIALIZED (
+  SELECT *, row_number() OVER (PARTITION BY "user" ORDER BY {order}) - 1 AS uo, row_number() OVER (PARTITION BY item ORDER BY {order}) - 1 AS io
+  FROM (SELECT *, list_position({strata}, CAST((cb - rb + {len(strata)}) % {len(strata)} AS INTEGER)) AS epoch FROM placed))"""
+
+
 def sgd(last: int, step: str = "0.005", lam: float = 0.01, rank: int = 4, variant: str = "plain") -> str:
     """Tables w{last}, h{last}: the state after epoch ``last``. A keyed recursion
     holds one vector per id; each round makes the updates whose user and item
@@ -381,6 +397,16 @@ SELECT x.event_id, coalesce(place <= 1000, false) AS in_test FROM x LEFT JOIN c
     "semi_filtered_test": _with(RATINGS, SPLIT, TAGS)
     + 'SELECT event_id, "user", item FROM tags SEMI JOIN train USING ("user") SEMI JOIN (SELECT DISTINCT item FROM train) USING (item)',
     "test_only_items": _with(RAW, TAGS) + 'SELECT DISTINCT "user" FROM raw ANTI JOIN tags USING ("user")',
+    "cold_test_ids": _with(RATINGS)
+    + " UNION ALL ".join(
+        f"""SELECT CAST({percent} AS BIGINT) AS percent, '{side}' AS side, "{side}" AS id, count(*) AS n FROM ratings
+WHERE NOT {hashed} < {percent} AND "{side}" NOT IN (SELECT "{side}" FROM ratings WHERE {hashed} < {percent}) GROUP BY "{side}\""""
+        for percent in (5, 80)
+        for side in ("user", "item")
+        for hashed in ["""(('0x' || substr(md5("user" || ':' || item), 1, 8))::BIGINT % 100)"""]
+    ),
+    "unmapped_ids": _with(RATINGS, DENSE_RATINGS, TAGS)
+    + 'SELECT "user" AS dense, count(*) AS n FROM dense WHERE "user" > (SELECT count(DISTINCT "user") FROM tags) GROUP BY 1',
     "factor_init": _with(RATINGS)
     + "SELECT \"user\", "
     + ", ".join(f"round({start('u', USER, k)}, 8) AS f{k}" for k in range(4))
@@ -457,6 +483,11 @@ FROM ratings JOIN y1 y USING ("user") JOIN x1 x USING (item) JOIN bias USING ("u
         *[sgd(n, step="0.005 * pow(0.9, epoch)") for n in (0, 1, 2)],
     )
     + curve(range(0, 3), rank=4),
+    "dsgd_shuffled": _recursive(
+        RATINGS, SPLIT, DENSE, visits("train", SHUFFLED),
+        *[sgd(n, step="pow(5500 + epoch, -0.8)") for n in range(5)],
+    )
+    + curve(range(0, 5), rank=4),
     "grid_metrics": " UNION ALL ".join(
         f"""SELECT * FROM ({_with(RATINGS, SPLIT, als("train", 2, lam, rank))}
 SELECT 'als' AS model, CAST({rank} AS BIGINT) AS rank, CAST({lam} AS DOUBLE) AS lam, CAST(0.005 AS DOUBLE) AS step,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 from uuid import uuid4
 
@@ -24,7 +25,7 @@ ENOUGH = 30
 GENRE = "widget"
 LAM = 0.1
 GD_LAM, GD_RATE = 0.05, 0.5
-SGD_LAM, SGD_STEP, SGD_BLOCKS = 0.01, 0.005, 4
+SGD_LAM, SGD_STEP, SGD_BLOCKS, SGD_SEED = 0.01, 0.005, 4, 1
 
 
 def query(run: Callable[[Shapes, Workspace], DataFrame]) -> Callable:
@@ -314,6 +315,30 @@ def test_only_items(t: Shapes, work: Workspace) -> DataFrame:
     return split.ids_only_in(t.rating_events, t.tags, "user")
 
 
+@query
+def cold_test_ids(t: Shapes, work: Workspace) -> DataFrame:
+    """Users and items with test ratings that a split leaves without a train
+    rating, for a small and the usual train share, and their ratings."""
+    found = []
+    for percent in (5, 80):
+        parts = work.write(split.hash_split(t.ratings.select("user", "item", "rating"), percent), f"split-{percent}")
+        train, test = parts.where("in_train"), parts.where("not in_train")
+        for key in ("user", "item"):
+            cold = work.write(split.ids_only_in(test, train, key), f"cold-{key}-{percent}")
+            counts = test.join(cold, key, "left_semi").groupBy(F.col(key).alias("id")).agg(F.count("*").alias("n"))
+            found.append(counts.select(F.lit(percent).cast("bigint").alias("percent"), F.lit(key).alias("side"), "id", "n"))
+    return functools.reduce(DataFrame.unionByName, found)
+
+
+@query
+def unmapped_ids(t: Shapes, work: Workspace) -> DataFrame:
+    """Dense ids of raters that have no raw id among the event users, with their ratings."""
+    dense, _, _ = training.preprocess(t.ratings.select("user", "item", "rating"), work)
+    known, _ = index.dense_ids(t.tags, "user", work)
+    per_user = dense.groupBy("user").agg(F.count("*").alias("n")).withColumn("dense", F.col("user"))
+    return index.to_raw(per_user, "user", known).where("user is null").select("dense", "n")
+
+
 # --- factors --------------------------------------------------------------------
 
 
@@ -530,6 +555,16 @@ def dsgd_curve(t: Shapes, work: Workspace) -> DataFrame:
     return rounded(als.curve_table(t.spark, curve), 6, "train_rmse", "test_rmse")
 
 
+@query
+def dsgd_shuffled(t: Shapes, work: Workspace) -> DataFrame:
+    """Errors as strata are visited one an iteration in a shuffled order, with power-law steps."""
+    train, test = _train_test(t, work)
+    _, curve = dsgd.train_dsgd(
+        train, 4, SGD_BLOCKS, SGD_LAM, dsgd.power_law(), work, test, SGD_BLOCKS, strata_per_iteration=1, seed=SGD_SEED
+    )
+    return rounded(als.curve_table(t.spark, curve), 6, "train_rmse", "test_rmse")
+
+
 @query
 def grid_metrics(t: Shapes, work: Workspace) -> DataFrame:
     """Two models on one split, one row per setting."""
