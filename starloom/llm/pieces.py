@@ -233,13 +233,12 @@ class Transducer:
             here = cost[j]
             if here == inf:
                 continue
-            before, arcs, i = last[j], start, j
-            for char in part[j:]:
-                state = arcs.get(char)
+            before, arcs = last[j], start
+            for i in range(j + 1, n + 1):
+                state = arcs.get(part[i - 1])
                 if state is None:
                     break
                 arcs, weight, piece = state
-                i += 1
                 if here + weight < cost[i]:
                     if before < 0 or self.may_follow(before, piece):
                         cost[i], last[i], back[i] = here + weight, piece, j
