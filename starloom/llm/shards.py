@@ -5,22 +5,26 @@ its place on the Hilbert curve through that grid, and rows in curve order are
 cut into shards of equal row counts (law ``rows``). Neighbours on the curve are
 close in all dimensions, so each shard spans a small range of every one.
 
-Only keys and sizes are shuffled. Quantiles are a few numbers per dimension.
+Only keys and sizes are shuffled. Quantiles are a few numbers per dimension, of
+text dimensions a few whole values, found from the counts of distinct ones.
 
 Defined results: a null counts as the lowest step; a null text has 0 bytes; rows
-with equal keys, repeated rows included, lie side by side in any order; an
+with equal keys, repeated rows included, lie side by side in any order; columns
+named like a result give way to it; an
 empty table gives no rows; with fewer rows than shards the last shards are empty.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Sequence
 from functools import partial, reduce
+from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from starloom.llm.common import let
+from starloom.llm.common import free_name, let
 from starloom.operators.index import with_index
 from starloom.sources.workspace import Workspace
 
@@ -71,12 +75,27 @@ def hilbert_index(steps: Sequence[Column], bits: int) -> Column:
     return let(let(column, turned), woven)
 
 
-def _scale(df: DataFrame, name: str) -> Column:
-    """A number that orders the column's values; text by its first seven bytes."""
-    if dict(df.dtypes)[name] == "string":
-        head = F.rpad(F.hex(F.substring(F.col(name).cast("binary"), 1, 7)), 14, "0")
-        return F.conv(head, 16, 10).cast("double")
-    return F.col(name).cast("double")
+def text_cuts(rows: DataFrame, column: str, parts: int, work: Workspace) -> list[str]:
+    """The values at the quantiles k / parts of a text column, exact, nulls aside.
+
+    Distinct values are counted, sorted in ranges and their counts cumulated
+    within each; the driver holds one count per range and ``parts`` values.
+    """
+    value = F.col(column)
+    counts = rows.filter(value.isNotNull()).groupBy(value.alias("value")).agg(F.count("*").alias("n"))
+    ordered = counts.repartitionByRange("value").withColumn("part", F.spark_partition_id())
+    ordered = work.write(ordered, f"values-{column}")
+    sizes = sorted((r["part"], r["n"]) for r in ordered.groupBy("part").agg(F.sum("n").alias("n")).collect())
+    total = sum(n for _, n in sizes)
+    if not total:
+        return []
+    before = list(accumulate((n for _, n in sizes), initial=0))
+    starts = rows.sparkSession.createDataFrame([(p, b) for (p, _), b in zip(sizes, before)], "part int, before bigint")
+    upto = F.sum("n").over(Window.partitionBy("part").orderBy("value").rowsBetween(Window.unboundedPreceding, 0))
+    reached = ordered.withColumn("upto", upto).join(F.broadcast(starts), "part")  # one row per range
+    level = F.floor((F.col("upto") + F.col("before")) * parts / F.lit(total)).cast("int")
+    firsts = reached.groupBy(level.alias("level")).agg(F.min("value").alias("value")).collect()
+    return [min(r["value"] for r in firsts if r["level"] >= k) for k in range(1, parts)]
 
 
 def place(
@@ -94,14 +113,19 @@ def place(
     text = F.coalesce(F.col("text"), F.lit(""))
     size = (F.octet_length(text) + ROW_BYTES).cast("bigint")
     rows = docs.withColumns({"size": size, "text_crc32": F.crc32(text.cast("binary"))})
-    axes = [f"axis_{k}" for k in range(len(dimensions))]
-    scaled = [_scale(rows, d).alias(a) for a, d in zip(axes, dimensions)]
+    axes = [free_name(docs, f"axis_{k}") for k in range(len(dimensions))]
+    kinds = dict(rows.dtypes)
+    scaled = [F.col(d).cast("string" if kinds[d] == "string" else "double").alias(a) for a, d in zip(axes, dimensions)]
     rows = work.write(rows.select(*keep, "size", "text_crc32", *scaled), "keys")
     parts = 1 << bits
     at = F.array(*[F.lit(k / parts) for k in range(1, parts)])
-    cuts = rows.agg(*[F.percentile_approx(a, at, 10000).alias(a) for a in axes]).first()
+    texts = [a for a, d in zip(axes, dimensions) if kinds[d] == "string"]
+    numbers = [F.percentile_approx(a, at, 10000).alias(a) for a in axes if a not in texts]
+    cuts = rows.agg(F.lit(0).alias("none_"), *numbers).first().asDict() | {a: text_cuts(rows, a, parts, work) for a in texts}
+    # A value on many rows takes as many steps as quantiles, so all dimensions span the grid.
     steps = [
-        reduce(lambda total, cut: total + (F.col(a) > cut).cast("int"), sorted(set(cuts[a] or [])), F.lit(0)) for a in axes
+        reduce(lambda total, cut: total + F.when(F.col(a) > cut[0], cut[1]).otherwise(0), sorted(Counter(cuts[a] or []).items()), F.lit(0))
+        for a in axes
     ]
     steps = [F.coalesce(s, F.lit(0)) for s in steps]
     curved = rows.select(*keep, "size", "text_crc32", hilbert_index(steps, bits).alias("curve"))

@@ -1,5 +1,6 @@
 """The dealt operators on odd tables and against brute force."""
 
+import glob
 import math
 import re
 import zlib
@@ -145,13 +146,52 @@ def test_ranks_round_trip():
 
 
 def test_shards(docs, none, work, spark):
-    placed = shards.place(odd(docs).drop("size", "shard"), work, shards=5).toPandas()
+    placed = shards.place(odd(docs), work, shards=5).toPandas()
     sizes = placed.groupby("shard").slot.agg(["count", "max", "min"])
-    assert len(placed) == len(ROWS) and sizes["count"].max() - sizes["count"].min() <= 1
-    assert (sizes["min"] == 0).all() and (sizes["max"] + 1 == sizes["count"]).all()
+    assert sizes["count"].max() - sizes["count"].min() <= 1
+    assert (sizes["max"] + 1 == sizes["count"]).all() and (sizes["min"] == 0).all()
+    want = Counter((r[0] or -1, len((r[1] or "").encode()) + 16, zlib.crc32((r[1] or "").encode())) for r in ROWS)
+    assert Counter(zip(placed.doc_id.fillna(-1).astype(int), placed["size"], placed.text_crc32)) == want
     assert shards.place(none, shards.Workspace(spark, "none")).count() == 0
 
 
+def test_text_steps_are_quantiles_of_whole_values(spark, work):
+    values = ["https://example/" + x for x in "abcdefgh" for _ in range(4)] + ["https://example/zz"] * 32 + [None] * 8
+    table = spark.createDataFrame([(v,) for v in values], "v string")
+    real = sorted(v for v in values if v)
+    want = [real[-(-k * len(real) // 8) - 1] for k in range(1, 8)]
+    assert shards.text_cuts(table, "v", 8, work) == want
+    assert shards.text_cuts(table.limit(0), "v", 8, shards.Workspace(spark, "none")) == []
+
+
+def test_shards_are_skipped_by_any_dimension(spark, work):
+    """Names that share their first letters, one of them on a third of the rows."""
+    import pyarrow.parquet as pq
+
+    random = np.random.default_rng(8)
+    rows = []
+    for i in range(4000):
+        name = 0 if random.random() < 1 / 3 else int(random.integers(1, 16))
+        rows.append((i, "x" * int(random.integers(1, 2000)), str(random.choice(["de", "en", "fr", "it"])), f"https://host/{name:02d}", 1))
+    path = work.path("files")
+    shards.write_shards(shards.place(spark.createDataFrame(rows, DOC), work, keep=("doc_id", "source", "lang")), path)
+    files = glob.glob(f"{path.removeprefix('file:')}/*/*.parquet")
+
+    def read(column, least, most):
+        """How many files a filter on a range of the column has to open, by the figures in their footers."""
+        hit = 0
+        for f in files:
+            meta = pq.read_metadata(f)
+            place = meta.schema.names.index(column)
+            ranges = [meta.row_group(g).column(place).statistics for g in range(meta.num_row_groups)]
+            hit += min(r.min for r in ranges) <= most and max(r.max for r in ranges) >= least
+        return hit
+
+    assert len(files) >= 40
+    for column, least, most in (("source", "https://host/07", "https://host/07"), ("lang", "de", "de"), ("size", 16, 200)):
+        assert read(column, least, most) <= 0.6 * len(files), column
+
+
 def test_hilbert_steps_are_neighbours(spark):
     from pyspark.sql import functions as F
 
@@ -272,6 +312,75 @@ def test_language(docs, none, work, spark):
     assert {r["pred"] for r in language.identify(unlabelled, language.Workspace(spark, "no")).collect()} == {"und"}
 
 
+def direct_entropies(learned, text):
+    """Interpolated Kneser-Ney by its definition: bits per letter of ``text`` in each language."""
+    grams = {}
+    for lang, own in learned:
+        for run in re.findall(r"[^\W\d_]+", own.lower()):
+            run = "\x02" * 3 + run + "\x03"
+            grams.setdefault(lang, Counter()).update(run[i - 3 : i + 1] for i in range(3, len(run)))
+    orders = {}
+    for lang, four in grams.items():
+        orders[lang] = {4: four}
+        for o in (3, 2, 1):
+            orders[lang][o] = Counter(g[1:] for g in orders[lang][o + 1])
+    kinds = max(len(x[1]) for x in orders.values()) + 1
+    out = {}
+    for lang, by in orders.items():
+        off = {}
+        for o, c in by.items():
+            n1, n2 = sum(v == 1 for v in c.values()), sum(v == 2 for v in c.values())
+            off[o] = (n1 / (n1 + 2 * n2) if n1 else 0) or 0.5
+
+        def p(g, o):
+            if o == 0:
+                return 1 / kinds
+            same = [v for k, v in by[o].items() if k[:-1] == g[:-1]]
+            if not same:
+                return p(g[1:], o - 1)
+            return (by[o][g] - off[o] if g in by[o] else 0) / sum(same) + off[o] * len(same) / sum(same) * p(g[1:], o - 1)
+
+        bits = []
+        for run in re.findall(r"[^\W\d_]+", text.lower()):
+            run = "\x02" * 3 + run + "\x03"
+            bits += [-np.log2(p(run[i - 3 : i + 1], 4)) for i in range(3, len(run))]
+        out[lang] = sum(bits) / len(bits)
+    return out
+
+
+@pytest.mark.parametrize("cells", [None, 0, 40])
+def test_entropies_equal_the_definition(spark, work, monkeypatch, cells):
+    """All groups count, the once-met ones too; models that go to no task give the same figures."""
+    if cells is not None:
+        monkeypatch.setattr(language, "CELLS", cells)
+    learned = [("aa", "the cat sat on the mat"), ("aa", "that hat"), ("bb", "le chat est sur la table la"), ("cc", "αβγ βα the")]
+    texts = ["the hat sat", "le chat, la table!", "αβγ", "zz the qqq", "the " * 50 + "mat mat", "12", None, "", "e" * 300]
+    rows = [(i, t, None, "own", "own") for i, t in enumerate([*texts, texts[0]])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, Pred string, row_number_ string")
+    trained = language.train(spark.createDataFrame(learned, "lang string, text string"), work)
+    found = {r["doc_id"]: r for r in language.scored(docs, trained, language.Workspace(spark, "score")).collect()}
+    assert len(found) == len(rows)
+    for i, text, *_ in rows:
+        got = found[i]
+        if i in (5, 6, 7):
+            assert (got["pred"], got["score"], got["entropy"], got["n_letters"]) == ("und", 0, None, 0)
+            continue
+        want = direct_entropies(learned, text)
+        low = min(want.values())
+        assert got["pred"] == min(want, key=want.get) and got["entropy"] == pytest.approx(low, rel=1e-5)
+        assert got["score"] == pytest.approx(1 / sum(2 ** (low - x) for x in want.values()), rel=1e-4)
+        assert got["n_letters"] == sum(len(r) + 1 for r in re.findall(r"[^\W\d_]+", text)) and got["row_number_"] == "own"
+
+
+def test_models_of_any_size_give_the_same_languages(docs, spark, monkeypatch):
+    small = {r["doc_id"]: r for r in language.identify(docs, language.Workspace(spark, "small")).collect()}
+    monkeypatch.setattr(language, "CELLS", 0)
+    large = {r["doc_id"]: r for r in language.identify(odd(docs), language.Workspace(spark, "large")).collect()}
+    for i, r in small.items():
+        assert large[i]["pred"] == r["pred"] and large[i]["rejected"] == r["rejected"] and large[i]["k"] == "own"
+        assert large[i]["score"] == pytest.approx(r["score"], rel=1e-4) and large[i]["n_letters"] == r["n_letters"]
+
+
 def test_rejects_noise(spark, work):
     rng = np.random.default_rng(4)
     rows = [(i, " ".join(rng.choice(["the", "cat", "sat", "mat", "rat", "hat"], 60)), "en", "s", 1) for i in range(80)]
