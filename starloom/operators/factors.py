@@ -51,8 +51,8 @@ def with_both(ratings: DataFrame, users: DataFrame, items: DataFrame, last: str
 
     No hints: factor tables are stored tables, so the planner knows their size
     and broadcasts them only while they are small. ``last`` names the key of
-    the second join: an aggregate by the other key then starts with a shuffle
-    of partial sums, and a very busy id is never bound to one task.
+    the second join: its shuffle also serves an aggregate by that key, unless
+    a very busy id is split there; its partial sums are then shuffled.
     """
     w = users.select("user", F.col("f").alias("w"))
     h = items.select("item", F.col("f").alias("h"))

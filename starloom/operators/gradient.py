@@ -11,6 +11,10 @@ from starloom.operators.als import OTHER
 from starloom.operators.factors import frobenius, start_factors, with_both
 from starloom.sources.workspace import Workspace
 
+# Ratings per bucket of a stored layout.
+BUCKET_ROWS = 1_000_000
+MAX_BUCKETS = 100_000
+
 
 def biases(ratings: DataFrame, by: str = "user") -> DataFrame:
     return ratings.groupBy(by).agg(F.avg("rating").alias("bias"))
@@ -18,17 +22,48 @@ def biases(ratings: DataFrame, by: str = "user") -> DataFrame:
 
 def centred(ratings: DataFrame, work: Workspace, by: str = "user") -> DataFrame:
     """Ratings minus the mean of their user (or item). The means are stored
-    first: a join of two plain shuffles can split a very busy user."""
+    first: a join of two plain shuffles can split a very busy user. ``ratings``
+    are read twice, so they should be stored."""
     with_bias = ratings.join(work.write(biases(ratings, by), "biases"), by)
     return with_bias.withColumn("rating", F.col("rating") - F.col("bias")).select(*ratings.columns)
 
 
+class CentredRatings:
+    """Centred ratings stored by the ids of each side, in buckets.
+
+    The gradient of one side takes the ratings laid out by the other one: its
+    vectors join them in place, and one shuffle by the own side brings the
+    ratings to their sums. The given ratings are evaluated once.
+    """
+
+    def __init__(self, ratings: DataFrame, work: Workspace, by: str = "user"):
+        self.work = work
+        given = work.write(ratings.select("user", "item", "rating"), "given")
+        cores = work.spark.sparkContext.defaultParallelism
+        self.buckets = min(max(-(-given.count() // BUCKET_ROWS), cores), MAX_BUCKETS)
+        self.rated = work.write_bucketed(given, "rated", by, self.buckets)
+        work.discard("given")
+        # Each bucket is centred where it lies.
+        first = work.write_bucketed(centred(self.rated, work, by), f"centred-{by}", by, self.buckets, placed=True)
+        self.n, self.sides = first.count(), {by: first}
+
+    def by(self, key: str) -> DataFrame:
+        """The ratings in buckets of one side's ids."""
+        if key not in self.sides:
+            self.sides[key] = self.work.write_bucketed(self.sides[OTHER[key]], f"centred-{key}", key, self.buckets)
+        return self.sides[key]
+
+    def step(self, users: DataFrame, items: DataFrame, key: str, rank: int, lam: float, rate: float) -> DataFrame:
+        return gradient_step(self.by(OTHER[key]), users, items, key, rank, lam, rate, self.n)
+
+
 def gradient_sums(ratings: DataFrame, users: DataFrame, items: DataFrame, key: str, rank: int) -> DataFrame:
-    """Per id of one side what its gradient adds up, and its squared errors: one join."""
+    """Per id of one side what its gradient adds up, and its squared errors: one
+    join, whose last shuffle is by that side and serves the sums, too."""
     theirs = "h" if key == "user" else "w"
     error = F.col("rating") - dot(F.col("w"), F.col("h"), rank)
     pull = [F.sum(error * F.col(theirs)[a]).alias(f"g{a}") for a in range(rank)]
-    return with_both(ratings, users, items, last=OTHER[key]).groupBy(key).agg(*pull, F.sum(error * error).alias("sse"))
+    return with_both(ratings, users, items, last=key).groupBy(key).agg(*pull, F.sum(error * error).alias("sse"))
 
 
 def moved(current: DataFrame, sums: DataFrame, key: str, rank: int, lam: float, rate: float, n_ratings: int) -> DataFrame:
@@ -80,11 +115,13 @@ def predict_with_bias(
 ) -> DataFrame:
     """Clipped prediction for pairs: product plus the bias, within the rating range."""
     score = dot(F.col("w"), F.col("h"), rank) + F.coalesce("bias", F.lit(0.0))
-    return (
-        with_both(pairs, users, items)
-        .join(bias, by, "left")
-        .select(*pairs.columns, clip_rating(score).alias("score"))
-    )
+    w, h = users.select("user", F.col("f").alias("w")), items.select("item", F.col("f").alias("h"))
+    # The bias travels with the vector of its side: no join of all pairs for it alone.
+    if by == "user":
+        w = w.join(bias, by, "left")
+    else:
+        h = h.join(bias, by, "left")
+    return pairs.join(w, "user").join(h, "item").select(*pairs.columns, clip_rating(score).alias("score"))
 
 
 def train_gradient(
@@ -101,21 +138,21 @@ def train_gradient(
     ``print_every`` iterations."""
     if iterations < 1:
         raise ValueError("iterations must be at least 1")
-    data = work.write(centred(ratings.select("user", "item", "rating"), work, by), "centred")
-    n = data.count()
-    factors = {key: work.write(start_factors(data, key, rank), f"{key}-0") for key in OTHER}
+    data = CentredRatings(ratings, work, by)
+    n = data.n
+    factors = {key: work.write(start_factors(data.by(key), key, rank), f"{key}-0") for key in OTHER}
     log = []
 
     def item_sums(iteration: int) -> DataFrame:
         """The sums of the next item step; their squared errors are the loss so far."""
-        sums = gradient_sums(data, factors["user"], factors["item"], "item", rank)
+        sums = gradient_sums(data.by("user"), factors["user"], factors["item"], "item", rank)
         return work.write(sums, f"sums-{iteration}")
 
     sums = item_sums(0)
     for iteration in range(1, iterations + 1):
         step = moved(factors["item"], sums, "item", rank, lam, rate, n)
         factors["item"] = work.write(step, f"item-{iteration}")
-        step = gradient_step(data, factors["user"], factors["item"], "user", rank, lam, rate, n)
+        step = data.step(factors["user"], factors["item"], "user", rank, lam, rate)
         factors["user"] = work.write(step, f"user-{iteration}")
         for old in (f"item-{iteration - 1}", f"user-{iteration - 1}", f"sums-{iteration - 1}"):
             work.discard(old)

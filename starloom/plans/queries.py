@@ -457,16 +457,15 @@ def pair_errors(t: Shapes, work: Workspace) -> DataFrame:
 
 @query
 def centred_ratings(t: Shapes, work: Workspace) -> DataFrame:
-    by_user = gradient.centred(t.ratings.select("user", "item", "rating"), work)
+    by_user = gradient.centred(work.write(t.ratings.select("user", "item", "rating"), "ratings"), work)
     return rounded(by_user, 6, "rating")
 
 
 def _gd(t: Shapes, work: Workspace, steps: tuple[str, ...]):
-    data = work.write(gradient.centred(t.ratings.select("user", "item", "rating"), work), "centred")
-    n = data.count()
-    current = {k: work.write(factors.start_factors(data, k, 2), f"{k}-0") for k in ("user", "item")}
+    data = gradient.CentredRatings(t.ratings, work)
+    current = {k: work.write(factors.start_factors(data.by("user"), k, 2), f"{k}-0") for k in ("user", "item")}
     for key in steps:
-        moved = gradient.gradient_step(data, current["user"], current["item"], key, 2, GD_LAM, GD_RATE, n)
+        moved = data.step(current["user"], current["item"], key, 2, GD_LAM, GD_RATE)
         current[key] = work.write(moved, f"{key}-1")
     return data, current
 
@@ -484,15 +483,14 @@ def gd_user_step(t: Shapes, work: Workspace) -> DataFrame:
 @query
 def gd_loss(t: Shapes, work: Workspace) -> DataFrame:
     data, current = _gd(t, work, ("item", "user"))
-    return rounded(gradient.loss(data, current["user"], current["item"], 2, GD_LAM), 6, "loss")
+    return rounded(gradient.loss(data.by("user"), current["user"], current["item"], 2, GD_LAM), 6, "loss")
 
 
 @query
 def gd_predict(t: Shapes, work: Workspace) -> DataFrame:
-    _, current = _gd(t, work, ("item", "user"))
-    stored = t.ratings.select("user", "item", "rating")
+    data, current = _gd(t, work, ("item", "user"))
     predicted = gradient.predict_with_bias(
-        stored.select("user", "item"), current["user"], current["item"], gradient.biases(stored), 2
+        data.rated.select("user", "item"), current["user"], current["item"], gradient.biases(data.rated), 2
     )
     return rounded(predicted, 4, "score")
 

@@ -49,12 +49,13 @@ class Workspace:
     def read(self, like: DataFrame, name: str) -> DataFrame:
         return self.spark.read.schema(like.schema).parquet(self.path(name))
 
-    def write_bucketed(self, df: DataFrame, name: str, column: str, buckets: int) -> DataFrame:
+    def write_bucketed(self, df: DataFrame, name: str, column: str, buckets: int, placed: bool = False) -> DataFrame:
         """Write ``df`` as a table bucketed by ``column``, one file per bucket:
-        later joins and groupings by that column need no shuffle."""
+        later joins and groupings by that column need no shuffle. ``placed``
+        rows come from such a table and are not shuffled."""
         table = f"starloom_{uuid.uuid4().hex}"
         (
-            df.repartition(buckets, column)
+            (df if placed else df.repartition(buckets, column))
             .write.mode("overwrite")
             .bucketBy(buckets, column)
             .option("path", self.path(name))
