@@ -1,9 +1,13 @@
 """Steps whose shuffles, memory or tasks must not grow faster than their input."""
 
+import math
+
 import pytest
 from pyspark.sql import functions as F
 
-from starloom.operators import factors, gradient
+from starloom.operators import als, content, factors, gradient
+from starloom.sources import readers
+from starloom.sources.workspace import Workspace
 
 
 def pairs(n=400):
@@ -71,3 +75,44 @@ def test_bias_travels_with_a_vector(spark, work, rating_table, no_broadcast, by)
     shift = {"user": lambda u, i: 3.0 if u == 1 else 0.0, "item": lambda u, i: {1: 4.0, 2: 2.0}[i]}[by]
     vector = {1: 0.5, 2: 9.0, 3: 1.0}
     assert got == {(u, i): min(max(vector[u] + shift(u, i), 0.5), 5.0) for u, i in [(1, 1), (1, 2), (2, 1), (2, 2), (3, 1)]}
+
+
+def test_cells_hold_a_bounded_number_of_ratings(spark, work):
+    table = spark.range(3_000_000).select(
+        (F.col("id") % 50_021).alias("user"), (F.col("id") % 7_919).alias("item"), F.lit(1.0).alias("rating")
+    )
+    routed = als.RoutedRatings(work.write(table, "table"), "user", work)
+    assert routed.cells.groupBy("cell").count().agg(F.max("count")).first()[0] < 300_000
+
+
+def test_large_pair_files_get_more_tasks(spark, work):
+    spark.range(60).select(F.col("id") + 1, F.col("id") % 7 + 1).repartition(40).write.csv(work.path("pairs"))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "10")
+    try:
+        pairs = readers.read_implicit_pairs(spark, work.path("pairs"), partitions=8)
+        assert pairs.rdd.getNumPartitions() > 40
+        assert sorted(map(tuple, pairs.collect())) == [(i, i % 7) for i in range(60)]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def weights(spark, rows, work):
+    table = spark.createDataFrame(rows, "id long, text string")
+    return {(r["id"], r["token"]): r["weight"] for r in content.tfidf_weights(table, work).collect()}
+
+
+def test_tokens_are_counted_in_their_row(spark, work):
+    texts = work.write(spark.createDataFrame([(1, "red Red nut"), (2, "nut"), (3, ""), (4, None)], "id long, text string"), "texts")
+    got = content.tfidf_weights(texts, work)
+    assert exchanges(got) == 1  # was 2: counts and vectors were shuffled by text
+    red, nut = 2 * (math.log(5 / 2) + 1), math.log(5 / 3) + 1
+    length = math.hypot(red, nut)
+    want = {(1, "red"): red / length, (1, "nut"): nut / length, (2, "nut"): 1.0}
+    assert {(r["id"], r["token"]): r["weight"] for r in got.collect()} == pytest.approx(want)
+
+
+def test_rows_of_one_id_are_one_text(spark, work):
+    rows = [(1, "aa bb"), (1, "aa cc"), (None, "aa"), (None, "bb bb"), (2, "dd"), (3, None)]
+    whole = [(1, "aa bb aa cc"), (None, "aa bb bb"), (2, "dd"), (3, None), (4, ""), (5, "")]
+    got, want = weights(spark, rows, work), weights(spark, whole, Workspace(spark, "whole"))
+    assert got == pytest.approx(want) and (None, "bb") in got
