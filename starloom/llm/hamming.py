@@ -263,22 +263,28 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.filter(F.col("common") * 100 >= (F.col("na") + F.col("nb") - F.col("common")) * percent).select("a", "b")
 
 
+def between_roots(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """(a, b): the roots of the ends of ``pairs`` where they differ; a node without a root is its own."""
+    for end in ("a", "b"):
+        named = roots.select(F.col("node").alias(end), "root")
+        pairs = pairs.join(named, end, "left").withColumn(end, F.coalesce("root", end)).drop("root")
+    return pairs.select("a", "b").filter("a <> b")
+
+
 def across(pairs: DataFrame, roots: DataFrame, sets: DataFrame, percent: int, work: Workspace) -> DataFrame:
     """(a, b), stored: spanning links between the components of each family.
 
     ``pairs`` joined into components are the families. Only those whose members
-    have several roots are looked at.
+    have several roots are looked at: pairs that part roots are joined, root by root.
     """
-    families = components(pairs, work, "families").withColumnRenamed("root", "family")
-    members = families.join(roots, "node", "left").select(
-        "family", F.col("node").alias("v"), F.coalesce("root", "node").alias("label")
-    )
-    sizes = members.join(sets.select("v", "n"), "v").groupBy("family").agg(
-        F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("size"), F.sum("n").alias("total")
-    )
+    families = components(between_roots(pairs, roots), work, "families").withColumnRenamed("root", "family")
+    linked = roots.join(families.withColumnRenamed("node", "root"), "root").select("family", F.col("node").alias("v"), F.col("root").alias("label"))
+    alone = families.join(roots, "node", "left_anti").select("family", F.col("node").alias("v"), F.col("node").alias("label"))
+    members = linked.unionByName(alone)
+    sizes = members.join(sets.select("v", "n"), "v").groupBy("family").agg(F.count("*").alias("size"), F.sum("n").alias("total"))
     few = F.least(F.ceil(F.col("size") / PIECE), F.lit(MANY_PIECES))
     pieces = F.greatest(few, F.ceil(F.col("size") / LARGE_PIECE), F.ceil(F.col("total") / PIECE_VALUES)).cast("bigint")
-    undecided = work.write(sizes.filter("low <> high").select("family", pieces.alias("pieces")), "undecided")
+    undecided = work.write(sizes.select("family", pieces.alias("pieces")), "undecided")
     piece = F.pmod(F.xxhash64("v"), F.col("pieces"))
     cells = F.transform(
         F.sequence(F.lit(0).cast("bigint"), F.col("pieces") - 1),
@@ -341,8 +347,10 @@ def rooted(docs: DataFrame, work: Workspace, width: int = WIDTH, percent: int =
     roots = components(links, work, "roots")
     more = across(pairs, roots, sets, percent, work)
     if not more.isEmpty():
-        stars = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
-        roots = components(stars.unionByName(more), work, "all-roots")
+        tops = components(between_roots(more, roots), work, "all-roots")
+        moved = roots.join(tops.select(F.col("node").alias("root"), F.col("root").alias("top")), "root", "left")
+        alone = tops.join(roots, "node", "left_anti").select("node", "root")
+        roots = moved.select("node", F.coalesce("top", "root").alias("root")).unionByName(alone)
     tree = nodes.select("v", "node", "doc_id").join(roots.withColumnRenamed("node", "v"), "v", "left")
     tree = tree.withColumn("root", F.coalesce("root", "v"))
     names = tree.groupBy("root").agg(F.min("doc_id").alias("component_id"))
