@@ -5,7 +5,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from starloom.operators import als, content, factors, gradient
+from starloom.operators import als, content, dsgd, factors, gradient
 from starloom.sources import readers
 from starloom.sources.workspace import Workspace
 
@@ -116,3 +116,34 @@ def test_rows_of_one_id_are_one_text(spark, work):
     whole = [(1, "aa bb aa cc"), (None, "aa bb bb"), (2, "dd"), (3, None), (4, ""), (5, "")]
     got, want = weights(spark, rows, work), weights(spark, whole, Workspace(spark, "whole"))
     assert got == pytest.approx(want) and (None, "bb") in got
+
+
+def test_dsgd_moves_ratings_in_packs(spark, rating_table, monkeypatch):
+    rows = sorted(set(pairs()))
+    table, found = rating_table(rows), []
+    for size, ids in ((1 << 15, 1 << 13), (7, 3)):
+        monkeypatch.setattr(dsgd, "PACK", size)
+        monkeypatch.setattr(dsgd, "PACK_IDS", ids)
+        run = dsgd.DsgdRun(table, 2, 0.05, Workspace(spark, "packs"), 2, variant="weighted", more=[(3, 0.1)])
+        assert run.packs.count() <= -(-len(rows) // size) + 4  # whole packs and the last of each of four blocks
+        assert run.user.count() <= -(-run.n["user"] // ids) + 2
+        assert run.laid.select("user", "item", "rating").subtract(run.train.select("user", "item", "rating")).isEmpty()
+        sse, n = run.epoch([0.02, 0.03])
+        assert n == len(rows) == run.laid.count()
+        vectors = [{r[key]: list(r["f"]) for r in run.factors(key, m).collect()} for key in ("user", "item") for m in (0, 1)]
+        found.append((sse, *run.rmses(run.packs), *run.rmses(run.train)))
+        for m in (0, 1):
+            w, h = vectors[m], vectors[2 + m]
+            errors = [(r - sum(a * b for a, b in zip(w[u], h[i]))) ** 2 for u, i, r in rows]
+            assert found[-1][1 + m] == pytest.approx(math.sqrt(sum(errors) / len(errors)))
+    assert found[0] == pytest.approx(found[1])
+
+
+def test_dsgd_errors_leave_out_null_ratings(spark, work):
+    schema = "user bigint, item bigint, rating double, ts bigint"
+    train = spark.createDataFrame([(u, i, 3.0, 0) for u in range(4) for i in range(4)], schema)
+    run = dsgd.DsgdRun(train, 2, 0.05, work, 2)
+    test = [(1, 1, 4.0, 0), (1, 2, None, 0), (2, 2, 1.0, 0)]
+    known = run.rmse(run.dense(spark.createDataFrame([r for r in test if r[2] is not None], schema)))
+    assert run.rmse(run.dense(spark.createDataFrame(test, schema))) == pytest.approx(known)
+    assert run.rmse(run.dense(spark.createDataFrame([], schema))) is None
