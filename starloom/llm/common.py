@@ -174,7 +174,7 @@ class WordEncoder:
     LIMIT = 250_000
     RUN = 1000
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, limit: int | None = None):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -184,19 +184,50 @@ class WordEncoder:
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
-        self.known = Recent(self.LIMIT)
+        self.known = Recent(limit or self.LIMIT)
+        self.parting = self._parting_word(vocabulary)
+        give_back()  # what reading the vocabulary took
 
     @classmethod
-    def at(cls, path: str) -> "WordEncoder":
-        """This worker's encoder for a vocabulary file."""
+    def at(cls, path: str, limit: int | None = None) -> "WordEncoder":
+        """This worker's encoder for a vocabulary file, which remembers twice ``limit`` words."""
         if path not in _ENCODERS:
-            _ENCODERS[path] = cls(path)
-        return _ENCODERS[path]
+            _ENCODERS[path] = cls(path, limit)
+        encoder = _ENCODERS[path]
+        if encoder.known.limit != (limit or cls.LIMIT):
+            encoder.known = Recent(limit or cls.LIMIT)
+        return encoder
+
+    def _parting_word(self, vocabulary: dict[str, int]) -> tuple[str, int] | None:
+        """The rarest word of plain letters that is one token, and its id."""
+        words = ((t[:-4], i) for t, i in vocabulary.items() if t.endswith("</w>") and t[:-4].isascii() and t[:-4].isalpha())
+        for word, i in sorted(words, key=lambda x: -x[1])[:100]:
+            if self.tokenizer.encode(word, add_special_tokens=False).ids == [i]:
+                return word, i
+        return None
 
     def _one_by_one(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, "<u4").tobytes() for x in found]
 
+    def _parted(self, words: list[str]) -> list[bytes]:
+        """Words of any kind, many at a time: one rare word stands between them,
+        and the count of its id confirms that none of them holds it."""
+        if self.parting is None:
+            return self._one_by_one(words)
+        (between, i), values = self.parting, []
+        for at in range(0, len(words), self.RUN):
+            run = words[at : at + self.RUN]
+            text = f" {between} ".join(run)
+            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+            cuts = np.flatnonzero(ids == i)
+            if len(cuts) == len(run) - 1:
+                raw, starts, ends = ids.tobytes(), [0, *(4 * cuts + 4).tolist()], [*(4 * cuts).tolist(), 4 * len(ids)]
+                values += [raw[a:b] for a, b in zip(starts, ends)]
+            else:
+                values += self._one_by_one(run)
+        return values
+
     def _make(self, new: list[str]) -> list[bytes]:
         """Runs of letters are encoded many at a time: each is one word of the
         vocabulary's splitter and ends in one word-end token, which the count
@@ -212,7 +243,7 @@ class WordEncoder:
                 values += [raw[i:j] for i, j in pairwise(b)]
             else:
                 values += self._one_by_one(run)
-        others = iter(self._one_by_one([w for w, plain in zip(new, letters) if not plain]))
+        others = iter(self._parted([w for w, plain in zip(new, letters) if not plain]))
         plain = iter(values)
         return [next(plain) if x else next(others) for x in letters]
 
@@ -241,6 +272,13 @@ def small_batches(batches: Iterable[pa.RecordBatch], column: str, most: int = 1
                 yield batch.slice(a, b - a)
 
 
+def forget_words() -> None:
+    """Drop the encoders of former stages from this worker, which stays for later ones."""
+    if _ENCODERS:
+        _ENCODERS.clear()
+        give_back()
+
+
 def frugal(work: Callable[..., Iterator]) -> Callable[..., Iterator]:
     """``work`` over batches; what it held goes back to the system when its task ends.
 

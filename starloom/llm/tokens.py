@@ -112,13 +112,12 @@ def frequency_ranks(encoded: DataFrame, work: Workspace) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for batch in batches:
-            for raw, n in zip(batch.column("ids"), batch.column("n_tokens").to_pylist()):
-                found = np.bincount(_numbers(raw.as_buffer(), n))
-                if len(found) > len(total):
-                    found[: len(total)] += total
-                    total = found
-                else:
-                    total[: len(found)] += found
+            found = np.bincount(_all_numbers(batch.column("ids"), batch.column("n_tokens")))
+            if len(found) > len(total):
+                found[: len(total)] += total
+                total = found
+            else:
+                total[: len(found)] += found
         some = np.flatnonzero(total)
         yield pa.record_batch([pa.array(some), pa.array(total[some])], names=["id", "n"])
 
@@ -134,6 +133,16 @@ def _numbers(raw: pa.Buffer, n: int) -> np.ndarray:
     return np.frombuffer(raw, "<u2" if raw.size == 2 * n else "<u4")
 
 
+def _all_numbers(ids: pa.BinaryArray, counts: pa.Array) -> np.ndarray:
+    """The ids of all rows, which lie end to end in the column; all have one width."""
+    if not len(ids):
+        return np.zeros(0, "<u2")
+    kind = "<i8" if pa.types.is_large_binary(ids.type) else "<i4"
+    bounds = np.frombuffer(ids.buffers()[1], kind)[ids.offset : ids.offset + len(ids) + 1]
+    raw = ids.buffers()[2].slice(int(bounds[0]), int(bounds[-1] - bounds[0]))
+    return _numbers(raw, int(np.sum(counts.to_numpy())))
+
+
 def write_files(docs: DataFrame, vocabulary: str, work: Workspace, name: str = "files", end_id: int = END_ID) -> tuple[str, str]:
     """Encode ``docs`` into files below ``work``; the paths of the files and of the ranks."""
     encoded = encode(docs, vocabulary, work, end_id)

@@ -580,3 +580,34 @@ def test_exact_links_with_extra_columns(spark, work, monkeypatch):
     found = neighbours.groups(table, neighbours.Workspace(spark, "searched")).toPandas().set_index("vec_id").loc[range(len(units))]
     assert (found.n_links <= true).all() and found.n_links.sum() >= 0.99 * true.sum()
     assert (found.component_id == whole.component_id).all()
+
+
+def test_odd_words_are_encoded_many_at_a_time():
+    encoder = WordEncoder(VOCABULARY)
+    between = encoder.parting[0]
+    odd = [f"{i}-x" for i in range(500)] + ["it's", "\u0301a", "a\u00a0b", "<|endoftext|>", "\u0130.", "###", "\U0001f600", "1" + between]
+    plain = [w for w in odd if between not in w]
+    want = [np.array(encoder.tokenizer.encode(w, add_special_tokens=False).ids, "<u4").tobytes() for w in odd]
+    calls, library = [], encoder.tokenizer
+
+    class Counted:
+        def encode_batch_fast(self, texts, **kind):
+            calls.append(len(texts))
+            return library.encode_batch_fast(texts, **kind)
+
+    encoder.tokenizer = Counted()
+    assert encoder._make(plain) == want[: len(plain)] and sum(calls) <= 3
+    assert encoder._make(odd) == want  # a word that holds the parting word is told by the count
+
+
+def test_ids_are_counted_a_batch_at_a_time(spark, work, monkeypatch):
+    docs = spark.createDataFrame([(i, "one two, two " * (i % 5)) for i in range(300)], "doc_id long, text string")
+    encoded = tokens.encode(docs.coalesce(1), VOCABULARY, work)
+    rows = encoded.collect()
+    want = Counter(x for r in rows for x in np.frombuffer(r["ids"], "<u2").tolist())
+    assert {r["id"]: r["n"] for r in tokens.frequency_ranks(encoded, work).collect()} == want
+    part = pa.array([r["ids"] for r in rows], pa.binary()).slice(7, 30)
+    sizes = pa.array([r["n_tokens"] for r in rows]).slice(7, 30)
+    assert tokens._all_numbers(part, sizes).tolist() == [x for r in rows[7:37] for x in np.frombuffer(r["ids"], "<u2").tolist()]
+    assert tokens._all_numbers(part.cast(pa.large_binary()), sizes).tolist() == tokens._all_numbers(part, sizes).tolist()
+    assert len(tokens._all_numbers(part.slice(0, 0), sizes.slice(0, 0))) == 0
