@@ -11,6 +11,9 @@ rows and empty tables are handled as the operators' modules state.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +22,9 @@ from starloom.llm import credentials, hamming, language, lines, packing
 from starloom.sources.workspace import Workspace
 
 VOCABULARY = "word_bpe_49k.json"
+# Texts that pass between Spark and Python at once, and words that packing remembers.
+BATCH_ROWS = 250
+REMEMBERED = 1 << 15
 
 _WORKSPACES: list[Workspace] = []
 
@@ -37,9 +43,23 @@ def _workspace(spark: SparkSession, docs: DataFrame, stage: str) -> Workspace:
     return _WORKSPACES[-1]
 
 
+@contextmanager
+def _small_batches(spark: SparkSession) -> Iterator[None]:
+    """Fewer rows in an Arrow batch while a stage writes its inner tables: both
+    sides hold whole batches, and executors carry what all stages leave."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(BATCH_ROWS))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents that no language model accepts."""
-    return language.filtered(docs, _workspace(spark, docs, "language"))
+    with _small_batches(spark):
+        return language.filtered(docs, _workspace(spark, docs, "language"))
 
 
 def remove_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,7 +72,8 @@ def remove_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def remove_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of similarity 0.8 or more on five-word shingles."""
-    return hamming.keep_one(docs, _workspace(spark, docs, "copies"))
+    with _small_batches(spark):
+        return hamming.keep_one(docs, _workspace(spark, docs, "copies"))
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -63,7 +84,9 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document's pieces and their places in sequences of 2048 tokens."""
     work = _workspace(spark, docs, "packing")
-    packed = packing.pack(docs, public_tokenizers.path(VOCABULARY), work, keep_ids=False, batch_bytes=1 << 21)
+    vocabulary = public_tokenizers.path(VOCABULARY)
+    with _small_batches(spark):
+        packed = packing.pack(docs, vocabulary, work, keep_ids=False, batch_bytes=1 << 21, remember=REMEMBERED)
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 

@@ -39,7 +39,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import Recent, free_name, frugal, numbered, small_batches, word_codes
+from starloom.llm.common import Recent, forget_words, free_name, frugal, numbered, small_batches, word_codes
 from starloom.sources.workspace import Workspace
 
 ORDER = 4
@@ -406,6 +406,7 @@ def scored(docs: DataFrame, trained: Trained | None, work: Workspace, text: str
     shared = docs.sparkSession.sparkContext.broadcast([getattr(models, f.name) for f in fields(models)])
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_words()
         own = Models(*shared.value)
         width = len(own.languages)
         known = Recent(100_000)

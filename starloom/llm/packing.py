@@ -105,6 +105,7 @@ def pieces(
     end_id: int = END_ID,
     keep_ids: bool = True,
     batch_bytes: int = BATCH_BYTES,
+    remember: int | None = None,
 ) -> DataFrame:
     """Every document's ids in pieces of at most ``capacity``, stored.
 
@@ -116,7 +117,7 @@ def pieces(
     schema += ", ids binary" if keep_ids else ""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder.at(vocabulary)
+        encoder = WordEncoder.at(vocabulary, remember)
         end = np.array([end_id], "<u4").tobytes()
         for batch in small_batches(batches, "text", batch_bytes):
             flat, bounds = encoder.encode(batch.column("text"))
@@ -152,14 +153,15 @@ def pack(
     end_id: int = END_ID,
     keep_ids: bool = True,
     batch_bytes: int = BATCH_BYTES,
+    remember: int | None = None,
 ) -> DataFrame:
     """Place every piece: the columns of ``pieces`` with sequence_id and offset.
 
     Selecting only narrow columns leaves the ids in storage; without
-    ``keep_ids`` only their crc32 is stored. Smaller batches of text take less
-    memory and more time.
+    ``keep_ids`` only their crc32 is stored. Smaller batches of text, and fewer
+    words to ``remember`` between them, take less memory and more time.
     """
-    stored = pieces(docs, vocabulary, work, "pieces", capacity, end_id, keep_ids, batch_bytes)
+    stored = pieces(docs, vocabulary, work, "pieces", capacity, end_id, keep_ids, batch_bytes, remember)
     keys = stored.select("length", "doc_row", "piece")
     ranked, _ = with_index(keys, ["length", "doc_row", "piece"], work, "ranked")
     counts = {r["length"]: r["n"] for r in stored.groupBy("length").agg(F.count("*").alias("n")).collect()}

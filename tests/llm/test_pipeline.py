@@ -71,3 +71,28 @@ def test_stages_take_empty_tables(spark):
     for _, stage in corpus_pipeline.STAGES[:-1]:
         docs = stage(spark, docs, "/root/testdata/sf0.001")
         assert docs.count() == 0
+
+
+def test_python_gets_few_rows_at_once_and_the_session_keeps_its_setting(spark, monkeypatch):
+    key, seen = "spark.sql.execution.arrow.maxRecordsPerBatch", []
+    before = spark.conf.get(key)
+    monkeypatch.setattr(corpus_pipeline.packing, "pack", lambda docs, *a, **k: seen.append((spark.conf.get(key), k["remember"])) or docs)
+    names = ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
+    corpus_pipeline.pack_sequences(spark, spark.createDataFrame([(1,) * 7], names), "")
+    assert int(seen[0][0]) <= 1000 and seen[0][1] <= 1 << 16
+    assert spark.conf.get(key) == before
+
+
+def test_a_worker_remembers_as_many_words_as_the_stage_allows():
+    import pyarrow as pa
+
+    from starloom.llm import common
+
+    encoder = common.WordEncoder.at(public_tokenizers.path(corpus_pipeline.VOCABULARY), 50)
+    texts = pa.array([" ".join(f"word{i}" for i in range(k, k + 40)) for k in range(0, 400, 40)])
+    few = [encoder.encode(texts.slice(i, 1))[0].tolist() for i in range(len(texts))]
+    assert len(encoder.known.new) + len(encoder.known.old) <= 100
+    many = common.WordEncoder.at(public_tokenizers.path(corpus_pipeline.VOCABULARY))
+    assert few == [many.encode(texts.slice(i, 1))[0].tolist() for i in range(len(texts))]
+    common.forget_words()
+    assert not common._ENCODERS
