@@ -147,3 +147,12 @@ def test_dsgd_errors_leave_out_null_ratings(spark, work):
     known = run.rmse(run.dense(spark.createDataFrame([r for r in test if r[2] is not None], schema)))
     assert run.rmse(run.dense(spark.createDataFrame(test, schema))) == pytest.approx(known)
     assert run.rmse(run.dense(spark.createDataFrame([], schema))) is None
+
+
+def test_dsgd_stores_null_where_a_null_rating_was_trained(spark, work):
+    rows = [(1, 1, None, 0), (2, 2, 4.0, 0), (3, 3, 2.0, 0), (3, 1, 3.0, 1)]
+    run = dsgd.DsgdRun(spark.createDataFrame(rows, "user bigint, item bigint, rating double, ts bigint"), 2, 0.05, work, 1)
+    run.epoch(0.02)
+    w, h = ({r[key]: list(r["f"]) for r in run.factors(key).collect()} for key in ("user", "item"))
+    assert w[1] == h[1] == w[3] == [None, None] and None not in w[2] + h[2] + h[3]
+    assert run.rmse(run.packs) == pytest.approx(abs(4 - w[2][0] * h[2][0] - w[2][1] * h[2][1]))
