@@ -22,18 +22,22 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from itertools import accumulate
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm.common import WordEncoder, digest, frugal, small_batches
+from starloom.llm.common import WordEncoder, digest, frugal, pieces, small_batches
 from starloom.sources.workspace import Workspace
 
 END_ID = 2
 BLOCK_IDS = 1 << 18
+# Bytes of text whose words are looked up together.
+LOOK_UP_BYTES = 1 << 26
+# Ids packed at once.
+PACKED_IDS = 1 << 20
 
 # Byte counts (1 to 4) of the four ranks behind each control byte, and their sum.
 SIZES = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3) + 1
@@ -56,6 +60,24 @@ def pack_ranks(ranks: np.ndarray) -> tuple[bytes, bytes]:
     return control.astype(np.uint8).tobytes(), ranks.view(np.uint8).reshape(-1, 4)[used].tobytes()
 
 
+def pack_documents(ranks: np.ndarray, counts: np.ndarray) -> tuple[bytes, bytes, np.ndarray, np.ndarray]:
+    """As ``pack_ranks`` for many documents with ``counts`` ranks each, end to end:
+    control bytes, data bytes, and the bounds of each document in both."""
+    ranks = np.ascontiguousarray(ranks, "<u4")
+    extra = (ranks > 0xFF).astype(np.uint8)
+    if len(ranks) and int(ranks.max()) > 0xFFFF:
+        extra += (ranks > 0xFFFF).astype(np.uint8) + (ranks > 0xFFFFFF).astype(np.uint8)
+    starts = np.concatenate(([0], np.cumsum(counts)))
+    quad = np.concatenate(([0], np.cumsum((counts + 3) // 4)))
+    quads = np.zeros(4 * int(quad[-1]), np.uint8)
+    quads[np.arange(len(ranks)) + np.repeat(4 * quad[:-1] - starts[:-1], counts)] = extra
+    quads = quads.reshape(-1, 4)
+    control = quads[:, 0] | quads[:, 1] << 2 | quads[:, 2] << 4 | quads[:, 3] << 6
+    used = np.arange(4, dtype=np.uint8) <= extra[:, None]
+    ends = np.concatenate(([0], np.cumsum(extra, dtype=np.int64)))[starts] + starts
+    return control.astype(np.uint8).tobytes(), ranks.view(np.uint8).reshape(-1, 4)[used].tobytes(), quad, ends
+
+
 def unpack_ranks(control: bytes, data: bytes, counts: np.ndarray) -> np.ndarray:
     """The ranks of a block of documents with ``counts`` ranks each, by table look-up."""
     sizes = SIZES[np.frombuffer(control, np.uint8)].reshape(-1)
@@ -82,19 +104,21 @@ def encode(docs: DataFrame, vocabulary: str, work: Workspace, end_id: int = END_
         # Two bytes an id where the vocabulary allows it.
         kind = "<u2" if max(len(encoder.ends) - 1, end_id) < 1 << 16 else "<u4"
         end = np.array([end_id], kind).tobytes()
-        for batch in small_batches(batches, "text", 1 << 23):
-            flat, bounds = encoder.encode(batch.column("text"))
-            raw, width = flat.astype(kind).tobytes(), np.dtype(kind).itemsize
-            cuts = (bounds * width).tolist()
-            yield pa.record_batch(
-                [
-                    batch.column("doc_id"),
-                    batch.column("tie"),
-                    pa.array(np.diff(bounds) + 1),
-                    pa.array([raw[a:b] + end for a, b in zip(cuts, cuts[1:])], pa.binary()),
-                ],
-                names=["doc_id", "tie", "n_tokens", "ids"],
-            )
+        # Many texts at once have few distinct words: each is looked up once for all of them.
+        for batch in small_batches(batches, "text", LOOK_UP_BYTES):
+            doc, tie = batch.column("doc_id"), batch.column("tie")
+            for a, b, flat, bounds in encoder.encode_pieces(batch.column("text"), kind):
+                raw, width = flat.tobytes(), flat.itemsize
+                cuts = (bounds * width).tolist()
+                yield pa.record_batch(
+                    [
+                        doc.slice(a, b - a),
+                        tie.slice(a, b - a),
+                        pa.array(np.diff(bounds) + 1),
+                        pa.array([raw[i:j] + end for i, j in zip(cuts, cuts[1:])], pa.binary()),
+                    ],
+                    names=["doc_id", "tie", "n_tokens", "ids"],
+                )
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), digest(F.col("text")).alias("tie"), "text")
     stored = rows.mapInArrow(frugal(ids), schema)
@@ -157,14 +181,15 @@ def write_files(docs: DataFrame, vocabulary: str, work: Workspace, name: str = "
         held: list[tuple] = []
 
         def block() -> pa.RecordBatch:
-            doc, n, control, data = zip(*held)
+            docs, counts, control, data = zip(*held)
+            doc, n = chain.from_iterable(docs), chain.from_iterable(counts)
             return pa.record_batch(
                 [
                     pa.array([part], pa.int32()),
                     pa.array([number], pa.int32()),
                     pa.array([base], pa.int64()),
-                    pa.array([doc], pa.list_(pa.int64())),
-                    pa.array([n], pa.list_(pa.int64())),
+                    pa.array([list(doc)], pa.list_(pa.int64())),
+                    pa.array([list(n)], pa.list_(pa.int64())),
                     pa.array([b"".join(control)], pa.binary()),
                     pa.array([b"".join(data)], pa.binary()),
                 ],
@@ -173,12 +198,20 @@ def write_files(docs: DataFrame, vocabulary: str, work: Workspace, name: str = "
 
         for batch in batches:
             part = batch.column("part")[0].as_py()
-            for doc, n, ids in zip(batch.column("doc_id").to_pylist(), batch.column("n_tokens").to_pylist(), batch.column("ids")):
-                held.append((doc, n, *pack_ranks(table[_numbers(ids.as_buffer(), n)])))
-                size += n
-                if size >= BLOCK_IDS:
-                    yield block()
-                    number, base, size, held = number + 1, base + size, 0, []
+            for first, last in pieces(batch.column("n_tokens").to_numpy(), PACKED_IDS):
+                rows = batch.slice(first, last - first)
+                docs, sizes = rows.column("doc_id").to_pylist(), rows.column("n_tokens").to_pylist()
+                ranked = table[_all_numbers(rows.column("ids"), rows.column("n_tokens"))]
+                control, data, quad, ends = pack_documents(ranked, rows.column("n_tokens").to_numpy())
+                a = 0
+                for b, n in enumerate(sizes, 1):
+                    size += n
+                    if size >= BLOCK_IDS or b == len(sizes):
+                        held.append((docs[a:b], sizes[a:b], control[quad[a] : quad[b]], data[ends[a] : ends[b]]))
+                        a = b
+                    if size >= BLOCK_IDS:
+                        yield block()
+                        number, base, size, held = number + 1, base + size, 0, []
         if held:
             yield block()
 

@@ -611,3 +611,44 @@ def test_ids_are_counted_a_batch_at_a_time(spark, work, monkeypatch):
     assert tokens._all_numbers(part, sizes).tolist() == [x for r in rows[7:37] for x in np.frombuffer(r["ids"], "<u2").tolist()]
     assert tokens._all_numbers(part.cast(pa.large_binary()), sizes).tolist() == tokens._all_numbers(part, sizes).tolist()
     assert len(tokens._all_numbers(part.slice(0, 0), sizes.slice(0, 0))) == 0
+
+
+def test_words_of_a_batch_are_looked_up_once(spark, monkeypatch):
+    texts = [
+        "abc### déf,*** x.$$$", None, "", "abc&&& it's# a#b c##! <|endoftext|>### q&*%",
+        *[f"word{i % 9}### Ändern{i % 5}.%%% zoo$ \t tail{i}" for i in range(400)],
+    ]
+    encoder = WordEncoder(VOCABULARY)
+    asked = []
+    plain = encoder.known.look_up
+    monkeypatch.setattr(encoder.known, "look_up", lambda keys, make: asked.append(list(keys)) or plain(keys, make))
+    got = []
+    for a, b, flat, bounds in encoder.encode_pieces(pa.array(texts, pa.string()), "<u2", most=50):
+        assert flat.dtype == np.dtype("<u2") and len(bounds) == b - a + 1
+        got += [flat[i:j].tolist() for i, j in zip(bounds, bounds[1:])]
+    assert got == [x.ids for x in library().encode_batch([t or "" for t in texts], add_special_tokens=False)]
+    # One look-up for all pieces; marks behind letters make no words of their own with them.
+    assert len(asked) == 1 and {"abc", "###", "zoo", "$"} <= set(asked[0])
+    assert not {"abc###", "abc&&&", "déf,***", "zoo$"} & set(asked[0])
+    assert list(encoder.encode_pieces(pa.array([], pa.string()), "<u2")) == []
+
+
+def test_plain_words_are_read_by_the_model():
+    encoder = WordEncoder(VOCABULARY)
+    assert encoder.direct
+    words = ["a", "z", "the", "été", "größer", "ÿ", "çàñ", "ß", "q" * 300, "vonchkeiteinein", "Éa", "don't", "x1", "ō", "\u0301a"]
+    want = [np.array(encoder.tokenizer.encode(w, add_special_tokens=False).ids, "<u4").tobytes() for w in words]
+    asked, whole = [], encoder._by_run
+    encoder._by_run = lambda new: asked.extend(new) or whole(new)
+    assert encoder._make(words) == want and asked == words[10:]
+    encoder.direct = False  # a vocabulary whose model needs its normaliser
+    assert encoder._make(words) == want
+
+
+def test_documents_are_packed_together():
+    rng = np.random.default_rng(3)
+    docs = [rng.integers(0, 1 << int(rng.integers(1, 33)), n).astype("<u4") for n in (1, 2, 3, 4, 5, 0, 8, 301)]
+    counts = np.array(list(map(len, docs)))
+    control, data, quad, ends = tokens.pack_documents(np.concatenate(docs), counts)
+    assert [(control[a:b], data[c:d]) for a, b, c, d in zip(quad, quad[1:], ends, ends[1:])] == [tokens.pack_ranks(d) for d in docs]
+    assert tokens.pack_documents(np.zeros(0, "<u4"), np.zeros(0, np.int64))[:2] == (b"", b"")
