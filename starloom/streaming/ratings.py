@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,9 +41,12 @@ class RatingLog:
     def write_batch(self, batch: DataFrame, batch_id: int, run: int = 0) -> None:
         latest_per_pair(batch, *NEWEST).write.mode("overwrite").parquet(batch_folder(self.root, run, batch_id))
 
+    def stored(self) -> DataFrame:
+        """All rows, with the ``run`` and ``batch`` that wrote them."""
+        return self.spark.read.parquet(self.root)
+
     def current(self) -> DataFrame:
-        stored = self.spark.read.parquet(self.root).drop("run", "batch")
-        return latest_per_pair(stored, *NEWEST)
+        return latest_per_pair(self.stored().drop("run", "batch"), *NEWEST)
 
     def compact(self, target: str) -> "RatingLog":
         """Write the merged table as the base of a new log."""
@@ -54,6 +58,10 @@ class RatingLedger(RatingLog):
     """A rating log whose changes say what they replace, so that item figures
     follow updates: a new rating comes in, the pair's old one goes out.
 
+    The base is a table bucketed by pair: a micro-batch is shuffled to its
+    buckets and looked up there, so the stored ratings are read, not shuffled.
+    A ledger opened by its folder alone looks pairs up by plain joins.
+
     A micro-batch keeps the rows that are newer than what is known of their
     pair, each with the rating it replaces; only pairs of the batch are looked
     up. Rows and replaced ratings are one write, so figures and table never
@@ -61,17 +69,44 @@ class RatingLedger(RatingLog):
     own rows known and counts once. Batches of one ledger run one at a time.
     """
 
+    def __init__(self, spark: SparkSession, root: str, base: str | None = None):
+        super().__init__(spark, root)
+        self.base = base
+
     @classmethod
     def begin(cls, base: DataFrame, root: str) -> "RatingLedger":
         """A new ledger from a table of ratings, which may be empty."""
+        spark, table = base.sparkSession, f"ledger_{uuid.uuid4().hex}"
         rows = latest_per_pair(base, *NEWEST).withColumn("old", F.lit(None).cast("double"))
-        rows.write.mode("overwrite").parquet(batch_folder(root, BASE, 0))
-        return cls(base.sparkSession, root)
+        # As many buckets as tasks of a shuffle: the rows lie in them already.
+        buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        writer = rows.write.mode("overwrite").bucketBy(buckets, *PAIR).format("parquet")
+        writer.option("path", batch_folder(root, BASE, 0)).saveAsTable(table)
+        return cls(spark, root, table)
+
+    def stored(self) -> DataFrame:
+        if self.base is None:
+            return super().stored()
+        # An empty base has buckets, but no file that tells the columns.
+        columns = self.spark.table(self.base).schema.add("run", "long").add("batch", "long")
+        return self.spark.read.schema(columns).parquet(self.root)
+
+    def known(self, rows: DataFrame, batch_id: int, run: int) -> DataFrame:
+        """What is stored of the pairs of ``rows`` but by this batch: the newest row of each."""
+        pairs = rows.select(*PAIR)
+        others = self.stored().where(~((F.col("run") == run) & (F.col("batch") == batch_id)))
+        if self.base is None or run == BASE:
+            found = others.drop("run", "batch", "old").join(pairs, PAIR, "left_semi")
+        else:
+            # Pairs of the batch are held by bucket, stored ratings pass by unsorted.
+            stored = self.spark.table(self.base).drop("old").join(pairs.hint("shuffle_hash"), PAIR, "left_semi")
+            changes = others.where(F.col("run") != BASE).drop("run", "batch", "old").join(pairs, PAIR, "left_semi")
+            found = stored.unionByName(changes)
+        return latest_per_pair(found, *NEWEST)
 
     def write_batch(self, batch: DataFrame, batch_id: int, run: int = 0) -> None:
         rows = latest_per_pair(batch, *NEWEST)
-        others = self.spark.read.parquet(self.root).where(~((F.col("run") == run) & (F.col("batch") == batch_id)))
-        known = latest_per_pair(others.drop("run", "batch", "old").join(rows.select(*PAIR), PAIR, "left_semi"), *NEWEST)
+        known = self.known(rows, batch_id, run)
         seen = known.select(*PAIR, F.col("rating").alias("old"), F.struct(*NEWEST).alias("seen"))
         newer = F.col("seen").isNull() | (F.struct(*NEWEST) > F.col("seen"))
         rows = rows.join(seen, PAIR, "left").where(newer).drop("seen")
@@ -93,7 +128,7 @@ class RatingLedger(RatingLog):
         stars = [
             signed(lambda r, s=s: F.coalesce(r.isin(s - 0.5, float(s)), F.lit(False)).cast("bigint")).alias(f"stars_{s}") for s in STARS
         ]
-        return self.spark.read.parquet(self.root).groupBy("item").agg(
+        return self.stored().groupBy("item").agg(
             signed(lambda r: r.isNotNull().cast("bigint")).alias("n_ratings"),
             signed(lambda r: F.coalesce(r, F.lit(0.0))).alias("sum_rating"),
             *stars,

@@ -1,6 +1,7 @@
 """Steps whose shuffles, memory or tasks must not grow faster than their input."""
 
 import math
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 from starloom.operators import als, content, dsgd, factors, gradient
 from starloom.sources import readers
 from starloom.sources.workspace import Workspace
+from starloom.streaming import ratings
 
 
 def pairs(n=400):
@@ -156,3 +158,20 @@ def test_dsgd_stores_null_where_a_null_rating_was_trained(spark, work):
     w, h = ({r[key]: list(r["f"]) for r in run.factors(key).collect()} for key in ("user", "item"))
     assert w[1] == h[1] == w[3] == [None, None] and None not in w[2] + h[2] + h[3]
     assert run.rmse(run.packs) == pytest.approx(abs(4 - w[2][0] * h[2][0] - w[2][1] * h[2][1]))
+
+
+def test_stored_ratings_are_not_shuffled_for_a_batch(spark, work, no_broadcast):
+    names = "event_id long, user long, item long, rating double, ts timestamp"
+    rows = [(i, i % 50, i % 37, (i % 10 + 1) / 2, datetime(2024, 1, 1 + i % 28)) for i in range(2000)]
+    base = spark.createDataFrame(rows[:1500], names)
+    ledger = ratings.RatingLedger.begin(base, work.path("ledger"))
+    batch = spark.createDataFrame(rows[1500:] + rows[:20], names)
+    plan = ledger.known(batch, 0, 1)._jdf.queryExecution().executedPlan().toString()
+    scan = plan[: plan.index("Bucketed: true")].splitlines()[-1]
+    above = plan[: plan.index(scan)].splitlines()
+    joins = [n for n, line in enumerate(above) if "ShuffledHashJoin" in line]
+    assert joins and not any("Exchange" in line or "Sort " in line for line in above[joins[-1] :])
+    # The same rows as without the buckets.
+    plain = ratings.RatingLedger(spark, work.path("ledger"))
+    assert sorted(ledger.known(batch, 0, 1).collect()) == sorted(plain.known(batch, 0, 1).collect())
+    assert ledger.known(batch, 0, 1).count() == batch.join(base, ["user", "item"], "left_semi").select("user", "item").distinct().count()
