@@ -4,11 +4,13 @@ All-pairs scores are the result itself here (a full prediction matrix) or are
 cut to the best n per row before anything leaves the task (module ``best`` does
 without most products where lengths differ). Vectors are packed
 into blocks of a fixed number of rows; a task multiplies two blocks with one
-matrix product. Blocks meet through an equi-join on block numbers.
+matrix product. Blocks meet through an equi-join on block numbers, or, where only
+the best are wanted, in rounds: a part of bounded size goes to every task once.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -128,6 +130,46 @@ def all_predictions(users: DataFrame, items: DataFrame, rank: int, work: Workspa
     return pairs.mapInPandas(multiply, "user bigint, item bigint, predict double")
 
 
+def led_by(rows: DataFrame, part: DataFrame) -> DataFrame:
+    """The columns of both: every task reads the rows of ``part``, which go to all
+    tasks, and then its own of ``rows``. The other side's columns are null."""
+    first = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1) == 0
+    # The first row of a task comes twice: once to meet the part, and as itself.
+    own = F.when(F.col("_first"), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(1)))
+    marked = rows.withColumn("_first", first).withColumn("_own", F.explode(own))
+    emptied = marked.select("_own", *[F.when(F.col("_own") == 1, F.col(c)).alias(c) for c in rows.columns])
+    return emptied.join(F.broadcast(part.withColumn("_own", F.lit(0))), "_own", "left").drop("_own")
+
+
+class Found:
+    """The n best others of each row of a block, among those a task has seen."""
+
+    def __init__(self, ids, floor, n: int):
+        self.ids, self.floor, self.n = np.asarray(ids), np.array(floor, float), n
+        self.row, self.other, self.score = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+
+    def add(self, scores: np.ndarray, ids: np.ndarray) -> None:
+        """Scores (rows x others) that reach a row's floor, which rises with its n-th best. Equal ones go to the smaller id."""
+        keep = scores >= self.floor[:, None]
+        r, c = np.nonzero(keep)
+        if not len(r):
+            return
+        if len(r) > 2 * self.n * len(self.ids):
+            order, alive = np.argsort(ids), np.flatnonzero(keep.any(axis=1))
+            r, c = best_columns(np.where(keep[alive], scores[alive], -np.inf)[:, order], ids[order], self.n)
+            r, c = alive[r], order[c]
+        row, other, score = (np.append(*x) for x in ((self.row, r), (self.other, ids[c]), (self.score, scores[r, c])))
+        order = np.lexsort((other, -score, row))
+        count = np.bincount(row, minlength=len(self.ids))
+        place = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+        order, last = order[place < self.n], place[place < self.n] == self.n - 1
+        self.row, self.other, self.score = row[order], other[order], score[order]
+        self.floor[self.row[last]] = np.maximum(self.floor[self.row[last]], self.score[last])
+
+    def rows(self) -> pd.DataFrame:
+        return pd.DataFrame({"id": self.ids[self.row], "other": self.other, "score": self.score})
+
+
 def rank_within(rows: DataFrame, key: str, score: str, tie: str, n: int) -> DataFrame:
     """The best n rows per key. The limit is known to the planner, which cuts
     each map task's output to n rows per key before the shuffle."""
@@ -135,29 +177,51 @@ def rank_within(rows: DataFrame, key: str, score: str, tie: str, n: int) -> Data
     return rows.withColumn("rank", F.row_number().over(w).cast("bigint")).where(F.col("rank") <= n)
 
 
+# What a round finds for a row block, and the n-th best score of its vectors.
+BEST = "r_block bigint, floor array<double>, id array<bigint>, other array<bigint>, score array<double>"
+
+
 def top_cosine(vectors: DataFrame, rank: int, n: int, work: Workspace, digits: int = 6, include_self: bool = False) -> DataFrame:
     """The n most similar vectors of every vector: (id, other, score, rank).
-    Scores are rounded before ranking, so that equal vectors tie by id."""
+    Scores are rounded before ranking, so that equal vectors tie by id.
+
+    Blocks are stored once. A round sends a part of them to every task, where the
+    stored blocks pass it by; a task keeps the best of a block, and later rounds
+    begin with the floors that earlier ones reached."""
     v, n_vectors = numbered(vectors, "id", work, "vectors")
     size = row_block(n_vectors, work.spark.sparkContext.defaultParallelism)
     norm = F.sqrt(F.aggregate(F.transform("f", lambda x: x * x), F.lit(0.0), lambda s, x: s + x))
     unit = v.withColumn("f", F.transform("f", lambda x: x / F.when(norm > 0, norm).otherwise(1.0)))
-    stored = work.write(packed(unit, "id", size, "r"), "blocks")
-    cols = stored.select(
-        F.col("r_block").alias("c_block"), F.col("r_ids").alias("c_ids"), F.col("r_f").alias("c_f")
-    )
-    pairs = block_pairs(spread(stored, -(-n_vectors // size)), n_vectors, cols, n_vectors, size, size, rank)
+    n_blocks = -(-n_vectors // size)
+    stored = work.write(spread(packed(unit, "id", size, "r"), n_blocks), "blocks")
+    lowest = np.finfo(float).min
 
     def best(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        part = []
         for batch in batches:
             for row in batch.itertuples():
+                if row.r_ids is None:
+                    part.append((int(row.c_block), *unpack(row, "c", rank)))
+                    continue
                 left, a = unpack(row, "r", rank)
-                right, b = unpack(row, "c", rank)
-                scores = np.round(a @ b.T, digits) + 0.0
-                if not include_self and row.r_block == row.c_block:
-                    np.fill_diagonal(scores, -np.inf)
-                r, c = best_columns(scores, right, n)
-                yield pd.DataFrame({"id": left[r], "other": right[c], "score": scores[r, c]})
-
-    found = pairs.mapInPandas(best, "id bigint, other bigint, score double")
+                mine = Found(left, np.full(len(left), lowest) if row.floor is None else row.floor, n)
+                for block, right, b in part:
+                    scores = np.round(a @ b.T, digits) + 0.0
+                    if not include_self and block == row.r_block:
+                        np.fill_diagonal(scores, -np.inf)
+                    mine.add(scores, right)
+                columns = {"r_block": int(row.r_block), "floor": mine.floor} | {c: x.to_numpy() for c, x in mine.rows().items()}
+                yield pd.DataFrame({c: [x] for c, x in columns.items()})
+
+    step = max(BROADCAST_BYTES // (size * (8 * rank + 8)), 1)
+    left, rounds = stored.withColumn("floor", F.lit(None).cast("array<double>")), []
+    for first in range(0, max(n_blocks, 1), step):
+        if rounds:
+            rounds[-1] = work.write(rounds[-1], f"round-{len(rounds)}")
+            left = stored.join(F.broadcast(rounds[-1].select("r_block", "floor")), "r_block")
+        part = stored.where(F.col("r_block").between(first, first + step - 1))
+        part = part.select(*[F.col(f"r_{c}").alias(f"c_{c}") for c in ("block", "ids", "f")])
+        rounds.append(led_by(left, part).mapInPandas(best, BEST))
+    found = functools.reduce(DataFrame.unionByName, rounds)
+    found = found.select(F.inline(F.arrays_zip("id", "other", "score")))
     return rank_within(found, "id", "score", "other", n)

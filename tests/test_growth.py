@@ -3,10 +3,11 @@
 import math
 from datetime import datetime
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from starloom.operators import als, content, dsgd, factors, gradient
+from starloom.operators import als, blocks, content, dsgd, factors, gradient
 from starloom.sources import readers
 from starloom.sources.workspace import Workspace
 from starloom.streaming import ratings
@@ -175,3 +176,29 @@ def test_stored_ratings_are_not_shuffled_for_a_batch(spark, work, no_broadcast):
     plain = ratings.RatingLedger(spark, work.path("ledger"))
     assert sorted(ledger.known(batch, 0, 1).collect()) == sorted(plain.known(batch, 0, 1).collect())
     assert ledger.known(batch, 0, 1).count() == batch.join(base, ["user", "item"], "left_semi").select("user", "item").distinct().count()
+
+
+@pytest.mark.parametrize("include_self", [False, True])
+def test_vectors_meet_in_rounds_without_a_shuffle(spark, work, monkeypatch, include_self):
+    rng = np.random.default_rng(5)
+    table = np.round(rng.normal(size=(200, 3)), 1)
+    table[7], table[9], table[11] = table[3], table[3], 0.0
+    vectors = spark.createDataFrame([(7 * i, x.tolist()) for i, x in enumerate(table)], "id long, f array<double>")
+    unit = table / np.maximum(np.linalg.norm(table, axis=1, keepdims=True), 1e-300)
+    scores = np.round(unit @ unit.T, 6)
+    want = set()
+    for i in range(200):
+        others = sorted((-scores[i, j], 7 * j) for j in range(200) if include_self or j != i)
+        want |= {(7 * i, j, k + 1) for k, (_, j) in enumerate(others[:4])}
+    monkeypatch.setattr(blocks, "ROW_BLOCK", 10)
+    monkeypatch.setattr(blocks, "BROADCAST_BYTES", 2_000)  # was a shuffle of every block to every other one
+    found = blocks.top_cosine(vectors, 3, 4, work, include_self=include_self)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInPandas best") == 1 and "SortMergeJoin" not in plan
+    assert exchanges(found) == 1  # the best of the last round and those of the others
+    rounds = [r for r in range(1, 9) if spark.sparkContext._jvm.java.io.File(work.path(f"round-{r}")).exists()]
+    assert rounds == [1, 2, 3]
+    stored = sum(spark.read.parquet(work.path(f"round-{r}")).select(F.sum(F.size("id"))).first()[0] for r in rounds)
+    assert stored < 3 * 200 * 4  # later rounds begin with the floors of earlier ones
+    got = [tuple(r) for r in found.select("id", "other", "rank").collect()]
+    assert len(got) == len(want) and set(got) == want
