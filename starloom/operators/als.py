@@ -230,15 +230,19 @@ class AlsGrid:
     the same task, so packed sums leave a task only for ids cut over several
     cells. In the first half-step all models read the same start vectors:
     the sums of the largest rank serve every rank and every lambda.
+
+    What a task solves is stored once, as part of the next table of vectors; the
+    rest are the few ids that are cut over several cells or have no train ratings.
+    ``train`` and ``known`` are read several times and should be stored tables.
     """
 
     def __init__(self, train: DataFrame, known: DataFrame, work: Workspace, cell_rows: int = CELL_ROWS):
-        self.work, self.known = work, known
-        self.train = work.write(train.select("user", "item", "rating"), "train")
+        self.work, self.known, self.train = work, known, train.select("user", "item", "rating")
         self.routed = {key: RoutedRatings(self.train, key, work, cell_rows) for key in ("user", "item")}
         row = self.train.agg(F.sum(F.col("rating") * F.col("rating")), F.count("*")).first()
         self.squares, self.n_train = row[0] or 0.0, row[1]
         self.steps = 0
+        self.unrated: dict[str, DataFrame] = {}
 
     def start(self, models: Sequence[tuple[int, float]]) -> None:
         """Begin with new models on the same layout."""
@@ -305,16 +309,20 @@ class AlsGrid:
             .select(key, solve("s").alias("x"))
             .select(key, "x.f", "x.q")
         )
-        updated = partial.where(~F.col("split")).select(key, "f", "q").unionByName(pieces)
+        before = self.factors[key]
+        if key not in self.unrated:
+            unrated = before.select(key).join(partial.select(key), key, "left_anti").withColumnRenamed(key, "kept")
+            self.unrated[key] = self.work.write(unrated, f"unrated-{key}")
         # Ids without train ratings keep the vectors they had.
-        old = F.concat(*[F.slice("old", at + 1, rank) for at, rank in zip(self.starts[key], self.ranks)])
-        before = self.factors[key].select(key, F.col("f").alias("old"))
-        kept = before.join(updated, key, "left").select(key, F.coalesce("f", old).alias("f"), "q")
-        table = self.work.write(kept, f"{key}-{self.steps}")
-        self.work.discard(f"partial-{self.steps}")
-        if self.stored[key]:
-            self.work.discard(self.stored[key])
-        self.factors[key], self.stored[key] = table.select(key, "f"), f"{key}-{self.steps}"
+        old = F.concat(*[F.slice("f", at + 1, rank) for at, rank in zip(self.starts[key], self.ranks)])
+        kept = before.join(self.unrated[key], F.col(key).eqNullSafe(F.col("kept")), "left_semi")
+        kept = kept.select(key, old.alias("f"), F.lit(None).cast("array<double>").alias("q"))
+        known = F.col(key).isNotNull()
+        rest = self.work.write(pieces.where(known).unionByName(kept), f"{key}-{self.steps}")
+        table = partial.where(~F.col("split") & known).select(key, "f", "q").unionByName(rest)
+        for name in self.stored[key] or []:
+            self.work.discard(name)
+        self.factors[key], self.stored[key] = table.select(key, "f"), [f"partial-{self.steps}", f"{key}-{self.steps}"]
         self.starts[key], self.last = offsets(self.ranks)[:-1], table
 
     def train_rmses(self) -> list[float | None]:

@@ -202,3 +202,23 @@ def test_vectors_meet_in_rounds_without_a_shuffle(spark, work, monkeypatch, incl
     assert stored < 3 * 200 * 4  # later rounds begin with the floors of earlier ones
     got = [tuple(r) for r in found.select("id", "other", "rank").collect()]
     assert len(got) == len(want) and set(got) == want
+
+
+def test_solved_vectors_of_a_grid_are_stored_once(spark, work, rating_table):
+    train = work.write(rating_table(sorted(set(pairs()))).drop("ts"), "table")
+    known = work.write(train.select("user", "item").union(spark.createDataFrame([(99, 1)], "user long, item long")), "all")
+    grid = als.AlsGrid(train, known, work)
+    grid.start([(2, 0.1), (3, 0.5)])
+    first = {r["user"]: list(r["f"]) for r in grid.factors["user"].collect()}
+    for key in ("user", "item", "user", "item"):
+        grid.half_step(key)
+    stored = [r["user"] for r in spark.read.parquet(work.path("user-3")).collect()]
+    assert stored == [99]  # was a second copy of every vector, from a join with those before
+    users = {r["user"]: list(r["f"]) for r in grid.factors["user"].collect()}
+    assert set(users) == set(first) and users[99] == first[99][:2] + first[99][:3]
+    for m, (rank, lam) in enumerate([(2, 0.1), (3, 0.5)]):
+        run, curve = als.train_als(train, rank, 2, lam, Workspace(spark, "alone"))
+        alone = {r["user"]: list(r["f"]) for r in run.factors["user"].collect()}
+        at = slice(0, 2) if m == 0 else slice(2, 5)
+        assert all(users[u][at] == pytest.approx(alone[u], rel=1e-6, abs=1e-9) for u in alone)
+        assert grid.train_rmses()[m] == pytest.approx(curve[-1][1])
