@@ -222,3 +222,20 @@ def test_solved_vectors_of_a_grid_are_stored_once(spark, work, rating_table):
         at = slice(0, 2) if m == 0 else slice(2, 5)
         assert all(users[u][at] == pytest.approx(alone[u], rel=1e-6, abs=1e-9) for u in alone)
         assert grid.train_rmses()[m] == pytest.approx(curve[-1][1])
+
+
+def test_predictions_meet_in_rounds_without_a_shuffle(spark, work, monkeypatch):
+    rng = np.random.default_rng(6)
+    w, h = rng.normal(size=(50, 3)), rng.normal(size=(70, 3))
+    users = spark.createDataFrame([(2 * k, x.tolist()) for k, x in enumerate(w)], "user long, f array<double>")
+    items = spark.createDataFrame([(3 * k, x.tolist()) for k, x in enumerate(h)], "item long, f array<double>")
+    monkeypatch.setattr(blocks, "ROW_BLOCK", 8)
+    monkeypatch.setattr(blocks, "COL_BLOCK", 10)
+    monkeypatch.setattr(blocks, "BROADCAST_BYTES", 700)  # was a shuffle of every block to every other one
+    found = blocks.all_predictions(users, items, 3, work)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInPandas multiply") == 4 and "SortMergeJoin" not in plan
+    got = {(r["user"], r["item"]): r["predict"] for r in found.collect()}
+    want = w @ h.T
+    assert len(got) == found.count() == 50 * 70
+    assert all(got[2 * a, 3 * b] == pytest.approx(want[a, b]) for a in range(50) for b in range(70))
