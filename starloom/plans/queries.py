@@ -581,8 +581,11 @@ def mllib_als(t: Shapes, work: Workspace) -> DataFrame:
     from pyspark.ml.recommendation import ALS
 
     data = work.write(t.ratings.select("user", "item", "rating"), "ratings")
+    # Where its tables are kept, not what it computes: ratings and vectors on disk
+    # rather than on the heap, messages until the next checkpoint (if a folder is set).
+    kept = {"intermediateStorageLevel": "DISK_ONLY", "finalStorageLevel": "DISK_ONLY", "checkpointInterval": 2}
     model = ALS(
-        rank=10, maxIter=10, seed=42, userCol="user", itemCol="item", ratingCol="rating", coldStartStrategy="drop"
+        rank=10, maxIter=10, seed=42, userCol="user", itemCol="item", ratingCol="rating", coldStartStrategy="drop", **kept
     ).fit(data)
     predicted = model.transform(data.select("user", "item")).select("user", "item", "prediction")
     both = data.join(predicted, ["user", "item"])

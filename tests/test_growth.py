@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from starloom.operators import als, blocks, content, dsgd, factors, gradient
+from starloom.plans import queries
 from starloom.sources import readers
 from starloom.sources.workspace import Workspace
 from starloom.streaming import ratings
@@ -239,3 +240,18 @@ def test_predictions_meet_in_rounds_without_a_shuffle(spark, work, monkeypatch):
     want = w @ h.T
     assert len(got) == found.count() == 50 * 70
     assert all(got[2 * a, 3 * b] == pytest.approx(want[a, b]) for a in range(50) for b in range(70))
+
+
+def test_spark_als_keeps_its_tables_off_the_heap(spark, tmp_path):
+    rows = [(n, 7 * n % 31, 11 * n % 53, 1 + n % 50) for n in range(400)]
+    lines = spark.createDataFrame([(n, i, 1, float(q)) for n, _, i, q in rows], "l_orderkey long, l_partkey long, l_linenumber int, l_quantity double")
+    lines.withColumn("l_shipdate", F.to_date(F.lit("2024-01-01"))).write.parquet(f"{tmp_path}/lineitem.parquet")
+    orders = spark.createDataFrame([(n, u) for n, u, _, _ in rows], "o_orderkey long, o_custkey long")
+    orders.write.parquet(f"{tmp_path}/orders.parquet")
+    before = set(spark.sparkContext._jsc.getPersistentRDDs())
+    result = queries.QUERIES["mllib_als"](spark, str(tmp_path))
+    kept = spark.sparkContext._jsc.getPersistentRDDs()
+    levels = [kept[k].getStorageLevel() for k in kept if k not in before]
+    assert len(levels) >= 2  # the vectors of both sides
+    assert all(level.useDisk() and not level.useMemory() for level in levels)
+    assert result.first()["n"] == len({(u, i) for _, u, i, _ in rows})
